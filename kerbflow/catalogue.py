@@ -95,9 +95,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All files of the events table as a stream; without a limit they make one micro-batch."""
-    path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """All files of the events table as a stream; without a limit they make one micro-batch.
+
+    A stream follows folders. The pattern also lets it read a table that is one file.
+    """
+    schema = fixtures.read_events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def spoiled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

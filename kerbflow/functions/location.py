@@ -26,7 +26,7 @@ def grid_cells(latitude: Column, longitude: Column, dp: int = 2) -> tuple[Column
 
     Grouping on two doubles is cheaper than on text, and gives the same groups.
     """
-    known = latitude.isNotNull() & longitude.isNotNull()
+    known = latitude.isNotNull() & longitude.isNotNull() & ~F.isnan(latitude) & ~F.isnan(longitude)
     return F.when(known, round_half_up(latitude, dp)), F.when(known, round_half_up(longitude, dp))
 
 

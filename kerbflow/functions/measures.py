@@ -18,7 +18,7 @@ class ExactMeasure:
     Values are added up as whole millionths in a bigint, so partial sums may be combined in any
     order (map side, pane by pane, batch by batch) with one result, and all buffers are fixed-width
     primitives that the hash aggregate updates in place. Values of 1e9 and more do not fit that
-    scale; they go to a double beside it.
+    scale; they go to a double beside it. NaN counts as missing.
     """
 
     name: str
@@ -44,7 +44,7 @@ class ExactMeasure:
         fits = F.abs(value) < LARGE
         return [
             F.when(fits, F.floor(value * float(MICROS) + 0.5)).alias(self.units),
-            F.when(~fits, value).alias(self.large),
+            F.when(~fits & ~F.isnan(value), value).alias(self.large),
         ]
 
     def partial(self) -> list[Column]:

@@ -1,5 +1,6 @@
 """DataFrame-to-DataFrame steps, the same for tables and streams unless noted."""
 
+from kerbflow.operators.barrier import computed_once
 from kerbflow.operators.coerce import to_table_types
 from kerbflow.operators.enrich import drop_bad_time, with_event_time, with_locations
 from kerbflow.operators.latest import latest_versions
@@ -11,6 +12,7 @@ from kerbflow.operators.windows import drop_null_location, windowed_aggregate
 
 __all__ = [
     "canonical_trips",
+    "computed_once",
     "decode_messages",
     "detect_time_column",
     "drop_bad_time",

@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.functions import grid_key, missing_to_null, parse_time
+from kerbflow.operators.barrier import computed_once
 from kerbflow.schema import PICKUP_TIME
 
 
 def with_event_time(events: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
     """``event_time`` from the pickup time, which may be text or a timestamp already.
 
-    It is a timestamp with the session zone, since a watermark accepts no other type.
+    It is a timestamp with the session zone, since a watermark accepts no other type. Text is read
+    once, together with whatever the event was decoded from.
     """
     column = F.col(PICKUP_TIME)
-    is_text = dict(events.dtypes)[PICKUP_TIME] == "string"
-    return events.withColumn("event_time", parse_time(column, time_formats) if is_text else column.cast("timestamp"))
+    if dict(events.dtypes)[PICKUP_TIME] != "string":
+        return events.withColumn("event_time", column.cast("timestamp"))
+    return computed_once(events.withColumn("event_time", parse_time(column, time_formats)))
 
 
 def drop_bad_time(events: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.config import WindowSpec
-from kerbflow.functions import ExactMeasure, grid_cells, missing_to_null, render_key
+from kerbflow.functions import ExactMeasure, grid_cells, render_key
 
 FARE = ExactMeasure("fare_amount")
 DISTANCE = ExactMeasure("trip_distance")
@@ -18,16 +18,12 @@ GRID = "grid"
 def _prepared(events: DataFrame, by: str) -> tuple[DataFrame, list[str], Column]:
     """Columns the aggregate needs, the names to group on, and the location they stand for."""
     if by == GRID:
-        lat, lon = grid_cells(
-            missing_to_null(F.col("pickup_latitude")), missing_to_null(F.col("pickup_longitude"))
-        )
+        lat, lon = grid_cells(F.col("pickup_latitude"), F.col("pickup_longitude"))
         keys, location = [lat.alias("lat_cell"), lon.alias("lon_cell")], render_key(F.col("lat_cell"), F.col("lon_cell"))
         names = ["lat_cell", "lon_cell"]
     else:
         keys, location, names = [F.col(by)], F.col(by), [by]
-    values = [missing_to_null(F.col(m.name)).alias(m.name) for m in MEASURES]
-    narrow = events.select("event_time", *keys, *values)
-    return narrow.select("event_time", *names, *[c for m in MEASURES for c in m.inputs()]), names, location
+    return events.select("event_time", *keys, *[c for m in MEASURES for c in m.inputs()]), names, location
 
 
 def _partials() -> list[Column]:
@@ -38,13 +34,15 @@ def _merged() -> list[Column]:
     return [F.sum("trip_count").alias("trip_count"), *[c for m in MEASURES for c in m.merge()]]
 
 
-def _micros(length: int) -> str:
-    return f"{length} microseconds"
+def window_of(time: str, size: int, slide: int) -> Column:
+    """``[start, end)`` windows of ``size`` microseconds, aligned to 1970-01-01 00:00 UTC."""
+    return F.window(time, f"{size} microseconds", f"{slide} microseconds")
 
 
-def window_of(time: Column, spec: WindowSpec) -> Column:
-    """``[start, end)`` windows, aligned to 1970-01-01 00:00 UTC."""
-    return F.window(time, _micros(spec.size_micros), _micros(spec.slide_micros))
+def _by_start(rows: DataFrame, time: str, size: int, slide: int, names: list[str], aggregates: list[Column]) -> DataFrame:
+    """Aggregates per window start. A plain timestamp hashes faster than a window struct."""
+    started = rows.withColumn("window_start", window_of(time, size, slide).getField("start"))
+    return started.groupBy("window_start", *names).agg(*aggregates)
 
 
 def windowed_aggregate(
@@ -65,18 +63,23 @@ def windowed_aggregate(
     if panes and events.isStreaming:
         raise ValueError("a streaming aggregate cannot be chained: use panes=False")
 
+    size, slide, pane = spec.size_micros, spec.slide_micros, spec.pane_micros
     rows, names, location = _prepared(events, by)
-    if panes:
-        pane = F.window("event_time", _micros(spec.pane_micros))
-        small = rows.groupBy(pane, *names).agg(*_partials())
-        small = small.withColumn("pane_start", F.col("window.start")).drop("window")
-        grouped = small.groupBy(window_of(F.col("pane_start"), spec), *names).agg(*_merged())
+    window_end = F.timestamp_add("MICROSECOND", F.lit(size), F.col("window_start"))
+    if events.isStreaming:
+        # The window itself must be the key: it carries the watermark that closes the group.
+        grouped = rows.groupBy(window_of("event_time", size, slide), *names).agg(*_partials())
+        grouped = grouped.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
+    elif panes:
+        small = _by_start(rows, "event_time", pane, pane, names, _partials())
+        small = small.withColumnRenamed("window_start", "pane_start")
+        grouped = _by_start(small, "pane_start", size, slide, names, _merged()).withColumn("window_end", window_end)
     else:
-        grouped = rows.groupBy(window_of(F.col("event_time"), spec), *names).agg(*_partials())
+        grouped = _by_start(rows, "event_time", size, slide, names, _partials()).withColumn("window_end", window_end)
 
     return grouped.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        "window_start",
+        "window_end",
         location.alias("pickup_location"),
         "trip_count",
         FARE.mean(2).alias("avg_fare"),

@@ -23,7 +23,7 @@ def typed_trip_aggregates(
     On a stream the watermark is set after bad times are dropped and before anything else is, so
     that events without a location move it too. ``drop_null_location_early`` gives that up for less state.
     """
-    timed = drop_bad_time(with_event_time(events))
+    timed = drop_bad_time(with_event_time(events.select(*AGGREGATE_FIELDS)))
     if timed.isStreaming:
         timed = timed.withWatermark("event_time", config.watermark_delay)
     if config.drop_null_location_early:
