@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CONFIG = FlowConfig()
+LOCATED = FlowConfig(drop_null_location_early=True)
 TUMBLING = FlowConfig(window_duration="5 minutes", slide_duration="5 minutes")
+TUMBLING_LOCATED = replace(TUMBLING, drop_null_location_early=True)
 CHUNK = 1000
 PARTS = 4
 
@@ -112,7 +115,7 @@ def spoiled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     encoded = encode_messages(bad_time.drop("event_type"), keep=("props", "partition", "offset"))
     text = F.col("value").cast("string")
-    cut = F.get_json_object("props", "$.k").cast("int") >= 90
+    cut = fixtures.props_k() >= 90
     damaged = F.when(cut, F.expr("substr(cast(value as string), 1, 40)")).otherwise(text)
     return encoded.select(damaged.cast("binary").alias("value"), "partition", "offset")
 
@@ -214,17 +217,17 @@ def rejects_by_reason(spark, sf_dir):
 @query
 def window_agg_by_location(spark, sf_dir):
     """Messages to 5-minute windows every minute by location: the whole job on a table."""
-    return drop_null_location(trip_aggregates(messages(spark, sf_dir), CONFIG))
+    return trip_aggregates(messages(spark, sf_dir), LOCATED)
 
 
 @query
 def window_agg_panes(spark, sf_dir):
-    return drop_null_location(typed_trip_aggregates(typed_trips(spark, sf_dir), CONFIG, panes=True))
+    return typed_trip_aggregates(typed_trips(spark, sf_dir), LOCATED, panes=True)
 
 
 @query
 def window_agg_direct(spark, sf_dir):
-    return drop_null_location(typed_trip_aggregates(typed_trips(spark, sf_dir), CONFIG, panes=False))
+    return typed_trip_aggregates(typed_trips(spark, sf_dir), LOCATED, panes=False)
 
 
 @query
@@ -233,14 +236,14 @@ def window_agg_with_null_location(spark, sf_dir):
 
 
 @query
-def window_agg_null_location_early(spark, sf_dir):
-    early = FlowConfig(drop_null_location_early=True)
-    return typed_trip_aggregates(typed_trips(spark, sf_dir), early)
+def window_agg_null_location_dropped(spark, sf_dir):
+    """Groups without a location leave after the aggregate, as in the streaming sink."""
+    return drop_null_location(typed_trip_aggregates(typed_trips(spark, sf_dir), CONFIG))
 
 
 @query
 def tumbling_agg(spark, sf_dir):
-    return drop_null_location(typed_trip_aggregates(typed_trips(spark, sf_dir), TUMBLING))
+    return typed_trip_aggregates(typed_trips(spark, sf_dir), TUMBLING_LOCATED)
 
 
 @query
@@ -254,7 +257,7 @@ def window_agg_by_zone(spark, sf_dir):
 
 @query
 def sink_decimal_shape(spark, sf_dir):
-    result = drop_null_location(typed_trip_aggregates(typed_trips(spark, sf_dir), CONFIG))
+    result = typed_trip_aggregates(typed_trips(spark, sf_dir), LOCATED)
     return to_table_types(result, AGGREGATE_TABLE_TYPES)
 
 
@@ -370,8 +373,8 @@ def reject_sink(spark, sf_dir):
 
 def stored_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result as a stored table, for reports to read."""
-    path = f"{scratch_dir(spark, 'result')}"
-    drop_null_location(typed_trip_aggregates(typed_trips(spark, sf_dir), CONFIG)).write.parquet(path)
+    path = scratch_dir(spark, "result")
+    typed_trip_aggregates(typed_trips(spark, sf_dir), LOCATED).write.parquet(path)
     return spark.read.schema(AGGREGATE_SCHEMA).parquet(path)
 
 

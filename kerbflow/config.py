@@ -98,11 +98,14 @@ class FlowConfig:
     jdbc_max_connections: int = 8
     max_offsets_per_trigger: int = 50_000
     drop_null_location_early: bool = False
+    state_store: str = "rocksdb"
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "chunk_size", int(self.chunk_size))
         if self.chunk_size <= 0:
             raise ValueError("CHUNK_SIZE must be positive")
+        if self.state_store not in ("rocksdb", "memory"):
+            raise ValueError("state_store is 'rocksdb' or 'memory'")
         self.window  # refuse a bad window before any job starts
         for text in (self.watermark_delay, self.trigger_interval):
             duration_micros(text)

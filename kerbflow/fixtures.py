@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbflow.functions import iso_text
@@ -15,6 +15,11 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def props_k() -> Column:
+    """The number ``k`` of ``props``, which holds ``{"k": 0..99}``."""
+    return F.regexp_extract("props", r'"k": *(-?\d+)', 1).try_cast("int")
+
+
 def trip_events(events: DataFrame, *, keep: tuple[str, ...] = (), text_times: bool = True) -> DataFrame:
     """The ten event fields of each row of ``events``, in time order by ``event_id``.
 
@@ -32,7 +37,7 @@ def trip_events(events: DataFrame, *, keep: tuple[str, ...] = (), text_times: bo
     user = F.col("user_id")
     pickup = F.col("ts").cast("timestamp")
     dropoff = F.timestamp_add("MINUTE", (3 + k % 58).cast("int"), pickup)
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).select(
+    return events.withColumn("k", props_k()).select(
         (iso_text(pickup) if text_times else pickup).alias("tpep_pickup_datetime"),
         F.date_format(dropoff, "yyyy-MM-dd HH:mm:ss").alias("tpep_dropoff_datetime"),
         (k % 6 + 1).cast("int").alias("passenger_count"),

@@ -63,18 +63,23 @@ class ExactMeasure:
         units = F.coalesce(F.col(self.units), F.lit(0)) / F.lit(float(MICROS))
         return units + F.coalesce(F.col(self.large), F.lit(0.0))
 
+    def _half_up(self, count: str, dp: int) -> Column:
+        """``units / count`` to ``dp`` places by integer division.
+
+        A quotient of doubles can miss an exact tie by one bit, and needs a decimal object to round.
+        """
+        step = 10 ** (6 - dp)
+        steps = F.expr(f"(abs({self.units}) * 2 + {count} * {step}L) div ({count} * {2 * step}L)")
+        return F.when(F.col(self.units) < 0, -steps).otherwise(steps) / F.lit(float(10**dp))
+
     def total(self, dp: int) -> Column:
         """NULL when every value was NULL."""
-        return F.when(F.col(self.known) > 0, F.round(self._whole(), dp))
+        exact = F.col(self.large).isNull()
+        total = F.when(exact, self._half_up("1L", dp)).otherwise(F.round(self._whole(), dp))
+        return F.when(F.col(self.known) > 0, total)
 
     def mean(self, dp: int) -> Column:
-        """Half-up mean by integer division; a double quotient can miss an exact tie by one bit."""
-        step = 10 ** (6 - dp)
-        steps = F.expr(
-            f"(abs({self.units}) * 2 + {self.known} * {step}L) div ({self.known} * {2 * step}L)"
-        )
-        exact = F.when(F.col(self.units) < 0, -steps).otherwise(steps) / F.lit(float(10**dp))
-        return F.when(
-            F.col(self.known) > 0,
-            F.when(F.col(self.large).isNull(), exact).otherwise(F.round(self._whole() / F.col(self.known), dp)),
-        )
+        """NULL when every value was NULL."""
+        exact = F.col(self.large).isNull()
+        mean = F.when(exact, self._half_up(self.known, dp)).otherwise(F.round(self._whole() / F.col(self.known), dp))
+        return F.when(F.col(self.known) > 0, mean)

@@ -8,7 +8,7 @@ from kerbflow.operators.normalise import canonical_trips, detect_time_column, no
 from kerbflow.operators.payload import decode_messages, encode_messages
 from kerbflow.operators.rejects import reject_counts, with_reject_reason
 from kerbflow.operators.running import running_totals
-from kerbflow.operators.windows import drop_null_location, windowed_aggregate
+from kerbflow.operators.windows import drop_null_location, only_located, windowed_aggregate
 
 __all__ = [
     "canonical_trips",
@@ -20,6 +20,7 @@ __all__ = [
     "encode_messages",
     "latest_versions",
     "normalise_columns",
+    "only_located",
     "reject_counts",
     "running_totals",
     "to_table_types",

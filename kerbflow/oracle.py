@@ -146,7 +146,7 @@ FROM spoiled GROUP BY ALL""",
     "window_agg_panes": FLAGSHIP,
     "window_agg_direct": FLAGSHIP,
     "window_agg_with_null_location": f"{WITH_RESULT} SELECT * FROM result",
-    "window_agg_null_location_early": FLAGSHIP,
+    "window_agg_null_location_dropped": FLAGSHIP,
     "tumbling_agg": TUMBLING,
     "window_agg_by_zone": f"""WITH {TRIPS},{SPREAD}
 SELECT window_start, window_end, 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR) AS pickup_location, {MEASURES}
