@@ -35,7 +35,8 @@ def running_totals(events: DataFrame, ordinal: str, chunk_size: int, keep: str |
         .select("block", F.coalesce(F.sum("block_total").over(in_order), F.lit(0)).alias("sent_before"))
     )
     in_block = Window.partitionBy("block").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
-    return chunks.join(F.broadcast(blocks), "block").select(
+    # A left join adds no test for NULL to one side alone, so both sides share one shuffle of the counts.
+    return chunks.join(F.broadcast(blocks), "block", "left").select(
         "chunk",
         "events_in_chunk",
         (F.col("sent_before") + F.sum("events_in_chunk").over(in_block)).alias("total_sent"),
