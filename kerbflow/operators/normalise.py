@@ -22,11 +22,11 @@ def normalise_columns(df: DataFrame) -> DataFrame:
 
 
 def detect_time_column(columns: Sequence[str]) -> str:
-    """First header that speaks of a pickup and of a time."""
-    for name in columns:
-        if "pickup" in name and ("datetime" in name or "time" in name):
-            return name
-    raise ValueError(f"no pickup time column among: {', '.join(columns)}")
+    """First header that speaks of a pickup and of a time (``datetime`` included)."""
+    found = next((name for name in columns if "pickup" in name and "time" in name), None)
+    if found is None:
+        raise ValueError(f"no pickup time column among: {', '.join(columns)}")
+    return found
 
 
 def canonical_trips(df: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
