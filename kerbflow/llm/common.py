@@ -70,7 +70,7 @@ class Memo(dict):
     When the young generation is full it becomes the old one; what is used again moves back.
     """
 
-    def __init__(self, make: Callable, limit: int = 250_000, longest: int = 64):
+    def __init__(self, make: Callable, limit: int = 120_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest, self.old = make, limit, longest, {}
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -9,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.llm.common import connected_classes, ready, written
-from kerbflow.llm.shingles import Darts, band_keys, jaccard, shingle_sets, shingles
+from kerbflow.llm.shingles import Darts, band_keys, jaccard, nibbles, shingle_sets, shingles
 
 WORDS, THRESHOLD = 5, 0.8
 SLICE = 256
@@ -21,21 +23,42 @@ def _sketch(words: int, bands: int, rows: int, weighted: bool):
 
     def run(texts: pa.Array) -> pa.Array:
         darts = Darts(bands * rows)
-        prints, keys = [], []
+        prints, keys, sketches = [], [], []
         for at in range(0, len(texts), SLICE):
             sets = shingle_sets(texts.slice(at, SLICE).to_pylist(), words)
             if not weighted:
                 sets = [(e, np.ones(len(e))) for e, _ in sets]
             some = [s for s in sets if len(s[0])]
-            found = iter(band_keys(darts.signatures(some), rows) if some else ())
+            signed = darts.signatures(some) if some else np.zeros((0, bands * rows), dtype=np.uint64)
+            found = iter(zip(band_keys(signed, rows), nibbles(signed), strict=True))
             for e, w in sets:
                 content = e.tobytes() + (w.tobytes() if weighted else b"")
                 prints.append(xxhash.xxh3_128_digest(content) if len(e) else None)
-                keys.append(next(found) if len(e) else None)
-        arrays = [pa.array(prints, type=pa.binary()), pa.array(keys, type=pa.list_(pa.int64()))]
-        return pa.StructArray.from_arrays(arrays, names=["print", "bands"])
+                key, sketch = next(found) if len(e) else (None, None)
+                keys.append(key)
+                sketches.append(sketch)
+        numbers = pa.list_(pa.int64())
+        arrays = [pa.array(prints, type=pa.binary()), pa.array(keys, type=numbers), pa.array(sketches, type=numbers)]
+        return pa.StructArray.from_arrays(arrays, names=["print", "bands", "sketch"])
+
+    return F.arrow_udf(run, "print binary, bands array<bigint>, sketch array<bigint>").asNondeterministic()
+
+
+def _agree(left: Column, right: Column, numbers: int) -> Column:
+    """Coordinates of two sketches whose four bits agree, with those that fill up the last number."""
+    total = F.lit(16 * numbers)
+    for i in range(numbers):
+        differ = F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i)))
+        for shift in (1, 2):
+            differ = differ.bitwiseOR(F.shiftrightunsigned(differ, shift))
+        total = total - F.bit_count(differ.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
 
-    return F.arrow_udf(run, "print binary, bands array<bigint>").asNondeterministic()
+
+def _least_agreement(threshold: float, k: int, numbers: int) -> int:
+    """Four standard deviations below what is expected at the threshold, where four bits also agree by chance."""
+    expected = threshold + (1 - threshold) / 16
+    return math.floor(k * expected - 4 * math.sqrt(k * expected * (1 - expected))) + 16 * numbers - k
 
 
 def _similarity(words: int, weighted: bool):
@@ -79,7 +102,8 @@ def near_duplicates(
 
     Texts with the same set of shingles are one vertex, so groups of exact copies cost one row each beyond the first
     aggregate. Vertices meet in buckets of equal band keys; with the defaults two texts at 0.8 share one with
-    probability 1 - 5e-5. In a bucket every member is compared with one centre, never with all others: first with the
+    probability 1 - 5e-5. Pairs whose sketches of four bits a coordinate agree less than chance allows at the threshold (four
+    standard deviations below) are not read. In a bucket every member is compared with one centre, never with all others: first with the
     member that shares most buckets (the original of a group of edited copies), then, in rounds, with members of the smallest
     class, for the buckets that still hold several classes. Rounds end when one finds no new link. A pair that shares a
     bucket, was never centre and partner and is connected by no other path would stay unlinked; tests hold the classes
@@ -89,14 +113,18 @@ def near_duplicates(
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     source = source.withColumn("row_key", _row_key())
     sketch = _sketch(words, bands, rows, weighted)(F.col("text"))
-    rows_of = source.select("doc_id", "row_key", F.col("text").isNull().alias("no_text"), sketch.alias("s"))
-    rows_of = written(rows_of.select("doc_id", "row_key", "s.print", "s.bands"), "minhash-sketch")
+    rows_of = source.select("doc_id", "row_key", sketch.alias("s"))
+    rows_of = written(rows_of.select("doc_id", "row_key", "s.print", "s.bands", "s.sketch"), "minhash-sketch")
     # A null id sorts last, so that a class with any id is named by one.
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
     texts = rows_of.where("print is not null").groupBy("print")
-    texts = written(texts.agg(F.min(first).alias("first"), F.first("bands").alias("bands"), F.count("*").alias("n")), "minhash-texts")
+    same = [F.first("bands").alias("bands"), F.first("sketch").alias("sketch")]
+    texts = written(texts.agg(F.min(first).alias("first"), *same, F.count("*").alias("n")), "minhash-texts")
 
     buckets = _members(texts)
+    bodies = written(_bodies(buckets, texts, source), "minhash-bodies")
+    numbers = -(-bands * rows // 16)
+    least = _least_agreement(threshold, bands * rows, numbers)
     compared: DataFrame | None = None
     links: DataFrame | None = None
     roots: DataFrame | None = None
@@ -106,7 +134,11 @@ def near_duplicates(
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = written(pairs, "minhash-pairs")
-        found = written(_verified(pairs, texts, source, words, threshold, weighted), "minhash-links")
+        sketches = bodies.select("print", "sketch")
+        left, right = sketches.toDF("a", "a_sketch"), sketches.toDF("b", "b_sketch")
+        likely = pairs.join(left, "a").join(right, "b").where(_agree(F.col("a_sketch"), F.col("b_sketch"), numbers) >= least)
+        likely = written(likely.select("a", "b"), "minhash-likely")
+        found = written(_verified(likely, bodies, words, threshold, weighted), "minhash-links")
         if found.isEmpty():
             break
         compared = pairs if compared is None else compared.union(pairs)
@@ -176,15 +208,16 @@ def _star_pairs(buckets: DataFrame, roots: DataFrame | None, turn: int) -> DataF
     return pairs.select(F.least("print", "c").alias("a"), F.greatest("print", "c").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, source: DataFrame, words: int, threshold: float, weighted: bool) -> DataFrame:
+def _bodies(buckets: DataFrame, texts: DataFrame, source: DataFrame) -> DataFrame:
+    """Text and sketch of every vertex that shares a bucket; the one time that texts are dealt out by key."""
+    rows = buckets.select("print").distinct().join(texts.select("print", "sketch", F.col("first.row_key").alias("row_key")), "print")
+    return source.select("row_key", "text").join(rows, "row_key").dropDuplicates(["row_key"]).select("print", "sketch", "text")
+
+
+def _verified(pairs: DataFrame, bodies: DataFrame, words: int, threshold: float, weighted: bool) -> DataFrame:
     """Pairs whose similarity, from whole texts, is ``threshold`` or more."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct()
-    rows = ends.join(texts.select("print", F.col("first.row_key").alias("row_key")), "print")
-    bodies = source.select("row_key", "text").join(rows, "row_key").dropDuplicates(["print"]).select("print", "text")
-    bodies = written(bodies, "minhash-bodies")
-    left = bodies.select(F.col("print").alias("a"), F.col("text").alias("a_text"))
-    right = bodies.select(F.col("print").alias("b"), F.col("text").alias("b_text"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.select("a", "b", _similarity(words, weighted)(F.col("a_text"), F.col("b_text")).alias("similarity")).where(
-        F.col("similarity") >= threshold
-    )
+    needed = bodies.select("print", "text").join(ends, "print", "left_semi")
+    both = pairs.join(needed.toDF("a", "a_text"), "a").join(needed.toDF("b", "b_text"), "b")
+    similar = _similarity(words, weighted)(F.col("a_text"), F.col("b_text"))
+    return both.select("a", "b", similar.alias("similarity")).where(F.col("similarity") >= threshold)

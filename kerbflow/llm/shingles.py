@@ -12,7 +12,7 @@ import xxhash
 from kerbflow.llm.common import Memo
 
 WORD = re.compile(r"\w+")
-WORD_HASHES = Memo(lambda word: xxhash.xxh64_intdigest(word.encode()), limit=500_000)
+WORD_HASHES = Memo(lambda word: xxhash.xxh64_intdigest(word.encode()), limit=150_000)
 NONE = np.zeros(0, dtype=np.uint64)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,3 +136,11 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     for k in range(rows):
         key = mix(key * GOLDEN + signatures[:, k : bands * rows : rows])
     return key.view(np.int64)
+
+
+def nibbles(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of each coordinate, sixteen coordinates to a 64-bit number."""
+    small = np.zeros((len(signatures), -(-signatures.shape[1] // 16) * 16), dtype=np.uint64)
+    small[:, : signatures.shape[1]] = signatures & np.uint64(15)
+    shifts = np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce(small.reshape(len(small), -1, 16) << shifts, axis=2).view(np.int64)
