@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kerbflow.llm.common import Memo, ready, store, written
+from kerbflow.llm.common import ready, store, written
 from kerbflow.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -167,29 +167,82 @@ class BlockReader:
 
 
 class WordEncoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, part by part.
 
-    The tokenizer drops white space and lets no token cross it, and composes no letters across it, so a text's ids are
-    those of its words in order. Words come back, so their ids are remembered (bounded). A tokenizer for which this
-    does not hold is given the whole text.
+    The tokenizer drops white space, lowers case, and lets no token cross white space or the border between letters and
+    other signs (but for an apostrophe). So a text's ids are those of its parts in order: runs of lower-case letters
+    and runs of other signs in words of Latin-1 letters, whole words elsewhere. Parts come back, so their ids
+    are remembered (at most ``limit``). New runs of letters are encoded together; the ends are told by the tokens
+    that end a word. A tokenizer for which a probe shows that this does not hold is given whole texts.
     """
 
-    WORDS = re.compile(r"[^ \t\n\r]+")
+    WORDS = re.compile(r"[^ \t\n\r]+").findall
+    LETTERS = "a-zà-öø-ÿßªµº"
+    PARTS = re.compile(f"[{LETTERS}]+|[^ \t\n\r{LETTERS}]+").findall
+    PROBE = "Probe  of\n\ttwo é́ WORDS, 12 ﬁ!\r\nit's ÀÖÿ,ß(x)µ-ª7a <|b|> naïve...End 3a\u00a0b ΑΣ"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
-        probe = "Probe  of\n\ttwo é́ WORDS, 12 ﬁ!\r\nend"
-        ids = self._whole(probe)
-        self.by_word = ids.tolist() == np.concatenate([self._whole(w) for w in self.WORDS.findall(probe)]).tolist()
-        self.memo = Memo(lambda word: self._whole(word).tobytes())
-
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def encode(self, text: str) -> np.ndarray:
-        if not self.by_word:
-            return self._whole(text)
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.WORDS.findall(text))), dtype="<u4")
+        self.limit, self.memo = limit, {}
+        ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[ends] = True
+        self.whole = False
+        self.whole = self.encode_all([self.PROBE])[0].tolist() != self._ids(self.PROBE)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        """Latin-1 letters and signs without an apostrophe or what could begin a special token."""
+        if "'" in text or "<" in text:
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
+
+    def _parts(self, text: str) -> list[str]:
+        if self._plain(text):
+            return self.PARTS(text.lower())
+        parts: list[str] = []
+        for word in self.WORDS(text):
+            if self._plain(word):
+                parts += self.PARTS(word.lower())
+            else:
+                parts.append(word)
+        return parts
+
+    def _learn(self, new: set[str]) -> None:
+        letters = sorted(w for w in new if w.isalpha())
+        for at in range(0, len(letters), 64):
+            some = letters[at : at + 64]
+            ids = np.array(self._ids(" ".join(some)), dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                raw, starts = ids.tobytes(), [0, *cuts.tolist()]
+                self.memo.update((w, raw[4 * i : 4 * j]) for w, i, j in zip(some, starts, starts[1:], strict=False))
+        for word in new:
+            if word not in self.memo:
+                self.memo[word] = np.array(self._ids(word), dtype="<u4").tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        if self.whole:
+            return [np.array(self._ids(t), dtype="<u4") for t in texts]
+        if len(self.memo) >= self.limit:
+            self.memo.clear()
+        get = self.memo.get
+        parts = [self._parts(t) for t in texts]
+        # One look-up a part: the memo is far larger than a processor's cache.
+        known = [list(map(get, some)) for some in parts]
+        self._learn({w for some, raw in zip(parts, known, strict=True) if None in raw for w, r in zip(some, raw, strict=True) if r is None})
+        filled = (
+            [r if r is not None else get(w) for w, r in zip(some, raw, strict=True)] if None in raw else raw
+            for some, raw in zip(parts, known, strict=True)
+        )
+        return [np.frombuffer(b"".join(raw), dtype="<u4") for raw in filled]
 
 
 @lru_cache(maxsize=2)
@@ -230,14 +283,14 @@ def write_token_files(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                for key, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                encoded = encoder.encode_all([value or "" for value in part.column(1).to_pylist()])
+                for key, ids in zip(part.column(0).to_pylist(), encoded, strict=True):
                     if writer is None:
                         system, base = store(folder)
                         system.create_dir(base, recursive=True)
                         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.pfor"
                         file = system.open_output_stream(f"{base}/{name}", compression=None)
                         writer = BlockWriter(file, block)
-                    ids = encoder.encode(value) if value else end[:0]
                     writer.add(key, np.concatenate([ids, end]))
         if writer is not None:
             size = writer.close()
