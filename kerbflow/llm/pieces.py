@@ -16,6 +16,7 @@ there, and the results of short spans are remembered (bounded), since words come
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
@@ -29,6 +30,7 @@ from kerbflow.llm.common import Memo
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 WHOLE = 1 << 20
+SHORT, NEVER = 64, float("-inf")
 
 
 class Pieces:
@@ -60,8 +62,9 @@ class Pieces:
         forced = f"{SPACE}*{letters}+|{SPACE}+|{outer}"
         self.cut = re.compile(forced if self.byte_fallback and not crosses else r"(?s:.+)")
         self.surface = self._surfaces(model, kinds)
-        self.counts = Memo(self.count_span)
-        self.ids = Memo(lambda span: np.fromiter(self.stream(span), dtype="<i4").tobytes())
+        self.singles = {p for p, _, _ in normal if len(p) == 1}
+        self.counts = Memo(self.count_span, limit=200_000)
+        self.ids = Memo(self.ids_of_span, limit=180_000)
 
     @staticmethod
     def _surfaces(model, kinds) -> list[bytes]:
@@ -99,8 +102,16 @@ class Pieces:
     def count_span(self, span: str) -> int:
         """Pieces on the best path. Per position only its best score and number of pieces are kept.
 
-        Only the last ``longest`` positions can start a piece, so they are held in a ring.
+        Only the last ``longest`` positions can start a piece, so they are held in a ring; a short span without a
+        character that could be unknown needs neither the ring nor that case.
         """
+        if len(span) <= SHORT and self.singles.issuperset(span):
+            best, pieces = [0.0] + [NEVER] * len(span), [0] * (len(span) + 1)
+            for last, (length, _, score) in self.automaton.iter(span):
+                score += best[last + 1 - length]
+                if score > best[last + 1]:
+                    best[last + 1], pieces[last + 1] = score, pieces[last + 1 - length] + 1
+            return pieces[-1]
         size = self.longest + 1
         best, pieces, merged = [0.0] * size, [0] * size, [False] * size
         hits = self.automaton.iter(span)
@@ -130,6 +141,22 @@ class Pieces:
 
     # --- ids ------------------------------------------------------------------------------------
 
+    def ids_of_span(self, span: str) -> bytes:
+        """The ids of a span as 32-bit numbers. A short one ends before the first commit of ``stream`` would come."""
+        if len(span) > SHORT or not self.singles.issuperset(span):
+            return array("i", self.stream(span)).tobytes()
+        best, came = [0.0] + [NEVER] * len(span), [(0, 0)] * (len(span) + 1)
+        for last, (length, i, score) in self.automaton.iter(span):
+            score += best[last + 1 - length]
+            if score > best[last + 1]:
+                best[last + 1], came[last + 1] = score, (length, i)
+        ids, end = [], len(span)
+        while end:
+            length, i = came[end]
+            ids.append(i)
+            end -= length
+        return array("i", ids[::-1]).tobytes()
+
     def stream(self, span: str) -> Iterator[int]:
         """Ids of the best path, given out as soon as they are certain.
 
@@ -191,7 +218,10 @@ class Pieces:
         return before_unknown
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.ids.__getitem__, self.spans(text))), dtype="<i4")
+        return np.frombuffer(self.encode_bytes(text), dtype="i4")
+
+    def encode_bytes(self, text: str) -> bytes:
+        return b"".join(map(self.ids.__getitem__, self.spans(text)))
 
     @cached_property
     def _one(self):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
@@ -24,12 +23,13 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, text: str = "t
 
     def run(texts: pa.Array) -> pa.Array:
         pieces = load_pieces(path)
-        parts, ends = [np.zeros(0, dtype="<i4")], [0]
+        parts, ends = [], [0]
         for at in range(0, len(texts), SLICE):
             for value in texts.slice(at, SLICE).to_pylist():
-                parts.append(pieces.encode(value or ""))
-                ends.append(ends[-1] + len(parts[-1]))
-        return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(np.concatenate(parts)))
+                parts.append(pieces.encode_bytes(value or ""))
+                ends.append(ends[-1] + len(parts[-1]) // 4)
+        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(parts))])
+        return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values)
 
     return put(docs, to, F.arrow_udf(run, "array<int>").asNondeterministic()(F.col(f"`{text}`")))
 
@@ -44,12 +44,11 @@ def decode_pieces(docs: DataFrame, model_path: str | None = None, ids: str = "id
 
     def run(lists: pa.Array) -> pa.Array:
         pieces = load_pieces(path)
-        out = []
+        out = [pa.array([], type=pa.string())]
         for at in range(0, len(lists), SLICE):
-            part = lists.slice(at, SLICE)
-            for value in part:
-                found = value.values
-                out.append(pieces.decode(found.drop_null().to_numpy().tolist()) if found is not None else "")
-        return pa.array(out, type=pa.string())
+            found = (value.values for value in lists.slice(at, SLICE))
+            texts = [pieces.decode(ids.drop_null().to_numpy().tolist()) if ids is not None else "" for ids in found]
+            out.append(pa.array(texts, type=pa.string()))
+        return pa.concat_arrays(out)
 
     return put(docs, to, F.arrow_udf(run, "string").asNondeterministic()(F.col(f"`{ids}`")))

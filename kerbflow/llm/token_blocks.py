@@ -47,10 +47,8 @@ def pack_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """One block of 1 to 65535 unsigned 32-bit ids."""
     least = int(ids.min())
     rest = ids.astype(np.uint32) - np.uint32(least)
-    widths = np.zeros(len(rest), dtype=np.uint8)
-    some = rest > 0
-    widths[some] = np.floor(np.log2(rest[some].astype(np.float64))).astype(np.uint8) + 1
-    width = int(np.percentile(widths, percentile, method="higher"))
+    widths = np.frexp(rest.astype(np.float64))[1]
+    width = int(np.searchsorted(np.cumsum(np.bincount(widths)), percentile / 100 * len(rest)))
     large = np.flatnonzero(widths > width)
     fits = rest.copy()
     fits[large] = 0
@@ -181,7 +179,7 @@ class WordEncoder:
     PARTS = re.compile(f"[{LETTERS}]+|[^ \t\n\r{LETTERS}]+").findall
     PROBE = "Probe  of\n\ttwo é́ WORDS, 12 ﬁ!\r\nit's ÀÖÿ,ß(x)µ-ª7a <|b|> naïve...End 3a\u00a0b ΑΣ"
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit, self.memo = limit, {}
         ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
@@ -216,17 +214,19 @@ class WordEncoder:
         return parts
 
     def _learn(self, new: set[str]) -> None:
-        letters = sorted(w for w in new if w.isalpha())
-        for at in range(0, len(letters), 64):
-            some = letters[at : at + 64]
+        letters = [w for w in new if w.isalpha()]
+        others = [w for w in new if not w.isalpha()]
+        for at in range(0, len(letters), 256):
+            some = letters[at : at + 256]
             ids = np.array(self._ids(" ".join(some)), dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(some) and cuts[-1] == len(ids):
-                raw, starts = ids.tobytes(), [0, *cuts.tolist()]
-                self.memo.update((w, raw[4 * i : 4 * j]) for w, i, j in zip(some, starts, starts[1:], strict=False))
-        for word in new:
-            if word not in self.memo:
-                self.memo[word] = np.array(self._ids(word), dtype="<u4").tobytes()
+                raw, ends = ids.tobytes(), (4 * cuts).tolist()
+                self.memo.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+            else:
+                others += some
+        for word in others:
+            self.memo[word] = np.array(self._ids(word), dtype="<u4").tobytes()
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         if self.whole:
