@@ -16,8 +16,14 @@ from kerbflow.session import scratch_dir
 SLICE = 256
 
 
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Let the Python workers find this package where the driver found it.
+    """Let the Python workers find this package where the driver found it, and send them small batches.
+
+    Ten thousand whole texts a batch are more than a worker should hold, so unless the session states a batch size
+    of its own it is set to ``BATCH_ROWS`` for the session.
 
     A cluster installs the package on its nodes; this matters for a local session whose driver put the folder on its
     own ``sys.path``.
@@ -27,6 +33,8 @@ def ready(spark: SparkSession) -> SparkSession:
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     return spark
 
 
@@ -87,6 +95,20 @@ class Memo(dict):
         return value
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key, make: Callable):
+    """What a worker keeps between batches: the state of the operator that it ran last, and no other.
+
+    Workers outlive stages, so without this each operator of a pipeline would leave its tables in every worker.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
 def connected_classes(links: DataFrame, label: str) -> DataFrame:
     """Classes of vertices joined by ``links`` (columns ``a`` and ``b``, any one type).
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import put, ready, text_column
+from kerbflow.llm.common import put, ready, resident, text_column
 
 ERROR_RATE = 0.1
 BLOCK_CHARS = 4_000_000
@@ -139,10 +140,6 @@ class Matcher:
             yield at + 1, distance
 
 
-#: The last matcher of this worker, by the broadcast block it was made from.
-_LAST: dict[tuple, Matcher] = {}
-
-
 def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of a bounded number of characters (or one longer item)."""
     block, held = [], 0
@@ -179,20 +176,18 @@ def find_leaks(
     spark = ready(docs.sparkSession)
     chosen = items.select(F.col(f"`{item_id}`"), F.col(f"`{item_text}`"))
     columns = []
-    for number, block in enumerate(_blocks(chosen, block_chars)):
-        columns.append(_column(spark.sparkContext.broadcast(block), number, error_rate)(F.col(f"`{text}`")))
+    for block in _blocks(chosen, block_chars):
+        columns.append(_column(spark.sparkContext.broadcast(block), error_rate)(F.col(f"`{text}`")))
     leaks = columns[0] if len(columns) == 1 else F.sort_array(F.concat(*columns))
     return put(docs, to, leaks)
 
 
-def _column(block, number: int, error_rate: float):
-    token = (number, error_rate, block._jbroadcast.id() if block._jbroadcast is not None else number)
+def _column(block, error_rate: float):
+    """A column of leaks from one broadcast block. A worker keeps the matcher of the block it saw last."""
+    token = ("matcher", uuid.uuid4().hex)
 
     def find(texts: list) -> list:
-        if token not in _LAST:
-            _LAST.clear()
-            _LAST[token] = Matcher(block.value, error_rate)
-        matcher = _LAST[token]
+        matcher = resident(token, lambda: Matcher(block.value, error_rate))
         return [[dict(zip(("item_id", "start", "end", "distance"), f, strict=True)) for f in matcher.find(t)] for t in texts]
 
     return text_column(find, LEAKS, LEAK_KIND)

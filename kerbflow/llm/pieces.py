@@ -18,14 +18,14 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
 
-from kerbflow.llm.common import Memo
+from kerbflow.llm.common import Memo, resident
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -233,6 +233,5 @@ class Pieces:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-@lru_cache(maxsize=2)
 def load_pieces(model_path: str) -> Pieces:
-    return Pieces(model_path)
+    return resident(("pieces", model_path), lambda: Pieces(model_path))

@@ -15,7 +15,7 @@ from kerbflow.llm.embeddings import link_vectors
 from kerbflow.llm.langid import held_out, identify_language, train
 from kerbflow.llm.minhash import near_duplicates
 from kerbflow.llm.secrets import scan_secrets, spans_text
-from kerbflow.llm.sentencepiece_stream import decode_pieces, encode_pieces
+from kerbflow.llm.sentencepiece_stream import encode_checked
 from kerbflow.llm.token_blocks import read_token_files, write_token_files
 from kerbflow.llm.token_counts import count_tokens
 from kerbflow.llm.warc import plan_revisits, read_warc, write_warc
@@ -71,12 +71,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
-    encoded = encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    decoded = decode_pieces(encoded)
-    whole = F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
-    return decoded.select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("decoded") == whole).alias("round_trip")
-    )
+    encoded = encode_checked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

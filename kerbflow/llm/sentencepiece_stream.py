@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from array import array
+
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.llm.common import SLICE, put, ready
-from kerbflow.llm.pieces import load_pieces
+from kerbflow.llm.pieces import SPACE, load_pieces
 from kerbflow.llm.token_counts import MODEL
 
 
@@ -34,6 +36,34 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, text: str = "t
     return put(docs, to, F.arrow_udf(run, "array<int>").asNondeterministic()(F.col(f"`{text}`")))
 
 
+def encode_checked(
+    docs: DataFrame, model_path: str | None = None, text: str = "text", to: str = "ids", check: str = "round_trip"
+) -> DataFrame:
+    """As ``encode_pieces``, and whether the ids decode to the text (with a space for each marker U+2581).
+
+    Each text is decoded where it was encoded, so neither its ids nor the decoded text travel a second time.
+    """
+    ready(docs.sparkSession)
+    path = model_path or public_tokenizers.path(MODEL)
+
+    def run(texts: pa.Array) -> pa.Array:
+        pieces = load_pieces(path)
+        parts, ends, whole = [], [0], []
+        for at in range(0, len(texts), SLICE):
+            for value in texts.slice(at, SLICE).to_pylist():
+                value = value or ""
+                parts.append(pieces.encode_bytes(value))
+                ends.append(ends[-1] + len(parts[-1]) // 4)
+                whole.append(pieces.decode(array("i", parts[-1])) == value.replace(SPACE, " "))
+        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(parts))])
+        lists = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values)
+        return pa.StructArray.from_arrays([lists, pa.array(whole, type=pa.bool_())], names=["ids", "whole"])
+
+    both = F.arrow_udf(run, "ids array<int>, whole boolean").asNondeterministic()(F.col(f"`{text}`"))
+    made = docs.select("*", both.alias("__pieces"))
+    return put(put(made, to, F.col("__pieces.ids")), check, F.col("__pieces.whole")).drop("__pieces")
+
+
 def decode_pieces(docs: DataFrame, model_path: str | None = None, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``docs`` with the text of each list of ids; null lists and null ids give nothing, an id outside the model fails.
 

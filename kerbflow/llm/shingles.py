@@ -9,10 +9,9 @@ from dataclasses import dataclass
 import numpy as np
 import xxhash
 
-from kerbflow.llm.common import Memo
+from kerbflow.llm.common import Memo, resident
 
 WORD = re.compile(r"\w+")
-WORD_HASHES = Memo(lambda word: xxhash.xxh64_intdigest(word.encode()), limit=150_000)
 NONE = np.zeros(0, dtype=np.uint64)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -32,9 +31,9 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> list[tuple[np.ndarr
 
     A text of fewer words is one shingle of all its words; a text without a word has none.
     """
-    parts = [
-        np.fromiter(map(WORD_HASHES.__getitem__, WORD.findall(t.lower())), dtype=np.uint64) if t else NONE for t in texts
-    ]
+    known = resident("word hashes", lambda: Memo(lambda word: xxhash.xxh64_intdigest(word.encode()), limit=150_000))
+    get = known.__getitem__
+    parts = [np.fromiter(map(get, WORD.findall(t.lower())), dtype=np.uint64) if t else NONE for t in texts]
     hashes = np.concatenate([*parts, np.zeros(words, dtype=np.uint64)])
     long = hashes[: len(hashes) - words + 1] * FACTORS[0]
     for k in range(1, words):

@@ -18,7 +18,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kerbflow.llm.common import ready, store, written
+from kerbflow.llm.common import ready, resident, store, written
 from kerbflow.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -245,9 +244,8 @@ class WordEncoder:
         return [np.frombuffer(b"".join(raw), dtype="<u4") for raw in filled]
 
 
-@lru_cache(maxsize=2)
 def load_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return resident(("words", path), lambda: WordEncoder(path))
 
 
 def write_token_files(

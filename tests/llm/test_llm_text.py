@@ -19,7 +19,7 @@ from kerbflow.llm.langid import LanguageModel, fold, identify_language, sample_t
 from kerbflow.llm.pieces import Pieces
 from kerbflow.llm.queries import QUERIES
 from kerbflow.llm.secrets import ASSIGN, redact_secrets, scan_secrets
-from kerbflow.llm.sentencepiece_stream import decode_pieces, encode_pieces
+from kerbflow.llm.sentencepiece_stream import decode_pieces, encode_checked, encode_pieces
 from kerbflow.llm.token_blocks import pack_block, read_token_files, unpack_block, write_token_files
 from kerbflow.llm.token_counts import count_tokens
 
@@ -93,6 +93,8 @@ def test_round_trip_and_odd_rows(spark, texts):
     for row in rows:
         assert row.decoded == (row.text or "")
         assert row.n_tokens == len(row.ids)
+    checked = encode_checked(docs.withColumn("round_trip", F.lit(1)))
+    assert checked.where("round_trip").count() == len(rows) and [r.ids for r in checked.collect()] == [r.ids for r in rows]
     empty = docs.limit(0)
     assert decode_pieces(encode_pieces(count_tokens(empty))).count() == 0
 
