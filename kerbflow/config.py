@@ -89,19 +89,21 @@ class FlowConfig:
     trigger_interval: str = _env("TRIGGER_INTERVAL", "30 seconds")
     data_path: str = _env("DATA_PATH", "/data/taxi_data.csv")
     chunk_size: int = _env("CHUNK_SIZE", "10000")
+    jdbc_max_connections: int = _env("JDBC_MAX_CONNECTIONS", "8")
+    max_offsets_per_trigger: int | None = _env("MAX_OFFSETS_PER_TRIGGER")
 
     # Not environment settings.
     jdbc_driver: str = "org.postgresql.Driver"
     aggregate_table: str = "taxi_aggregates"
     raw_table: str = "taxi_events_raw"
     jdbc_batch_rows: int = 1000
-    jdbc_max_connections: int = 8
-    max_offsets_per_trigger: int = 50_000
     drop_null_location_early: bool = False
     state_store: str = "rocksdb"
 
     def __post_init__(self) -> None:
-        object.__setattr__(self, "chunk_size", int(self.chunk_size))
+        for name in ("chunk_size", "jdbc_max_connections", "max_offsets_per_trigger"):
+            if getattr(self, name) is not None:
+                object.__setattr__(self, name, int(getattr(self, name)))
         if self.chunk_size <= 0:
             raise ValueError("CHUNK_SIZE must be positive")
         if self.state_store not in ("rocksdb", "memory"):

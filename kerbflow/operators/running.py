@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BLOCKS = 1000
+BLOCK_CHUNKS = 1000
 
 
 def running_totals(events: DataFrame, ordinal: str, chunk_size: int, keep: str | None = None) -> DataFrame:
@@ -14,19 +14,15 @@ def running_totals(events: DataFrame, ordinal: str, chunk_size: int, keep: str |
     ``ordinal`` is the row number in the input, from 0. Rows for which ``keep`` (a SQL condition) is
     not true fill their chunk but are not sent, so a chunk can hold 0 events.
 
-    A running total needs an order over all chunks, and there may be very many. They are cut into at
-    most 1,000 blocks of consecutive chunks: only the block sums are put in one sequence, and
-    the chunks of a block are then summed in parallel with the others.
+    A running total needs an order over all chunks, and there may be very many. They are cut into blocks
+    of 1,000 consecutive chunks: only the block sums are put in one sequence, and the chunks of a block are then
+    summed in parallel with the others. No job runs while the plan is built.
     """
     sent = F.count(F.when(F.expr(keep), 1)) if keep else F.count(F.lit(1))
-    last = events.agg(F.max(ordinal)).first()[0]
-    last_chunk = 0 if last is None else last // chunk_size
-    block_length = last_chunk // MAX_BLOCKS + 1
-
     chunks = (
         events.groupBy(F.expr(f"{ordinal} div {chunk_size}").alias("chunk"))
         .agg(sent.alias("events_in_chunk"))
-        .withColumn("block", F.expr(f"chunk div {block_length}"))
+        .withColumn("block", F.expr(f"chunk div {BLOCK_CHUNKS}"))
     )
     in_order = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
@@ -36,7 +32,7 @@ def running_totals(events: DataFrame, ordinal: str, chunk_size: int, keep: str |
     )
     in_block = Window.partitionBy("block").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
     # A left join adds no test for NULL to one side alone, so both sides share one shuffle of the counts.
-    return chunks.join(F.broadcast(blocks), "block", "left").select(
+    return chunks.join(blocks, "block", "left").select(
         "chunk",
         "events_in_chunk",
         (F.col("sent_before") + F.sum("events_in_chunk").over(in_block)).alias("total_sent"),

@@ -30,7 +30,7 @@ def jdbc_options(config: FlowConfig, table: str) -> dict[str, str]:
 
 
 class JdbcSink:
-    """Callback for ``foreachBatch`` that appends the rows of a batch, at most 8 connections at a time.
+    """Callback for ``foreachBatch`` that appends the rows of a batch, at most ``jdbc_max_connections`` at a time.
 
     A batch that is run again after a failure is appended again. With ``with_batch_id`` the
     table gets a ``batch_id`` column, and ``latest_versions`` over it gives one row per window all the same.

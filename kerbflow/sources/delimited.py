@@ -9,19 +9,17 @@ from pyspark.sql import types as T
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, under the file's own headers.
 
-    Types are not inferred: that would read everything once more, and ``canonical_trips`` knows them.
+    Types are not inferred: that would read everything once more, and ``canonical_trips`` knows them. Columns are told by
+    their place, so a folder whose files have other headers, or the same in another order, is refused.
     """
-    return spark.read.option("header", True).csv(path)
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 
-def stream_trips(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
-    """The files of a folder as a stream, ``max_files`` per micro-batch, oldest first."""
+def stream_trips(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The files of a folder as a stream, oldest first; ``max_files`` bounds a micro-batch."""
     header = read_trips(spark, path).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", max_files)
-        .csv(path)
-    )
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.csv(path)

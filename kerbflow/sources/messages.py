@@ -19,7 +19,8 @@ def kafka_read_options(config: FlowConfig) -> dict[str, str]:
 
 def kafka_stream_options(config: FlowConfig) -> dict[str, str]:
     """From the earliest message on a cold start, with a bounded number of messages per batch."""
-    return {**kafka_read_options(config), "maxOffsetsPerTrigger": str(config.max_offsets_per_trigger)}
+    most = config.max_offsets_per_trigger
+    return kafka_read_options(config) | ({"maxOffsetsPerTrigger": str(most)} if most is not None else {})
 
 
 def stream_kafka(spark: SparkSession, config: FlowConfig) -> DataFrame:

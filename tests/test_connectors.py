@@ -22,7 +22,10 @@ def test_kafka_options():
         "failOnDataLoss": "false",
     }
     assert kafka_read_options(CONFIG) == read
-    assert kafka_stream_options(CONFIG) == {**read, "maxOffsetsPerTrigger": "50000"}
+    assert kafka_stream_options(CONFIG) == read
+    bounded = FlowConfig.from_env({"MAX_OFFSETS_PER_TRIGGER": "50000", "JDBC_MAX_CONNECTIONS": "64"})
+    assert kafka_stream_options(bounded)["maxOffsetsPerTrigger"] == "50000"
+    assert bounded.jdbc_max_connections == 64
     assert kafka_write_options(CONFIG) == {
         "kafka.bootstrap.servers": "kafka:29092",
         "topic": "taxi-events",
@@ -87,3 +90,12 @@ def test_table_definitions(spark, tmp_path):
     finally:
         spark.sql("DROP TABLE kerb_aggregates")
         spark.sql("DROP TABLE kerb_raw")
+
+
+def test_files_with_another_header_order_are_refused(spark, tmp_path):
+    from kerbflow.sources import read_trips
+
+    (tmp_path / "a.csv").write_text("fare_amount,trip_distance\n1.5,9.0\n")
+    (tmp_path / "b.csv").write_text("trip_distance,fare_amount\n9.0,1.5\n")
+    with pytest.raises(Exception, match="header"):
+        read_trips(spark, str(tmp_path)).collect()
