@@ -81,10 +81,12 @@ def windowed_aggregate(
     else:
         grouped = _by_start(rows, "event_time", size, slide, names, _partials()).withColumn("window_end", window_end)
 
-    return grouped.select(
+    carried = [c for m in MEASURES for c in m.carried()]
+    finished = grouped.select("window_start", "window_end", location.alias("pickup_location"), "trip_count", *carried)
+    return finished.select(
         "window_start",
         "window_end",
-        location.alias("pickup_location"),
+        "pickup_location",
         "trip_count",
         FARE.mean(2).alias("avg_fare"),
         FARE.total(2).alias("total_fare"),
