@@ -4,12 +4,16 @@ import pytest
 from compare import duck_rows, spark_rows
 
 import __spark_entry__ as contract
+from kerbflow.catalogue import QUERIES
+from kerbflow.oracle import SQL
 
 SF = "/root/testdata/sf0.01"
 
 
 def test_names_match():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -26,7 +30,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, name):
     names, rows = spark_rows(contract.queries()[name](spark, SF))
     expected_names, expected = duck_rows(contract.oracle_sql()[name], SF)
