@@ -8,7 +8,8 @@
     python -m kerbflow peek            the first 5 messages
 
 Settings come from the environment, see ``FlowConfig``. ``--topic-dir`` and ``--out`` name folders to use in place
-of the topic and of the database.
+of the topic and of the database. Results of each topic and window shape have a folder of their own below ``--out``, so
+``verify`` and ``count`` take the same settings and folders as ``stream`` did.
 """
 
 from __future__ import annotations
@@ -39,8 +40,21 @@ def _stream_source(spark: SparkSession, config: FlowConfig, args: argparse.Names
     return stream_message_files(spark, args.topic_dir) if args.topic_dir else stream_kafka(spark, config)
 
 
+def _source_name(config: FlowConfig, args: argparse.Namespace) -> str:
+    return args.topic_dir or f"{config.kafka_servers}/{config.kafka_topic}"
+
+
+def _result_folder(config: FlowConfig, args: argparse.Namespace) -> str:
+    return f"{args.out.rstrip('/')}/{config.checkpoint_name('run', _source_name(config, args))}"
+
+
+def _checkpoint(spark: SparkSession, config: FlowConfig, args: argparse.Namespace, label: str) -> str:
+    sink = args.out or f"{config.jdbc_url}/{config.aggregate_table}"
+    return checkpoint_path(spark, config, label, _source_name(config, args), sink)
+
+
 def feed(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
-    messages = trips_to_messages(read_trips(spark, config.data_path))
+    messages = trips_to_messages(read_trips(spark, config.data_path), config.time_patterns)
     if args.topic_dir:
         write_message_files(messages, args.topic_dir)
     else:
@@ -49,13 +63,13 @@ def feed(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> N
 
 def stream(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
     result = trip_aggregates(_stream_source(spark, config, args), config)
-    sink = BatchFolderSink(args.out) if args.out else JdbcSink(config)
-    _run(spark, result, sink, checkpoint_path(spark, config), "update", config, args)
+    sink = BatchFolderSink(_result_folder(config, args)) if args.out else JdbcSink(config)
+    _run(spark, result, sink, _checkpoint(spark, config, args, "trip-aggregates"), "update", config, args)
 
 
 def raw(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
     events = raw_events(_stream_source(spark, config, args))
-    _run(spark, events, RawEventSink(args.out), checkpoint_path(spark, config, "raw-events"), "append", config, args)
+    _run(spark, events, RawEventSink(args.out), _checkpoint(spark, config, args, "raw-events"), "append", config, args)
 
 
 def _run(spark, result, sink, checkpoint, mode, config, args) -> None:
@@ -67,7 +81,8 @@ def _run(spark, result, sink, checkpoint, mode, config, args) -> None:
 
 
 def _results(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> DataFrame:
-    return latest_versions(read_changelog(spark, args.out)) if args.out else read_jdbc_table(spark, config)
+    stored = read_changelog(spark, _result_folder(config, args)) if args.out else read_jdbc_table(spark, config)
+    return latest_versions(stored)
 
 
 def verify(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:

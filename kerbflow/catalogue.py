@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbflow import fixtures
-from kerbflow.config import FlowConfig
+from kerbflow.config import FlowConfig, WindowSpec
 from kerbflow.functions import zone_key
 from kerbflow.operators import (
     canonical_trips,
@@ -175,6 +175,16 @@ def csv_feed(spark, sf_dir):
     return decode_messages(trips_to_messages(read_trips(spark, folder)))
 
 
+@query
+def csv_time_formats(spark, sf_dir):
+    """Delimited files with times as ``02/01/2016 10:00:00.000000 AM``, read by a format of their own."""
+    folder, form, column = scratch_dir(spark, "csv-formats"), "MM/dd/yyyy hh:mm:ss.SSSSSS a", " Pickup DateTime"
+    time = F.col(f"`{column}`")
+    other = F.coalesce(F.date_format(F.try_to_timestamp(time), form), time)
+    untidy_file(spark, sf_dir).withColumn(column, other).write.option("header", True).csv(folder)
+    return decode_messages(trips_to_messages(read_trips(spark, folder), (form,)))
+
+
 @query
 def csv_stream_feed(spark, sf_dir):
     """The same with the files followed as a stream and the messages written per batch."""
@@ -255,6 +265,38 @@ def window_agg_by_zone(spark, sf_dir):
     return windowed_aggregate(zoned, CONFIG.window, by="pickup_location")
 
 
+def scaled_trips(spark: SparkSession, sf_dir: str, fare: Column, distance: Column | None = None) -> DataFrame:
+    """Typed trips with other fares (and distances), made from columns of the events."""
+    events = fixtures.read_events(spark, sf_dir)
+    trips = fixtures.trip_events(events, keep=("event_id", "event_type", "value"), text_times=False)
+    return trips.withColumns({"fare_amount": fare} | ({} if distance is None else {"trip_distance": distance}))
+
+
+def large_fare() -> Column:
+    """Whole numbers up to 5e13, so that totals of a window pass 1e13."""
+    return F.rint(F.col("value") * 1e11)
+
+
+@query
+def window_agg_large_values(spark, sf_dir):
+    return typed_trip_aggregates(scaled_trips(spark, sf_dir, large_fare()), LOCATED)
+
+
+@query
+def window_agg_fine_values(spark, sf_dir):
+    """Fares of nine decimals and distances of seven."""
+    trips = scaled_trips(spark, sf_dir, F.col("value") / 1e7, F.col("value") / 1e5)
+    return typed_trip_aggregates(trips, LOCATED)
+
+
+@query
+def window_agg_mixed_values(spark, sf_dir):
+    """Fares of both kinds in one group, per day and type of event."""
+    fare = F.when(F.col("event_id") % 2 == 0, large_fare()).otherwise(F.col("value") / 1e7)
+    trips = with_event_time(scaled_trips(spark, sf_dir, fare))
+    return windowed_aggregate(trips, WindowSpec("1 day", None), by="event_type")
+
+
 @query
 def sink_decimal_shape(spark, sf_dir):
     result = typed_trip_aggregates(typed_trips(spark, sf_dir), LOCATED)

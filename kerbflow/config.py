@@ -91,6 +91,7 @@ class FlowConfig:
     chunk_size: int = _env("CHUNK_SIZE", "10000")
     jdbc_max_connections: int = _env("JDBC_MAX_CONNECTIONS", "8")
     max_offsets_per_trigger: int | None = _env("MAX_OFFSETS_PER_TRIGGER")
+    time_formats: str = _env("TIME_FORMATS", "")
 
     # Not environment settings.
     jdbc_driver: str = "org.postgresql.Driver"
@@ -126,11 +127,17 @@ class FlowConfig:
     def window(self) -> WindowSpec:
         return WindowSpec(self.window_duration, self.slide_duration)
 
-    def checkpoint_name(self, label: str = "trip-aggregates") -> str:
-        """Folder name of the checkpoint, different for each window shape.
+    @property
+    def time_patterns(self) -> tuple[str, ...]:
+        """Forms of the pickup time in trip files, tried after the ISO-like ones; ``TIME_FORMATS`` has a ``|`` between them."""
+        return tuple(form for form in self.time_formats.split("|") if form)
+
+    def checkpoint_name(self, label: str = "trip-aggregates", source: str = "", sink: str = "") -> str:
+        """Folder name of one run: different for each window shape, watermark delay, source and sink.
 
-        Spark accepts an old checkpoint after the window length was changed and would then
-        mix windows of both lengths in one state, so the name carries a digest of the shape.
+        Spark accepts an old checkpoint after any of these was changed. It would then mix windows of both lengths, or
+        the events of two topics, in one state, or skip what another sink has read. So the name carries a digest of them.
         """
         shape = (self.window.size_micros, self.window.slide_micros, self.drop_null_location_early)
-        return f"{label}-{hashlib.sha256(repr(shape).encode()).hexdigest()[:12]}"
+        run = (*shape, duration_micros(self.watermark_delay), source, sink)
+        return f"{label}-{hashlib.sha256(repr(run).encode()).hexdigest()[:12]}"

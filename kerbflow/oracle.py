@@ -127,11 +127,44 @@ PAYLOAD = "'{' || " + " || ',' || ".join(
     ]
 ) + " || '}'"
 
+
+
+def _exact(total: str, count: str, decimals: int, dp: int) -> str:
+    """``total`` / ``count`` in wide whole numbers of 10**-decimals, half up to ``dp`` places; for totals of 0 and more."""
+    step = 10 ** (decimals - dp)
+    steps = f"((2 * {total} + {count} * {step}) // (2 * {count} * {step}))"
+    return f"CAST({steps} // {10**dp} AS DOUBLE) + CAST({steps} % {10**dp} AS DOUBLE) / {10**dp}"
+
+
+def _scaled(fare: str, distance: str, windows: str, group: str, where: str) -> str:
+    """Aggregates of fares given in units of 1e-9; ``cents`` is the value in hundredths."""
+    return f"""WITH {TRIPS},{SPREAD},
+priced AS (
+  SELECT *, {fare} AS fare FROM (
+    SELECT {windows}.*, CAST(round(e.value * 100) AS HUGEINT) AS cents FROM {windows} JOIN events e USING (event_id)
+  ) AS priced
+),
+summed AS (
+  SELECT {group}, count(*) AS trip_count, sum(fare) AS s, nullif(count(fare), 0) AS n, {distance} AS avg_trip_distance
+  FROM priced {where} GROUP BY ALL
+)
+SELECT window_start, window_end, pickup_location, trip_count, {_exact("s", "n", 9, 2)} AS avg_fare,
+  {_exact("s", "CAST(1 AS HUGEINT)", 9, 2)} AS total_fare, avg_trip_distance FROM summed"""
+
+
+_LARGE = f"cents * CAST({10**18} AS HUGEINT)"
+_WINDOW = "window_start, window_end, pickup_location"
+_LOCATED = "WHERE pickup_location IS NOT NULL"
+_DISTANCE = "round(avg(trip_distance) + CAST(1e-9 AS DOUBLE), 4)"
+_DAY = """time_bucket(INTERVAL '1 day', ts) AS window_start,
+    time_bucket(INTERVAL '1 day', ts) + INTERVAL 1 DAY AS window_end, event_type AS pickup_location"""
+
 SQL: dict[str, str] = {
     "normalise_headers": """SELECT event_id, ts AS tpep_pickup_datetime, user_id, event_type,
   value AS fare_amount, props FROM events""",
     "canonical_fields": f"WITH {TRIPS} {UNTIDY}, event_id FROM trips WHERE event_type <> 'click'",
     "csv_feed": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
+    "csv_time_formats": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
     "csv_stream_feed": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
     "encode_decode_json": f'WITH {TRIPS} SELECT {FIELDS}, "partition", "offset" FROM trips',
     "enrich_events": f"""WITH {TRIPS}
@@ -151,6 +184,13 @@ FROM spoiled GROUP BY ALL""",
     "window_agg_by_zone": f"""WITH {TRIPS},{SPREAD}
 SELECT window_start, window_end, 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR) AS pickup_location, {MEASURES}
 FROM spread GROUP BY ALL""",
+    "window_agg_large_values": _scaled(_LARGE, _DISTANCE, "spread", _WINDOW, _LOCATED),
+    "window_agg_fine_values": _scaled(
+        "cents", _exact("sum(cents)", "CAST(count(*) AS HUGEINT)", 7, 4), "spread", _WINDOW, _LOCATED
+    ),
+    "window_agg_mixed_values": _scaled(
+        f"CASE WHEN event_id % 2 = 0 THEN {_LARGE} ELSE cents END", _DISTANCE, "located", _DAY, ""
+    ),
     "sink_decimal_shape": f"""{WITH_RESULT}
 SELECT window_start, window_end, pickup_location, trip_count,
   CAST(avg_fare AS DECIMAL(10, 2)) AS avg_fare, CAST(total_fare AS DECIMAL(12, 2)) AS total_fare,

@@ -11,7 +11,7 @@ from kerbflow.schema import AGGREGATE_FIELDS
 
 def trip_aggregates(messages: DataFrame, config: FlowConfig = FlowConfig(), *, panes: bool | None = None) -> DataFrame:
     """Results of a message table or stream, groups without a location included."""
-    return typed_trip_aggregates(decode_messages(messages, AGGREGATE_FIELDS), config, panes=panes)
+    return _aggregates(decode_messages(messages, AGGREGATE_FIELDS), config, panes)
 
 
 def typed_trip_aggregates(
@@ -21,9 +21,17 @@ def typed_trip_aggregates(
 
     On a stream the watermark is set after bad times are dropped and before anything else is, so
     that events without a location move it too. ``drop_null_location_early`` gives that up for less state;
-    on a table it changes nothing but the cost and the absence of the groups without a location.
+    on a table it changes nothing but the cost and the absence of the groups without a location, and its NULL tests
+    reach the scan whatever type the pickup time has.
     """
-    timed = drop_bad_time(with_event_time(events.select(*AGGREGATE_FIELDS)))
+    fields = events.select(*AGGREGATE_FIELDS)
+    if config.drop_null_location_early and not fields.isStreaming:
+        fields = only_located(fields)
+    return _aggregates(fields, config, panes)
+
+
+def _aggregates(events: DataFrame, config: FlowConfig, panes: bool | None) -> DataFrame:
+    timed = drop_bad_time(with_event_time(events))
     if timed.isStreaming:
         timed = timed.withWatermark("event_time", config.watermark_delay)
     if config.drop_null_location_early:

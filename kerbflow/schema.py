@@ -62,6 +62,7 @@ AGGREGATE_TABLE_TYPES = {
     "total_fare": "decimal(12,2)",
     "avg_trip_distance": "decimal(8,4)",
     "processed_at": "timestamp",
+    "batch_id": "bigint",
 }
 
 RAW_TABLE_TYPES = {

@@ -37,14 +37,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
-
-    Only a local session, as in tests, may fall back on a temporary folder of the machine.
-    """
+def named_dir(spark: SparkSession) -> str | None:
+    """The folder every executor can reach, if the cluster names one in ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named.rstrip("/") if named else None
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """``named_dir``; only a local session, as in tests, may fall back on a temporary folder of the machine."""
+    named = named_dir(spark)
     if named:
-        return named.rstrip("/")
+        return named
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="kerbflow-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbflow.config import FlowConfig
@@ -32,11 +32,12 @@ def jdbc_options(config: FlowConfig, table: str) -> dict[str, str]:
 class JdbcSink:
     """Callback for ``foreachBatch`` that appends the rows of a batch, at most ``jdbc_max_connections`` at a time.
 
-    A batch that is run again after a failure is appended again. With ``with_batch_id`` the
-    table gets a ``batch_id`` column, and ``latest_versions`` over it gives one row per window all the same.
+    A batch that is run again after a failure is appended again. Each row carries its ``batch_id``, so that
+    ``latest_versions`` over the table gives one row per window all the same. ``with_batch_id=False`` is for a table without
+    that column. The rows are counted while they are written.
     """
 
-    def __init__(self, config: FlowConfig, table: str | None = None, with_batch_id: bool = False):
+    def __init__(self, config: FlowConfig, table: str | None = None, with_batch_id: bool = True):
         self.config = config
         self.table = table or config.aggregate_table
         self.with_batch_id = with_batch_id
@@ -47,12 +48,14 @@ class JdbcSink:
             if rows.isEmpty():
                 log.info("batch %d: no rows", batch_id)
                 return 0
-            count = rows.count()
-            typed = to_table_types(rows.withColumn("processed_at", F.current_timestamp()), AGGREGATE_TABLE_TYPES)
+            stamped = rows.withColumn("processed_at", F.current_timestamp())
             if self.with_batch_id:
-                typed = typed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                stamped = stamped.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            counted = Observation()
+            typed = to_table_types(stamped, AGGREGATE_TABLE_TYPES).observe(counted, F.count(F.lit(1)).alias("written"))
             typed.write.format("jdbc").options(**jdbc_options(self.config, self.table)).mode("append").save()
-            log.info("batch %d: %d rows written", batch_id, count)
-            return count
+            written = counted.get["written"]
+            log.info("batch %d: %d rows written", batch_id, written)
+            return written
         finally:
             rows.unpersist()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbflow.config import FlowConfig
-from kerbflow.session import session_settings, shared_dir
+from kerbflow.session import named_dir, session_settings
 
 # State in RocksDB stays off the executors' heap, so it may outgrow memory; a commit uploads the changes
 # alone. Keeping count of the rows would cost one more lookup per update. The store in memory is about twice as
@@ -25,10 +25,17 @@ STATE_STORES = {
 BatchSink = Callable[[DataFrame, int], object]
 
 
-def checkpoint_path(spark: SparkSession, config: FlowConfig, label: str = "trip-aggregates") -> str:
-    """The folder set in the config, else the cluster's shared folder, plus a name for this window shape."""
-    base = config.checkpoint_dir or shared_dir(spark)
-    return f"{base.rstrip('/')}/{config.checkpoint_name(label)}"
+def checkpoint_path(
+    spark: SparkSession, config: FlowConfig, label: str = "trip-aggregates", source: str = "", sink: str = ""
+) -> str:
+    """The folder set in the config, else the cluster's shared folder, plus a name for this run.
+
+    One of the two must be set, also in a local session: a folder that is new at each start would forget what was read.
+    """
+    base = config.checkpoint_dir or named_dir(spark)
+    if not base:
+        raise ValueError("set CHECKPOINT_DIR or spark.checkpoint.dir, so that a restart finds its checkpoint")
+    return f"{base.rstrip('/')}/{config.checkpoint_name(label, source, sink)}"
 
 
 def start(

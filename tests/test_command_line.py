@@ -32,3 +32,29 @@ def test_file_to_report(spark, tmp_path, monkeypatch, capsys):
 def test_raw_needs_a_folder():
     with pytest.raises(SystemExit):
         main(["raw"])
+
+
+def test_two_topics_and_two_shapes_keep_apart(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(SparkSession, "stop", lambda self: None)
+    monkeypatch.setenv("CHECKPOINT_DIR", str(tmp_path / "checkpoints"))
+    monkeypatch.setenv("TIME_FORMATS", "MM/dd/yyyy hh:mm:ss a")
+    out = ["--out", str(tmp_path / "results")]
+    for name, fare in (("a", 10), ("b", 1)):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(f"Pickup Time,Fare Amount,Pickup Latitude,Pickup Longitude\n02/01/2016 10:00:00 AM,{fare},40.71,-74.0\n")
+        monkeypatch.setenv("DATA_PATH", str(path))
+        main(["feed", "--topic-dir", str(tmp_path / name)])
+        main(["stream", "--once", "--topic-dir", str(tmp_path / name), *out])
+
+    def shown(topic):
+        capsys.readouterr()
+        main(["verify", "--topic-dir", str(tmp_path / topic), *out])
+        return capsys.readouterr().out
+
+    assert shown("a").count("|1         |10.0    |") == 5
+    assert shown("b").count("|1         |1.0     |") == 5
+    monkeypatch.setenv("WINDOW_DURATION", "10 minutes")
+    main(["stream", "--once", "--topic-dir", str(tmp_path / "a"), *out])
+    assert shown("a").count("|1         |10.0    |") == 10
+    monkeypatch.setenv("WINDOW_DURATION", "5 minutes")
+    assert shown("a").count("|1         |10.0    |") == 5

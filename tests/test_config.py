@@ -75,6 +75,11 @@ def test_checkpoint_follows_the_window_shape():
         FlowConfig().checkpoint_name(),
         FlowConfig(window_duration="7 minutes").checkpoint_name(),
         FlowConfig(slide_duration="5 minutes").checkpoint_name(),
+        FlowConfig(watermark_delay="20 minutes").checkpoint_name(),
+        FlowConfig().checkpoint_name(source="a"),
+        FlowConfig().checkpoint_name(source="b"),
+        FlowConfig().checkpoint_name(source="a", sink="x"),
+        FlowConfig().checkpoint_name(source="a", sink="y"),
     }
-    assert len(names) == 3
+    assert len(names) == 8
     assert FlowConfig(window_duration="300 seconds").checkpoint_name() == FlowConfig().checkpoint_name()

@@ -70,14 +70,15 @@ def test_jdbc_sink(spark, monkeypatch):
 
     assert JdbcSink(CONFIG)(batch, 3) == 1
     kind, rows = saved.pop()
-    assert "avg_fare:decimal(10,2),total_fare:decimal(12,2),avg_trip_distance:decimal(8,4),processed_at:timestamp" in kind
-    assert [tuple(r) for r in rows] == [(start, start, "a", 2, Decimal("1.25"), Decimal("2.50"), Decimal("0.1250"))]
+    types = "avg_fare:decimal(10,2),total_fare:decimal(12,2),avg_trip_distance:decimal(8,4),processed_at:timestamp"
+    assert f"{types},batch_id:bigint" in kind
+    assert [tuple(r) for r in rows] == [(start, start, "a", 2, Decimal("1.25"), Decimal("2.50"), Decimal("0.1250"), 3)]
 
     assert JdbcSink(CONFIG)(batch.filter("pickup_location is null"), 4) == 0
     assert saved == []
 
-    JdbcSink(CONFIG, with_batch_id=True)(batch, 5)
-    assert saved.pop()[1][0].batch_id == 5
+    JdbcSink(CONFIG, with_batch_id=False)(batch, 5)
+    assert "batch_id" not in saved.pop()[0]
 
 
 def test_table_definitions(spark, tmp_path):

@@ -1,10 +1,12 @@
 import random
 from datetime import datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from kerbflow.functions import (
+    ExactMeasure,
     grid_cells,
     grid_key,
     iso_text,
@@ -111,3 +113,36 @@ def test_whole_number(spark):
 def test_valid_gps(spark, lat, lon, good):
     df = spark.createDataFrame([(lat, lon)], "a double, b double")
     assert df.select(valid_gps(F.col("a"), F.col("b"))).first()[0] is good
+
+
+def test_exact_measures(spark):
+    """Against fractions of the decimals that the doubles show."""
+    groups = {
+        "fine": [0.0049999999],
+        "above": [0.0050000001],
+        "tie": [1.01, 1.02],
+        "negative tie": [-1.005],
+        "large": [999_999_999.0] * 50,
+        "ten digits": [123456.795],
+        "mixed": [1e12 + 0.5, 0.01, -5.25, 1e20, -1e20],
+        "cents": [x / 100 for x in range(-500, 900, 7)],
+    }
+    rows = [(name, value) for name, values in groups.items() for value in [*values, None, float("nan")]]
+    rows += [("none", None), ("huge", 1e300), ("huge", 1e300)]
+    measure = ExactMeasure("x")
+    cut = spark.createDataFrame(rows, "g string, x double").repartition(5).select("g", *measure.inputs())
+    parts = cut.groupBy("g", F.monotonically_increasing_id() % 3).agg(*measure.partial())
+    found = {}
+    for summed in (cut.groupBy("g").agg(*measure.partial()), parts.groupBy("g").agg(*measure.merge())):
+        done = summed.select("g", *measure.carried()).select("g", measure.total(2), measure.mean(2), measure.mean(4))
+        found = {row[0]: tuple(row[1:]) for row in done.collect()}
+        for name, values in groups.items():
+            total = sum((Fraction(repr(v)) for v in values), Fraction(0))
+            assert found[name] == tuple(half_up(x, dp) for x, dp in ((total, 2), (total / len(values), 2), (total / len(values), 4)))
+        assert found["none"] == (None, None, None)
+        assert found["huge"] == (2e300, 1e300, 1e300)
+
+
+def half_up(x, dp):
+    steps = int(abs(x) * 10**dp + Fraction(1, 2))
+    return float(Fraction(steps if x >= 0 else -steps, 10**dp))

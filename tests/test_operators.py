@@ -313,3 +313,16 @@ def test_running_totals(spark, rows, chunk):
         expected.append((number, sent, total))
     got = running_totals(df.repartition(3), "id", chunk, keep="ok").orderBy("chunk").collect()
     assert [tuple(row) for row in got] == expected
+
+
+def test_null_tests_reach_the_scan_with_a_text_time(spark, tmp_path):
+    from kerbflow.config import FlowConfig
+    from kerbflow.plans import typed_trip_aggregates
+
+    path = str(tmp_path / "trips")
+    schema = "tpep_pickup_datetime string, trip_distance double, pickup_longitude double, pickup_latitude double, fare_amount double"
+    spark.createDataFrame([("2024-01-01T10:00:30", 1.0, -74.0, 40.7, 2.0)], schema).write.parquet(path)
+    result = typed_trip_aggregates(spark.read.parquet(path), FlowConfig(drop_null_location_early=True))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(pickup_latitude)" in plan and "IsNotNull(pickup_longitude)" in plan
+    assert result.count() == 5

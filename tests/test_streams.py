@@ -199,6 +199,11 @@ def test_scratch_under_the_named_folder():
     assert checkpoint_path(cluster, FlowConfig(checkpoint_dir="/c/")) == f"/c/{FlowConfig().checkpoint_name()}"
 
 
+def test_a_checkpoint_needs_a_named_folder():
+    with pytest.raises(ValueError, match="CHECKPOINT_DIR"):
+        checkpoint_path(Cluster("local[2]"), FlowConfig())
+
+
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Cluster("yarn"))
