@@ -17,6 +17,9 @@ WORDS, THRESHOLD = 5, 0.8
 SLICE = 256
 BANDS, ROWS = 25, 5
 
+#: Members of a bucket that one block holds, in the comparison of what the rounds left.
+BLOCK = 2000
+
 
 def _sketch(words: int, bands: int, rows: int, weighted: bool):
     """Fingerprint of the set of shingles and the key of each band; null where the text has no word."""
@@ -105,9 +108,10 @@ def near_duplicates(
     probability 1 - 5e-5. Pairs whose sketches of four bits a coordinate agree less than chance allows at the threshold (four
     standard deviations below) are not read. In a bucket every member is compared with one centre, never with all others: first with the
     member that shares most buckets (the original of a group of edited copies), then, in rounds, with members of the smallest
-    class, for the buckets that still hold several classes. Rounds end when one finds no new link. A pair that shares a
-    bucket, was never centre and partner and is connected by no other path would stay unlinked; tests hold the classes
-    against brute force.
+    class, for the buckets that still hold several classes. Rounds end when one finds no new link. What is left then are
+    members of different classes in one bucket that no centre connected: each member outside its bucket's largest class
+    is held against the other classes of that bucket, in blocks and by sketch alone, and only pairs whose sketches agree
+    are stored and read. So no link between two texts that share a bucket is lost.
     """
     spark = ready(docs.sparkSession)
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -129,21 +133,25 @@ def near_duplicates(
     links: DataFrame | None = None
     roots: DataFrame | None = None
     turn = 0
-    while True:
+    sketches = bodies.select("print", "sketch")
+    agree = _agree(F.col("a_sketch"), F.col("b_sketch"), numbers) >= least
+    rest = False
+    while not rest:
         pairs = _star_pairs(buckets, roots, turn)
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = written(pairs, "minhash-pairs")
-        sketches = bodies.select("print", "sketch")
-        left, right = sketches.toDF("a", "a_sketch"), sketches.toDF("b", "b_sketch")
-        likely = pairs.join(left, "a").join(right, "b").where(_agree(F.col("a_sketch"), F.col("b_sketch"), numbers) >= least)
-        likely = written(likely.select("a", "b"), "minhash-likely")
-        found = written(_verified(likely, bodies, words, threshold, weighted), "minhash-links")
-        if found.isEmpty():
-            break
         compared = pairs if compared is None else compared.union(pairs)
-        links = found if links is None else links.union(found)
-        roots = connected_classes(links, "minhash")
+        left, right = sketches.toDF("a", "a_sketch"), sketches.toDF("b", "b_sketch")
+        likely = pairs.join(left, "a").join(right, "b").where(agree).select("a", "b")
+        found = _linked(likely, bodies, words, threshold, weighted)
+        rest = found.isEmpty()
+        if rest:
+            likely = _rest_pairs(buckets, roots, sketches, agree).join(compared, ["a", "b"], "left_anti")
+            found = _linked(likely, bodies, words, threshold, weighted)
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            roots = connected_classes(links, "minhash")
         turn += 1
 
     classes = texts.select("print", "first", "n")
@@ -208,12 +216,51 @@ def _star_pairs(buckets: DataFrame, roots: DataFrame | None, turn: int) -> DataF
     return pairs.select(F.least("print", "c").alias("a"), F.greatest("print", "c").alias("b")).distinct()
 
 
+def _rest_pairs(buckets: DataFrame, roots: DataFrame | None, sketches: DataFrame, agree: Column) -> DataFrame:
+    """Pairs of different classes in one bucket for which ``agree`` holds, from all members of all buckets.
+
+    Of any such pair one member is outside the largest class of the bucket, so only those are copied to the blocks of
+    their bucket. A class of near copies, however large, is not paired with itself.
+    """
+    if roots is None:
+        members = buckets.select("bucket", "print", F.col("print").alias("root"))
+    else:
+        members = buckets.join(roots, buckets["print"] == roots["id"], "left")
+        members = members.select("bucket", "print", F.coalesce("root", "print").alias("root"))
+    sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket")
+    mixed = sizes.agg(
+        F.max(F.struct("n", "root"))["root"].alias("largest"),
+        F.count("*").alias("classes"),
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"),
+    )
+    mixed = mixed.where("classes > 1").drop("classes")
+    members = written(members.join(mixed, "bucket").join(sketches, "print"), "minhash-rest")
+    asked = members.where("root <> largest").select(
+        "bucket",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        *[F.col(c).alias(n) for c, n in (("print", "p"), ("root", "p_root"), ("sketch", "a_sketch"))],
+    )
+    others = members.select(
+        "bucket",
+        F.pmod(F.hash("print"), "blocks").alias("block"),
+        *[F.col(c).alias(n) for c, n in (("print", "q"), ("root", "q_root"), ("sketch", "b_sketch"))],
+        "largest",
+    )
+    # Two members outside the largest class would meet twice.
+    pairs = asked.join(others, ["bucket", "block"]).where("p_root <> q_root and (q_root = largest or p < q)").where(agree)
+    return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
 def _bodies(buckets: DataFrame, texts: DataFrame, source: DataFrame) -> DataFrame:
     """Text and sketch of every vertex that shares a bucket; the one time that texts are dealt out by key."""
     rows = buckets.select("print").distinct().join(texts.select("print", "sketch", F.col("first.row_key").alias("row_key")), "print")
     return source.select("row_key", "text").join(rows, "row_key").dropDuplicates(["row_key"]).select("print", "sketch", "text")
 
 
+def _linked(likely: DataFrame, bodies: DataFrame, words: int, threshold: float, weighted: bool) -> DataFrame:
+    return written(_verified(written(likely, "minhash-likely"), bodies, words, threshold, weighted), "minhash-links")
+
+
 def _verified(pairs: DataFrame, bodies: DataFrame, words: int, threshold: float, weighted: bool) -> DataFrame:
     """Pairs whose similarity, from whole texts, is ``threshold`` or more."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct()

@@ -148,6 +148,23 @@ def test_near_duplicates_against_brute_force(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_that_no_centre_shows_are_kept(spark):
+    """Texts on one common passage share buckets; only neighbours in a group are near duplicates, few of them centres."""
+    rng = random.Random(11)
+    common = [f"p{i}" for i in range(90)]
+    texts = []
+    for group in range(60):
+        own = [f"g{group}x{i}" for i in range(30)]
+        texts += [" ".join(common + own), " ".join(common + own[:22] + [f"e{group}y{i}" for i in range(8)])]
+    rng.shuffle(texts)
+    sets = [shingles(t)[0] for t in texts]
+    links = [(a, b) for a, b in combinations(range(len(texts)), 2) if jaccard(sets[a], sets[b]) >= 0.8]
+    wanted = classes_of(range(len(texts)), links)
+    assert 50 < len(set(wanted.values())) < len(texts)
+    found = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.class_id for r in found} == wanted
+
+
 def test_signatures_agree_as_weighted_jaccard():
     rng = np.random.default_rng(1)
     elements = rng.integers(0, 2**63, 60).astype(np.uint64)
