@@ -9,7 +9,8 @@
 
 Settings come from the environment, see ``FlowConfig``. ``--topic-dir`` and ``--out`` name folders to use in place
 of the topic and of the database. Results of each topic and window shape have a folder of their own below ``--out``, so
-``verify`` and ``count`` take the same settings and folders as ``stream`` did.
+``verify`` and ``count`` take the same settings and folders as ``stream`` did. ``feed --out DIR`` keeps the rows whose pickup time
+cannot be read in ``DIR/feed-rejects``.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbflow.config import FlowConfig
-from kerbflow.operators import latest_versions
+from kerbflow.operators import latest_versions, normalise_columns, unread_trips
 from kerbflow.plans import newest_windows, peek_messages, raw_events, total_rows, trip_aggregates, trips_to_messages
 from kerbflow.session import build_session
 from kerbflow.sinks import BatchFolderSink, JdbcSink, RawEventSink, write_kafka, write_message_files
@@ -54,7 +55,10 @@ def _checkpoint(spark: SparkSession, config: FlowConfig, args: argparse.Namespac
 
 
 def feed(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
-    messages = trips_to_messages(read_trips(spark, config.data_path), config.time_patterns)
+    trips = read_trips(spark, config.data_path)
+    messages = trips_to_messages(trips, config.time_patterns)
+    if args.out:
+        unread_trips(normalise_columns(trips), config.time_patterns).write.mode("append").parquet(f"{args.out.rstrip('/')}/feed-rejects")
     if args.topic_dir:
         write_message_files(messages, args.topic_dir)
     else:
@@ -68,7 +72,7 @@ def stream(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) ->
 
 
 def raw(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
-    events = raw_events(_stream_source(spark, config, args))
+    events = raw_events(_stream_source(spark, config, args), config.on_overflow, config.location_key)
     _run(spark, events, RawEventSink(args.out), _checkpoint(spark, config, args, "raw-events"), "append", config, args)
 
 

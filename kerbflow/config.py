@@ -20,6 +20,8 @@ UNIT_MICROS = {
     "week": 604_800_000_000,
 }
 
+LOCATION_KEYS = ("grid", "zone", "grid_or_zone")
+
 _PART = re.compile(r"(\d+)\s*([a-z]+?)s?(?=\s|\d|$)")
 
 
@@ -92,6 +94,8 @@ class FlowConfig:
     jdbc_max_connections: int = _env("JDBC_MAX_CONNECTIONS", "8")
     max_offsets_per_trigger: int | None = _env("MAX_OFFSETS_PER_TRIGGER")
     time_formats: str = _env("TIME_FORMATS", "")
+    location_key: str = _env("LOCATION_KEY", "grid")
+    on_overflow: str = _env("ON_OVERFLOW", "null")
 
     # Not environment settings.
     jdbc_driver: str = "org.postgresql.Driver"
@@ -109,6 +113,10 @@ class FlowConfig:
             raise ValueError("CHUNK_SIZE must be positive")
         if self.state_store not in ("rocksdb", "memory"):
             raise ValueError("state_store is 'rocksdb' or 'memory'")
+        if self.location_key not in LOCATION_KEYS:
+            raise ValueError(f"LOCATION_KEY is one of: {', '.join(LOCATION_KEYS)}")
+        if self.on_overflow not in ("error", "null"):
+            raise ValueError("ON_OVERFLOW is 'error' or 'null'")
         self.window  # refuse a bad window before any job starts
         for text in (self.watermark_delay, self.trigger_interval):
             duration_micros(text)
@@ -140,4 +148,6 @@ class FlowConfig:
         """
         shape = (self.window.size_micros, self.window.slide_micros, self.drop_null_location_early)
         run = (*shape, duration_micros(self.watermark_delay), source, sink)
+        if self.location_key != "grid":
+            run = (*run, self.location_key)
         return f"{label}-{hashlib.sha256(repr(run).encode()).hexdigest()[:12]}"

@@ -1,10 +1,10 @@
 """DataFrame-to-DataFrame steps, the same for tables and streams unless noted."""
 
 from kerbflow.operators.barrier import computed_once
-from kerbflow.operators.coerce import to_table_types
+from kerbflow.operators.coerce import out_of_range, to_table_types
 from kerbflow.operators.enrich import drop_bad_time, with_event_time, with_locations
 from kerbflow.operators.latest import latest_versions
-from kerbflow.operators.normalise import canonical_trips, detect_time_column, normalise_columns
+from kerbflow.operators.normalise import canonical_trips, detect_time_column, normalise_columns, unread_trips
 from kerbflow.operators.payload import decode_messages, encode_messages
 from kerbflow.operators.rejects import reject_counts, with_reject_reason
 from kerbflow.operators.running import running_totals
@@ -21,9 +21,11 @@ __all__ = [
     "latest_versions",
     "normalise_columns",
     "only_located",
+    "out_of_range",
     "reject_counts",
     "running_totals",
     "to_table_types",
+    "unread_trips",
     "windowed_aggregate",
     "with_event_time",
     "with_locations",

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.functions import grid_key, missing_to_null, parse_time
+from kerbflow.config import LOCATION_KEYS
+from kerbflow.functions import grid_key, missing_to_null, parse_time, whole_number, zone_key
 from kerbflow.operators.barrier import computed_once
-from kerbflow.schema import PICKUP_TIME
+from kerbflow.schema import PICKUP_TIME, ZONE_FIELDS
 
 
 def with_event_time(events: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
@@ -28,11 +29,19 @@ def drop_bad_time(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_time").isNotNull())
 
 
-def with_locations(events: DataFrame, dp: int = 2) -> DataFrame:
-    """Grid keys of the pickup point and, where the event has one, of the dropoff point."""
+def with_locations(events: DataFrame, dp: int = 2, by: str = "grid") -> DataFrame:
+    """Location keys of the pickup point and, where the event has one, of the dropoff point.
 
-    def key(side: str):
-        return grid_key(missing_to_null(F.col(f"{side}_latitude")), missing_to_null(F.col(f"{side}_longitude")), dp)
+    ``by="grid"`` takes the coordinates, ``"zone"`` the zone number, ``"grid_or_zone"`` the number where coordinates are missing.
+    """
+    if by not in LOCATION_KEYS:
+        raise ValueError(f"by is one of: {', '.join(LOCATION_KEYS)}")
+
+    def keys(side: str):
+        if by != "zone" and f"{side}_latitude" in events.columns:
+            yield grid_key(missing_to_null(F.col(f"{side}_latitude")), missing_to_null(F.col(f"{side}_longitude")), dp)
+        if by != "grid" and ZONE_FIELDS[side] in events.columns:
+            yield zone_key(whole_number(F.col(ZONE_FIELDS[side])))
 
-    sides = [side for side in ("pickup", "dropoff") if f"{side}_latitude" in events.columns]
-    return events.withColumns({f"{side}_location": key(side) for side in sides})
+    found = {f"{side}_location": list(keys(side)) for side in ("pickup", "dropoff")}
+    return events.withColumns({name: F.coalesce(*columns) for name, columns in found.items() if columns})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbflow.functions import iso_text, missing_text_to_null, missing_to_null, parse_time, whole_number
+from kerbflow.operators.rejects import BAD_TIME
 from kerbflow.schema import EVENT_SCHEMA, PICKUP_TIME
 
 
@@ -29,6 +30,18 @@ def detect_time_column(columns: Sequence[str]) -> str:
     return found
 
 
+def unread_trips(df: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
+    """The rows that ``canonical_trips`` drops, each as a JSON text in ``value``, with ``reject_reason``.
+
+    Takes normalised headers, as that does.
+    """
+    time = F.col(PICKUP_TIME if PICKUP_TIME in df.columns else detect_time_column(df.columns))
+    if dict(df.select(time).dtypes).popitem()[1] == "string":
+        time = parse_time(missing_text_to_null(time), time_formats)
+    lost = df.filter(time.cast("timestamp").isNull())
+    return lost.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"), F.lit(BAD_TIME).alias("reject_reason"))
+
+
 def canonical_trips(df: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
     """Event fields under their fixed names and types, other columns kept behind them.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbflow.functions import iso_text, missing_to_null
-from kerbflow.schema import EVENT_SCHEMA
+from kerbflow.schema import EVENT_SCHEMA, ZONE_SCHEMA
 
 
 def encode_messages(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -38,10 +38,10 @@ def decode_messages(
 
     Malformed text gives NULL in every field, a value of the wrong type in its own field only, and a
     bare ``NaN`` is a missing value.
-    ``fields`` narrows the parse to those a later step reads.
+    ``fields`` narrows the parse to those a later step reads; it may name the two zone fields as well.
     """
     names = EVENT_SCHEMA.names if fields is None else list(fields)
-    schema = T.StructType([EVENT_SCHEMA[name] for name in names])
+    schema = T.StructType([ZONE_SCHEMA[name] if name in ZONE_SCHEMA.names else EVENT_SCHEMA[name] for name in names])
     parsed = F.from_json(F.col("value").cast("string"), schema).alias("data")
 
     def field(spec: T.StructField):

@@ -10,6 +10,7 @@ from kerbflow.schema import EVENT_SCHEMA
 BAD_JSON = "bad_json"
 BAD_TIME = "bad_time"
 NO_LOCATION = "no_location"
+OUT_OF_RANGE = "out_of_range"
 
 
 def with_reject_reason(events: DataFrame) -> DataFrame:

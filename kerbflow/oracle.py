@@ -159,6 +159,10 @@ _DISTANCE = "round(avg(trip_distance) + CAST(1e-9 AS DOUBLE), 4)"
 _DAY = """time_bucket(INTERVAL '1 day', ts) AS window_start,
     time_bucket(INTERVAL '1 day', ts) + INTERVAL 1 DAY AS window_end, event_type AS pickup_location"""
 
+ZONE = f"""WITH {TRIPS},{SPREAD}
+SELECT window_start, window_end, 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR) AS pickup_location, {MEASURES}
+FROM spread GROUP BY ALL"""
+
 SQL: dict[str, str] = {
     "normalise_headers": """SELECT event_id, ts AS tpep_pickup_datetime, user_id, event_type,
   value AS fare_amount, props FROM events""",
@@ -181,9 +185,9 @@ FROM spoiled GROUP BY ALL""",
     "window_agg_with_null_location": f"{WITH_RESULT} SELECT * FROM result",
     "window_agg_null_location_dropped": FLAGSHIP,
     "tumbling_agg": TUMBLING,
-    "window_agg_by_zone": f"""WITH {TRIPS},{SPREAD}
-SELECT window_start, window_end, 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR) AS pickup_location, {MEASURES}
-FROM spread GROUP BY ALL""",
+    "window_agg_by_zone": ZONE,
+    "window_agg_zone_messages": ZONE,
+    "stream_zone": ZONE,
     "window_agg_large_values": _scaled(_LARGE, _DISTANCE, "spread", _WINDOW, _LOCATED),
     "window_agg_fine_values": _scaled(
         "cents", _exact("sum(cents)", "CAST(count(*) AS HUGEINT)", 7, 4), "spread", _WINDOW, _LOCATED
@@ -221,6 +225,13 @@ SELECT id,
   CASE WHEN cut THEN 'bad_json' WHEN no_time THEN 'bad_time' ELSE 'no_location' END AS reject_reason,
   CASE WHEN cut THEN substr({PAYLOAD}, 1, 40) ELSE {PAYLOAD} END AS payload
 FROM damaged WHERE cut OR no_time OR pickup_location IS NULL""",
+    "raw_out_of_range": f"""{SPOILED}
+SELECT id, ts AS event_time, CASE WHEN k < 10 THEN CAST(k * 1000 AS DECIMAL(8, 4)) END AS trip_distance,
+  CAST(fare_amount AS DECIMAL(10, 2)) AS fare_amount,
+  CASE WHEN k >= 10 THEN 'out_of_range' WHEN pickup_location IS NULL THEN 'no_location' END AS reject_reason
+FROM spoiled""",
+    "feed_rejects": """SELECT event_id, 'not known' AS pickup_text, 'bad_time' AS reject_reason
+FROM events WHERE event_type = 'click'""",
     "report_top20": f"""{WITH_RESULT}
 SELECT window_start, window_end, pickup_location, trip_count, avg_fare
 FROM result WHERE pickup_location IS NOT NULL

@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from kerbflow.config import FlowConfig
-from kerbflow.operators import decode_messages, drop_bad_time, only_located, windowed_aggregate, with_event_time
-from kerbflow.schema import AGGREGATE_FIELDS
+from kerbflow.operators import (
+    decode_messages,
+    drop_bad_time,
+    only_located,
+    windowed_aggregate,
+    with_event_time,
+    with_locations,
+)
+from kerbflow.schema import AGGREGATE_FIELDS, ZONE_FIELDS
+
+
+def _fields(config: FlowConfig) -> list[str]:
+    """What the aggregate reads: coordinates, zone number or both."""
+    grid, zone = ("pickup_latitude", "pickup_longitude"), ZONE_FIELDS["pickup"]
+    names = [name for name in AGGREGATE_FIELDS if config.location_key != "zone" or name not in grid]
+    return names if config.location_key == "grid" else [*names, zone]
 
 
 def trip_aggregates(messages: DataFrame, config: FlowConfig = FlowConfig(), *, panes: bool | None = None) -> DataFrame:
     """Results of a message table or stream, groups without a location included."""
-    return _aggregates(decode_messages(messages, AGGREGATE_FIELDS), config, panes)
+    return _aggregates(decode_messages(messages, _fields(config)), config, panes)
 
 
 def typed_trip_aggregates(
@@ -24,8 +38,8 @@ def typed_trip_aggregates(
     on a table it changes nothing but the cost and the absence of the groups without a location, and its NULL tests
     reach the scan whatever type the pickup time has.
     """
-    fields = events.select(*AGGREGATE_FIELDS)
-    if config.drop_null_location_early and not fields.isStreaming:
+    fields = events.select(*_fields(config))
+    if config.location_key == "grid" and config.drop_null_location_early and not fields.isStreaming:
         fields = only_located(fields)
     return _aggregates(fields, config, panes)
 
@@ -34,6 +48,11 @@ def _aggregates(events: DataFrame, config: FlowConfig, panes: bool | None) -> Da
     timed = drop_bad_time(with_event_time(events))
     if timed.isStreaming:
         timed = timed.withWatermark("event_time", config.watermark_delay)
+    if config.location_key == "grid":
+        if config.drop_null_location_early:
+            timed = only_located(timed)
+        return windowed_aggregate(timed, config.window, panes=panes)
+    timed = with_locations(timed, by=config.location_key)
     if config.drop_null_location_early:
-        timed = only_located(timed)
-    return windowed_aggregate(timed, config.window, panes=panes)
+        timed = timed.filter("pickup_location is not null")
+    return windowed_aggregate(timed, config.window, by="pickup_location", panes=panes)

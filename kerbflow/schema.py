@@ -19,6 +19,11 @@ EVENT_SCHEMA = T.StructType(
 
 PICKUP_TIME = "tpep_pickup_datetime"
 
+# Newer files hold zone numbers in place of coordinates. They are extra columns of a file, so a message may hold them
+# as text, as a number or not at all.
+ZONE_SCHEMA = T.StructType([T.StructField("pulocationid", T.StringType()), T.StructField("dolocationid", T.StringType())])
+ZONE_FIELDS = {"pickup": "pulocationid", "dropoff": "dolocationid"}
+
 # The fields the windowed aggregate reads. from_json parses every field it is given,
 # so the aggregate asks for these alone.
 AGGREGATE_FIELDS = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbflow.config import FlowConfig
-from kerbflow.operators.coerce import to_table_types
+from kerbflow.operators.coerce import out_of_range, to_table_types
 from kerbflow.operators.windows import drop_null_location
 from kerbflow.schema import AGGREGATE_TABLE_TYPES
 
@@ -52,10 +52,14 @@ class JdbcSink:
             if self.with_batch_id:
                 stamped = stamped.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             counted = Observation()
-            typed = to_table_types(stamped, AGGREGATE_TABLE_TYPES).observe(counted, F.count(F.lit(1)).alias("written"))
+            too_large = F.count_if(out_of_range(stamped, AGGREGATE_TABLE_TYPES)).alias("too_large")
+            watched = stamped.observe(counted, F.count(F.lit(1)).alias("written"), too_large)
+            typed = to_table_types(watched, AGGREGATE_TABLE_TYPES, self.config.on_overflow)
             typed.write.format("jdbc").options(**jdbc_options(self.config, self.table)).mode("append").save()
             written = counted.get["written"]
             log.info("batch %d: %d rows written", batch_id, written)
+            if counted.get["too_large"]:
+                log.warning("batch %d: %d rows hold a number too large for its column, stored as NULL", batch_id, counted.get["too_large"])
             return written
         finally:
             rows.unpersist()

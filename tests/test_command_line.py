@@ -58,3 +58,28 @@ def test_two_topics_and_two_shapes_keep_apart(spark, tmp_path, monkeypatch, caps
     assert shown("a").count("|1         |10.0    |") == 10
     monkeypatch.setenv("WINDOW_DURATION", "5 minutes")
     assert shown("a").count("|1         |10.0    |") == 5
+
+
+def test_zone_file_to_report(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(SparkSession, "stop", lambda self: None)
+    path = tmp_path / "trips.csv"
+    lines = ["VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,PULocationID,DOLocationID,fare_amount"]
+    lines += [f"1,2016-02-01 00:0{i}:30,2016-02-01 00:20:00,1,{d},132,{i + 1}.0,{i}.50" for i, d in enumerate(("1.25", "1.25", "12000"))]
+    path.write_text("\n".join([*lines, "1,never,,1,1,132,7,1"]) + "\n")
+    for name, value in (("DATA_PATH", str(path)), ("CHECKPOINT_DIR", str(tmp_path / "checkpoints")), ("LOCATION_KEY", "zone")):
+        monkeypatch.setenv(name, value)
+    folders = ["--topic-dir", str(tmp_path / "topic"), "--out", str(tmp_path / "results")]
+
+    main(["feed", *folders])
+    (lost,) = spark.read.parquet(f"{tmp_path}/results/feed-rejects").collect()
+    assert lost.reject_reason == "bad_time" and '"tpep_pickup_datetime":"never"' in lost.value
+    main(["stream", "--once", *folders])
+    main(["raw", "--once", "--topic-dir", str(tmp_path / "topic"), "--out", str(tmp_path / "raw")])
+    events = spark.read.parquet(f"{tmp_path}/raw/events").orderBy("event_time").collect()
+    assert [(r.pickup_location, r.dropoff_location) for r in events] == [("zone:132", f"zone:{i}") for i in (1, 2, 3)]
+    assert [r.trip_distance is None for r in events] == [False, False, True]
+    (far,) = spark.read.parquet(f"{tmp_path}/raw/rejects").collect()
+    assert far.reject_reason == "out_of_range" and far.id == events[2].id
+    capsys.readouterr()
+    main(["verify", *folders])
+    assert "|2016-02-01 00:00:00|2016-02-01 00:05:00|zone:132       |3         |1.5     |" in capsys.readouterr().out

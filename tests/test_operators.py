@@ -326,3 +326,12 @@ def test_null_tests_reach_the_scan_with_a_text_time(spark, tmp_path):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(pickup_latitude)" in plan and "IsNotNull(pickup_longitude)" in plan
     assert result.count() == 5
+
+
+def test_locations_by_zone(spark):
+    rows = [(40.71, -74.0, "132"), (None, None, "7.0"), (None, None, "x"), (40.71, None, None)]
+    df = spark.createDataFrame(rows, "pickup_latitude double, pickup_longitude double, pulocationid string")
+    found = {by: [r.pickup_location for r in with_locations(df, by=by).collect()] for by in ("grid", "zone", "grid_or_zone")}
+    assert found["grid"] == ["40.71,-74.0", None, None, None]
+    assert found["zone"] == ["zone:132", "zone:7", None, None]
+    assert found["grid_or_zone"] == ["40.71,-74.0", "zone:7", None, None]

@@ -208,3 +208,30 @@ def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Cluster("yarn"))
     assert os.path.isdir(shared_dir(Cluster("local[2]")))
+
+
+class FailsOnce(BatchFolderSink):
+    """Fails after batch 2 is written and before the query can commit it."""
+
+    failed = False
+
+    def __call__(self, batch, batch_id):
+        written = super().__call__(batch, batch_id)
+        if batch_id == 2 and not self.failed:
+            self.failed = True
+            raise RuntimeError("stopped between write and commit")
+        return written
+
+
+def test_a_batch_written_but_not_committed_is_written_once(spark, topic, tmp_path):
+    def run(sink, checkpoint):
+        result = trip_aggregates(stream_message_files(spark, topic, max_files=1), FlowConfig())
+        run_available_now(result, sink, str(tmp_path / checkpoint))
+
+    failing = FailsOnce(str(tmp_path / "failing"))
+    with pytest.raises(StreamingQueryException):
+        run(failing, "one")
+    run(failing, "one")
+    run(BatchFolderSink(str(tmp_path / "whole")), "two")
+    stored = [sorted(read_changelog(spark, str(tmp_path / name)).collect()) for name in ("failing", "whole")]
+    assert failing.failed and stored[0] == stored[1] and stored[0]
