@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.llm.common import connected_classes, ready, written
-from kerbflow.llm.shingles import Darts, band_keys, jaccard, nibbles, shingle_sets, shingles
+from kerbflow.llm.shingles import Darts, band_keys, jaccard, nibbles, parities, shingle_sets, shingles
 
 WORDS, THRESHOLD = 5, 0.8
 SLICE = 256
@@ -64,6 +64,31 @@ def _least_agreement(threshold: float, k: int, numbers: int) -> int:
     return math.floor(k * expected - 4 * math.sqrt(k * expected * (1 - expected))) + 16 * numbers - k
 
 
+def _marks(words: int, weighted: bool):
+    """Parities of the set of shingles, and its size (its weight, with ``weighted``)."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        odd, mass = [], []
+        for at in range(0, len(texts), SLICE):
+            for e, w in shingle_sets(texts.slice(at, SLICE).to_pylist(), words):
+                odd.append(parities(e))
+                mass.append(int(w.sum()) if weighted else len(e))
+        arrays = [pa.array(odd, type=pa.list_(pa.int64())), pa.array(mass, type=pa.int64())]
+        return pa.StructArray.from_arrays(arrays, names=["odd", "mass"])
+
+    return F.arrow_udf(run, "odd array<bigint>, mass bigint").asNondeterministic()
+
+
+def _may_link(threshold: float) -> Column:
+    """False only where the parities alone show that a pair is below the threshold.
+
+    Sets (or counts) of sizes m and n are at t or above if their symmetric difference is at most (m + n)(1 - t) / (1 + t).
+    """
+    differ = F.zip_with("a_odd", "b_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    most = (F.col("a_mass") + F.col("b_mass")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    return F.aggregate(differ, F.lit(0), lambda total, n: total + n) <= most
+
+
 def _similarity(words: int, weighted: bool):
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
         out, last, ready_set = [], None, None
@@ -110,8 +135,8 @@ def near_duplicates(
     member that shares most buckets (the original of a group of edited copies), then, in rounds, with members of the smallest
     class, for the buckets that still hold several classes. Rounds end when one finds no new link. What is left then are
     members of different classes in one bucket that no centre connected: each member outside its bucket's largest class
-    is held against the other classes of that bucket, in blocks and by sketch alone, and only pairs whose sketches agree
-    are stored and read. So no link between two texts that share a bucket is lost.
+    is held against the other classes of that bucket, in blocks and by sketch alone: the four bits, then parities of the
+    sets, which rule out a pair only where it is certainly below the threshold. What passes is stored and read. So no link between two texts that share a bucket is lost.
     """
     spark = ready(docs.sparkSession)
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -147,7 +172,7 @@ def near_duplicates(
         found = _linked(likely, bodies, words, threshold, weighted)
         rest = found.isEmpty()
         if rest:
-            likely = _rest_pairs(buckets, roots, sketches, agree).join(compared, ["a", "b"], "left_anti")
+            likely = _rest_pairs(buckets, roots, bodies, _marks(words, weighted), agree & _may_link(threshold)).join(compared, ["a", "b"], "left_anti")
             found = _linked(likely, bodies, words, threshold, weighted)
         if not found.isEmpty():
             links = found if links is None else links.union(found)
@@ -216,8 +241,8 @@ def _star_pairs(buckets: DataFrame, roots: DataFrame | None, turn: int) -> DataF
     return pairs.select(F.least("print", "c").alias("a"), F.greatest("print", "c").alias("b")).distinct()
 
 
-def _rest_pairs(buckets: DataFrame, roots: DataFrame | None, sketches: DataFrame, agree: Column) -> DataFrame:
-    """Pairs of different classes in one bucket for which ``agree`` holds, from all members of all buckets.
+def _rest_pairs(buckets: DataFrame, roots: DataFrame | None, bodies: DataFrame, marks, possible: Column) -> DataFrame:
+    """Pairs of different classes in one bucket for which ``possible`` holds, from all members of all buckets.
 
     Of any such pair one member is outside the largest class of the bucket, so only those are copied to the blocks of
     their bucket. A class of near copies, however large, is not paired with itself.
@@ -234,21 +259,26 @@ def _rest_pairs(buckets: DataFrame, roots: DataFrame | None, sketches: DataFrame
         F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"),
     )
     mixed = mixed.where("classes > 1").drop("classes")
-    members = written(members.join(mixed, "bucket").join(sketches, "print"), "minhash-rest")
+    members = written(members.join(mixed, "bucket"), "minhash-mixed")
+    marked = bodies.join(members.select("print").distinct(), "print", "left_semi")
+    marked = marked.select("print", "sketch", marks(F.col("text")).alias("m")).select("print", "sketch", "m.odd", "m.mass")
+    members = written(members.join(marked, "print"), "minhash-rest")
+    names = ("print", "root", "sketch", "odd", "mass")
     asked = members.where("root <> largest").select(
         "bucket",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        *[F.col(c).alias(n) for c, n in (("print", "p"), ("root", "p_root"), ("sketch", "a_sketch"))],
+        *[F.col(c).alias(f"a_{c}") for c in names],
     )
     others = members.select(
         "bucket",
         F.pmod(F.hash("print"), "blocks").alias("block"),
-        *[F.col(c).alias(n) for c, n in (("print", "q"), ("root", "q_root"), ("sketch", "b_sketch"))],
+        *[F.col(c).alias(f"b_{c}") for c in names],
         "largest",
     )
     # Two members outside the largest class would meet twice.
-    pairs = asked.join(others, ["bucket", "block"]).where("p_root <> q_root and (q_root = largest or p < q)").where(agree)
-    return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    pairs = asked.join(others, ["bucket", "block"]).where("a_root <> b_root and (b_root = largest or a_print < b_print)")
+    pairs = pairs.where(possible)
+    return pairs.select(F.least("a_print", "b_print").alias("a"), F.greatest("a_print", "b_print").alias("b")).distinct()
 
 
 def _bodies(buckets: DataFrame, texts: DataFrame, source: DataFrame) -> DataFrame:

@@ -137,6 +137,16 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parities(elements: np.ndarray, bits: int = 1024) -> np.ndarray:
+    """Whether an odd number of the elements falls on each of ``bits`` places, as 64-bit numbers.
+
+    Where two such sketches differ there is an element that only one of the sets has, so their distance is never above
+    the size of the symmetric difference, and close to it while that is well below ``bits``.
+    """
+    places = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((places & 1).astype(np.uint8)).view(np.int64)
+
+
 def nibbles(signatures: np.ndarray) -> np.ndarray:
     """Four bits of each coordinate, sixteen coordinates to a 64-bit number."""
     small = np.zeros((len(signatures), -(-signatures.shape[1] // 16) * 16), dtype=np.uint64)

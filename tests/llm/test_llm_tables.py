@@ -17,7 +17,7 @@ from kerbflow.llm.common import connected_classes
 from kerbflow.llm.embeddings import link_vectors
 from kerbflow.llm.minhash import keep_first, near_duplicates
 from kerbflow.llm.queries import QUERIES, SQL
-from kerbflow.llm.shingles import Darts, jaccard, shingles
+from kerbflow.llm.shingles import Darts, jaccard, parities, shingles
 from kerbflow.llm.warc import base32_sha1, plan_revisits, read_warc, write_warc
 
 SF = "/root/testdata/sf0.001"
@@ -165,6 +165,17 @@ def test_links_that_no_centre_shows_are_kept(spark):
     assert {r.doc_id: r.class_id for r in found} == wanted
 
 
+def test_parities_never_exceed_the_symmetric_difference():
+    rng = np.random.default_rng(3)
+    for size, changed in ((1, 1), (40, 5), (300, 60), (5000, 900), (20000, 20000)):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**63, changed).astype(np.uint64)]))
+        differ = sum(int(x).bit_count() for x in (parities(a) ^ parities(b)).view(np.uint64))
+        true = len(np.setxor1d(a, b))
+        assert differ <= true and (true > 200 or differ >= 0.8 * true)
+    assert not parities(a[:0]).any()
+
+
 def test_signatures_agree_as_weighted_jaccard():
     rng = np.random.default_rng(1)
     elements = rng.integers(0, 2**63, 60).astype(np.uint64)
