@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,9 @@ from kerbflow.llm.common import connected_classes, ready, written
 
 THRESHOLD, RECALL = 0.95, 0.99
 CODEWORDS, SAMPLE, QUERIES, BLOCK = 32, 16_384, 512, 512
-LEAST_CELLS = 4
+LEAST_CELLS, BANDS, TWINS = 4, 5, 4
+
+logger = logging.getLogger(__name__)
 
 
 @dataclass
@@ -56,30 +59,152 @@ class MultiIndex:
         return out
 
     @classmethod
-    def fit(cls, sample: np.ndarray, threshold: float, recall: float, codewords: int = CODEWORDS, queries: int = QUERIES) -> MultiIndex:
-        """Codebooks of a bounded sample of unit vectors, and the number of cells to visit.
+    def fit(cls, sample: np.ndarray, codewords: int = CODEWORDS) -> MultiIndex:
+        """Codebooks of a bounded sample of unit vectors; the number of cells to visit is raised later."""
+        half = sample.shape[1] // 2
+        return cls(_codebook(sample[:, :half], codewords), _codebook(sample[:, half:], codewords), LEAST_CELLS)
+
+    @property
+    def reaches(self) -> np.ndarray:
+        """The numbers of cells that may be visited: doubled from ``LEAST_CELLS`` up to all cells."""
+        cells = self.first.shape[0] * self.second.shape[0]
+        out = [min(LEAST_CELLS, cells)]
+        while out[-1] < cells:
+            out.append(min(2 * out[-1], cells))
+        return np.array(out)
+
+    def homes(self, vectors: np.ndarray) -> np.ndarray:
+        one, two = self.distances(vectors)
+        return one.argmin(axis=1) * self.second.shape[0] + two.argmin(axis=1)
+
+    def places(self, vectors: np.ndarray) -> np.ndarray:
+        """For each vector and each cell, how many cells are as near or nearer: visiting as many reaches the cell."""
+        one, two = self.distances(vectors)
+        far = (one[:, :, None] + two[:, None, :]).reshape(len(vectors), -1)
+        order = np.sort(far, axis=1)
+        return np.array([np.searchsorted(o, f, side="right") for o, f in zip(order, far, strict=True)]).reshape(far.shape)
+
+
+@dataclass
+class Probe:
+    """Queries whose links against all points say how many cells must be visited.
 
-        That number is the smallest at which, for some queries of the sample, the cells visited hold at least ``recall`` of
-        their true neighbours in the sample.
+    They are drawn from all points by a hash of their own, as points that the codebooks were fitted on lie nearer to them
+    than others. One half are the first of the draw, the other the first of each cell in turn, so that small clusters
+    are asked about beside a hot one. A link belongs to one of ``BANDS`` equal bands of cosine, from the threshold to one.
+    """
+
+    index: MultiIndex
+    threshold: float
+    names: list[str]
+    vectors: np.ndarray
+    homes: np.ndarray
+    places: np.ndarray
+
+    @classmethod
+    def choose(cls, index: MultiIndex, names: list[str], drawn: np.ndarray, threshold: float, queries: int = QUERIES) -> Probe:
+        homes = index.homes(drawn)
+        turn: dict[int, int] = {}
+        turns = []
+        for home in homes.tolist():
+            turns.append(turn.get(home, 0))
+            turn[home] = turns[-1] + 1
+        by_cell = np.argsort(turns, kind="stable")[:queries]
+        at = np.union1d(np.arange(min(queries, len(drawn))), by_cell)
+        return cls(index, threshold, [names[i] for i in at], drawn[at], homes[at], index.places(drawn[at]))
+
+    def count(self, names: list[str], unit: np.ndarray, seen: np.ndarray) -> None:
+        """Adds the links of the queries with some points to ``seen``, by query, band and the least reach that finds them."""
+        near = self.vectors @ unit.T
+        own = {name: i for i, name in enumerate(self.names)}
+        for column, name in enumerate(names):
+            if name in own:
+                near[own[name], column] = -2.0
+        query, point = np.nonzero(near >= self.threshold)
+        if not len(query):
+            return
+        linked, back = np.unique(point, return_inverse=True)
+        homes, places = self.index.homes(unit[linked]), self.index.places(unit[linked])
+        self._add(query, homes[back], places[back, self.homes[query]], near[query, point], seen)
+
+    def _add(self, query: np.ndarray, home: np.ndarray, from_point: np.ndarray, cosine: np.ndarray, seen: np.ndarray) -> None:
+        """Two cells are compared if either is visited from the other."""
+        place = np.minimum(self.places[query, home], from_point)
+        step = np.searchsorted(self.index.reaches, place)
+        band = ((cosine - self.threshold) / max(1 - self.threshold, 1e-9) * BANDS).astype(int).clip(0, BANDS - 1)
+        np.add.at(seen, (query, band, step), 1)
+
+    def blank(self) -> np.ndarray:
+        return np.zeros((len(self.names), BANDS, len(self.index.reaches)), dtype=np.int64)
+
+    def planted(self, seed: int = 4) -> np.ndarray:
+        """Twins of the queries, ``TWINS`` each, at the threshold in random directions."""
+        twins = np.repeat(self.vectors, TWINS, axis=0)
+        aside = np.random.default_rng(seed).standard_normal(twins.shape)
+        aside -= (aside * twins).sum(axis=1, keepdims=True) * twins
+        length = np.sqrt((aside**2).sum(axis=1, keepdims=True))
+        aside = np.where(length > 1e-9, aside / np.maximum(length, 1e-9), 0)
+        twins = self.threshold * twins + np.sqrt(max(0.0, 1 - self.threshold**2)) * aside
+        query, seen = np.repeat(np.arange(len(self.names)), TWINS), self.blank()
+        for at in range(0, len(twins), 1024):
+            part, asked = twins[at : at + 1024], query[at : at + 1024]
+            back = self.index.places(part)[np.arange(len(part)), self.homes[asked]]
+            self._add(asked, self.index.homes(part), back, np.full(len(part), self.threshold), seen)
+        return seen
+
+    def recalls(self, seen: np.ndarray) -> dict[str, np.ndarray]:
+        """Recall by reach: of planted twins, of all links alike, and of each band that has links.
+
+        In a band each query counts with the share of its links found, over the number of its links in all bands and
+        one, so a cluster counts about once, however many of its points were asked. Planted twins likewise.
         """
-        half = sample.shape[1] // 2
-        index = cls(_codebook(sample[:, :half], codewords), _codebook(sample[:, half:], codewords), LEAST_CELLS)
-        one, two = index.distances(sample)
-        home = one.argmin(axis=1) * len(index.second) + two.argmin(axis=1)
-        asked = sample[:queries]
-        linked = asked @ sample.T >= threshold
-        linked[np.arange(len(asked)), np.arange(len(asked))] = False
-        total = int(linked.sum())
-        cells = index.first.shape[0] * index.second.shape[0]
-        reach = min(LEAST_CELLS, cells)
-        while total:
-            near = index.traverse(asked, reach)
-            hit = sum(int(np.isin(home[linked[i]], near[i]).sum()) for i in range(len(asked)))
-            if hit >= recall * total or reach == cells:
-                break
-            reach = min(2 * reach, cells)
-        index.visits = reach
-        return index
+        found = np.cumsum(seen, axis=2)
+        total, weight = found[:, :, -1], 1.0 / (1 + found[:, :, -1].sum(axis=1))
+        out = {"planted": weight @ (np.cumsum(self.planted(), axis=2).sum(axis=1) / TWINS) / weight.sum()}
+        if total.any():
+            out["links"] = found.sum(axis=(0, 1)) / total.sum()
+        for band in range(BANDS):
+            some = total[:, band] > 0
+            if some.any():
+                share = found[some, band] / total[some, band, None]
+                out[f"band {band + 1}"] = weight[some] @ share / weight[some].sum()
+        return out
+
+
+def measure(points: DataFrame, probe: Probe, size: int) -> dict[str, np.ndarray]:
+    """Recalls of the probe's queries, whose links are sought among all ``points`` (columns p and v) by brute force."""
+    sent = points.sparkSession.sparkContext.broadcast(probe)
+
+    def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sent.value.blank()
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                sent.value.count(part.column(0).to_pylist(), _unit(_padded(part.column(1).to_pylist(), size)), seen)
+        at = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in (*at, seen[at])], names=["q", "band", "step", "n"])
+
+    rows = points.select("p", "v").mapInArrow(seek, "q bigint, band bigint, step bigint, n bigint")
+    seen = probe.blank()
+    # At most queries * bands * reaches rows.
+    for row in rows.groupBy("q", "band", "step").agg(F.sum("n").alias("n")).collect():
+        seen[row.q, row.band, row.step] = row.n
+    return probe.recalls(seen)
+
+
+def fit_index(points: DataFrame, size: int, threshold: float, recall: float, codewords: int, sample: int) -> MultiIndex:
+    """The index of a bounded sample, with as many cells to visit as ``recall`` takes over links with all points."""
+    rows = points.orderBy(F.xxhash64("p"), "p").limit(sample).select("v").toArrow()
+    index = MultiIndex.fit(_unit(_padded(rows["v"].to_pylist(), size)), codewords)
+    drawn = points.orderBy(F.xxhash64(F.lit("query"), "p"), "p").limit(8 * QUERIES).select("p", "v").toArrow()
+    unit = _unit(_padded(drawn["v"].to_pylist(), size))
+    recalls = measure(points, Probe.choose(index, drawn["p"].to_pylist(), unit, threshold), size)
+    enough = np.all([r >= recall for r in recalls.values()], axis=0)
+    step = int(np.argmax(enough)) if enough.any() else len(enough) - 1
+    index.visits = int(index.reaches[step])
+    said = ", ".join(f"{name} {r[step]:.4f}" for name, r in recalls.items())
+    logger.info("%d cells of %d are visited; recall: %s", index.visits, index.reaches[-1], said)
+    return index
 
 
 def _squared(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -129,8 +254,10 @@ def link_vectors(
     compared as if the shorter one went on with zeros. Repeated rows (and equal vectors) are linked rows. A null vec_id is allowed;
     it names no class unless the class has no other id. Other columns are not read.
 
-    Equal vectors are one point with a count, so they never meet in pairs. Codebooks and the number of cells are
-    fitted on the ``sample`` points of smallest hash; every point is in the index. A point visits its nearest cells, and two cells
+    Equal vectors are one point with a count, so they never meet in pairs. Codebooks are fitted on the ``sample``
+    points of smallest hash. The links of some of them with all points are found by brute force, and the number of cells
+    to visit is raised until ``recall`` of these links is reached, in all and by band of cosine, and of planted twins at the
+    threshold. Every point is in the index. A point visits its nearest cells, and two cells
     of which one is visited from the other are compared whole, so links are symmetric. Cells are cut into
     blocks of about ``BLOCK`` points, so a cell with most points is compared block by block. A comparison gives back counts
     and a spanning forest of its links, never all pairs.
@@ -144,12 +271,11 @@ def link_vectors(
     # A point's number stems from the whole vector, so it is the same in every attempt.
     points = written(points.select(F.sha2(F.to_json(F.struct("v")), 256).alias("p"), "v", "least", "n"), "vector-points")
     size = points.agg(F.max(F.size("v"))).first()[0] or 0
-    chosen = points.orderBy(F.xxhash64("p"), "p").limit(sample).select("v").toArrow()["v"].to_pylist() if size else []
     own = F.col("n") - 1
-    if not chosen:
+    if not size:
         singles = rows.select("vec_id")
         return _named(singles.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
-    index = MultiIndex.fit(_unit(_padded(chosen, size)), threshold, recall, codewords)
+    index = fit_index(points, size, threshold, recall, codewords, sample)
     sent = spark.sparkContext.broadcast(index)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,23 +291,27 @@ def link_vectors(
 
     shape = "p string, u array<double>, n bigint, cell int, near array<int>"
     placed = written(points.select("p", "v", "n").mapInArrow(cells, shape), "vector-cells")
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    several = max(1, BLOCK * int(index.reaches[-1]) // max(1, placed.count()))
+    bundle = F.when(F.count("*") * several <= 2 * BLOCK, F.concat(F.lit("b"), F.floor(F.col("cell") / several))).otherwise(F.col("cell").cast("string"))
+    blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), bundle.alias("bundle"))
     visited = placed.select("cell", F.explode("near").alias("other")).select(
         F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high")
     )
     # At most codewords ** 4 / 2 pairs of cells, whatever the number of points.
     pairs = visited.distinct()
     low = blocks.select(F.col("cell").alias("low"), F.col("blocks").alias("low_blocks"))
-    high = blocks.select(F.col("cell").alias("high"), F.col("blocks").alias("high_blocks"))
+    high = blocks.select(F.col("cell").alias("high"), F.col("blocks").alias("high_blocks"), "bundle")
     sized = pairs.join(low, "low").join(high, "high")
     each = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
     tasks = sized.select("*", each("low_blocks").alias("i")).select("*", each("high_blocks").alias("j"))
     tasks = tasks.where("low <> high or i <= j")
-    tasks = tasks.select(F.concat_ws("-", "low", "i", "high", "j").alias("task"), "low", "i", "high", "j")
-    ends = tasks.select("task", F.col("low").alias("cell"), F.col("i").alias("block"), F.lit(0).alias("side")).union(
+    # Small cells that one block is compared with share a task; their points do not exceed two blocks.
+    within = F.when(F.col("low") == F.col("high"), F.concat_ws("-", "low", "i", "j")).otherwise(F.concat_ws("-", "low", "i", "bundle", "j"))
+    tasks = tasks.select(F.concat(F.when(F.col("low") == F.col("high"), F.lit("=")).otherwise(F.lit("")), within).alias("task"), "low", "i", "high", "j")
+    ends = tasks.select("task", F.col("low").alias("cell"), F.col("i").alias("block"), F.lit(0).alias("side")).distinct().union(
         tasks.where("low <> high or i <> j").select("task", F.col("high"), F.col("j"), F.lit(1))
     )
-    cut = placed.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("p"), "blocks").cast("int"))
+    cut = placed.join(F.broadcast(blocks.drop("bundle")), "cell").withColumn("block", F.pmod(F.xxhash64("p"), "blocks").cast("int"))
     met = cut.select("cell", "block", "p", "u", "n").join(ends, ["cell", "block"])
 
     def compare(group: pa.Table) -> pa.Table:

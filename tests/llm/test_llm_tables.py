@@ -114,6 +114,24 @@ def test_vectors_against_brute_force(spark):
     assert link_vectors(df.where("vec_id = 1000")).first().kept
 
 
+def test_links_beyond_the_sample_are_found(spark):
+    """A hot cluster and twins near the threshold, hardly any pair of which falls into the sample."""
+    made = np.random.default_rng(5)
+    unit = lambda v: v / np.sqrt((v**2).sum(axis=1, keepdims=True))
+    base = unit(made.standard_normal((6000, 64)))
+    aside = made.standard_normal(base.shape)
+    aside = unit(aside - (aside * base).sum(axis=1, keepdims=True) * base)
+    hot = unit(base[:1] + 0.001 * made.standard_normal((400, 64)))
+    rows = np.concatenate([base, 0.955 * base + np.sqrt(1 - 0.955**2) * aside, hot])
+    links = (rows @ rows.T >= 0.95).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in link_vectors(df, sample=600).collect()}
+    assert all(found[i] <= n for i, n in enumerate(links))
+    twins = [i for i in range(12000) if i % 6000]
+    assert sum(found[i] for i in twins) >= 0.99 * sum(int(links[i]) for i in twins)
+    assert sum(found.values()) >= 0.99 * links.sum()
+
+
 # --- near duplicates ------------------------------------------------------------------------------
 
 
