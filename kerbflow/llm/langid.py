@@ -156,23 +156,33 @@ def fold(text: str) -> str:
 def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, row_chars: int = ROW_CHARS, chars: int = SAMPLE_CHARS) -> dict:
     """At most ``rows`` texts and ``chars`` characters per language, for the fit alone.
 
-    Of the texts of at most ``row_chars`` characters (longer ones are not shortened but left out), those with
-    the smallest hash. ``docs`` has columns ``text`` and ``lang``; rows without either are left out. Each task
-    keeps its own smallest rows per language before anything is shuffled, so a language with most rows costs no more.
+    ``docs`` has columns ``text`` and ``lang``; rows without either are left out. Each text counts once in a language,
+    however many copies it has. Of the texts of at most ``row_chars`` characters (longer ones are left out) those with the
+    smallest hash.
     """
-    fit = docs.where("lang is not null and text is not null").where(F.length("text") <= row_chars)
-    hashed = fit.select("lang", "text", F.xxhash64("text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    chosen = hashed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
     found: dict[str, list[str]] = {}
     held: dict[str, int] = {}
-    for row in chosen.orderBy("lang", "place").toLocalIterator():
+    for row in chosen_texts(docs, rows, row_chars).orderBy("lang", "place", "text").toLocalIterator():
         if held.get(row.lang, 0) + len(row.text) <= chars:
             found.setdefault(row.lang, []).append(row.text)
             held[row.lang] = held.get(row.lang, 0) + len(row.text)
     return found
 
 
+def chosen_texts(docs: DataFrame, rows: int, row_chars: int) -> DataFrame:
+    """The texts of ``rows`` hashes per language, with their ``place``.
+
+    Only hashes are shuffled, copies of a text combined before, and each task keeps its own smallest per language; the texts
+    are read for the chosen hashes alone.
+    """
+    fit = docs.where("lang is not null and text is not null").where(F.length("text") <= row_chars)
+    hashed = fit.select("lang", "text", F.xxhash64("text").alias("h"))
+    order = Window.partitionBy("lang").orderBy("h")
+    keys = hashed.select("lang", "h").distinct()
+    keys = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+    return hashed.join(F.broadcast(keys), ["lang", "h"]).select("lang", "place", "text").distinct()
+
+
 def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text", to: str = "language") -> DataFrame:
     """``docs`` with a struct of ``lang``, ``score`` and ``phrases`` (per character) from the whole text alone.
 

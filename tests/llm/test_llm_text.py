@@ -176,6 +176,13 @@ def test_language_of_odd_rows(spark):
     assert identify_language(odd_docs(spark).limit(0), model).count() == 0
 
 
+def test_copies_count_once_in_the_sample(spark):
+    texts = [f"text number {i} of the sample" for i in range(400)]
+    smallest = spark.createDataFrame([(t,) for t in texts], "text string").orderBy(F.xxhash64("text")).first().text
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts + [smallest] * 500)], DOCS)
+    assert len(set(sample_texts(docs)["en"])) == 200
+
+
 # --- decontamination ------------------------------------------------------------------------------
 
 
