@@ -157,8 +157,9 @@ def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, row_chars: int = ROW_
     """At most ``rows`` texts and ``chars`` characters per language, for the fit alone.
 
     ``docs`` has columns ``text`` and ``lang``; rows without either are left out. Each text counts once in a language,
-    however many copies it has. Of the texts of at most ``row_chars`` characters (longer ones are left out) those with the
-    smallest hash.
+    however many copies it has. Texts of at most ``row_chars`` characters come first, whole, those with the smallest hash; what
+    they leave is filled from the longer ones, of each a window of ``row_chars`` characters whose start its hash
+    chooses. So each language with a label is learned.
     """
     found: dict[str, list[str]] = {}
     held: dict[str, int] = {}
@@ -170,17 +171,19 @@ def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, row_chars: int = ROW_
 
 
 def chosen_texts(docs: DataFrame, rows: int, row_chars: int) -> DataFrame:
-    """The texts of ``rows`` hashes per language, with their ``place``.
+    """The texts of ``rows`` hashes per language, with their ``place``: whole ones first, then windows of longer ones.
 
     Only hashes are shuffled, copies of a text combined before, and each task keeps its own smallest per language; the texts
     are read for the chosen hashes alone.
     """
-    fit = docs.where("lang is not null and text is not null").where(F.length("text") <= row_chars)
-    hashed = fit.select("lang", "text", F.xxhash64("text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h")
-    keys = hashed.select("lang", "h").distinct()
+    fit = docs.where("lang is not null and text is not null")
+    hashed = fit.select("lang", "text", (F.length("text") > row_chars).alias("long"), F.xxhash64("text").alias("h"))
+    order = Window.partitionBy("lang").orderBy("long", "h")
+    keys = hashed.select("lang", "long", "h").distinct()
     keys = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
-    return hashed.join(F.broadcast(keys), ["lang", "h"]).select("lang", "place", "text").distinct()
+    start = F.pmod(F.col("h"), F.length("text") - row_chars + 1).cast("int") + 1
+    window = F.when(F.col("long"), F.substring(F.col("text"), start, F.lit(row_chars))).otherwise(F.col("text"))
+    return hashed.join(F.broadcast(keys), ["lang", "long", "h"]).select("lang", "place", window.alias("text")).distinct()
 
 
 def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text", to: str = "language") -> DataFrame:

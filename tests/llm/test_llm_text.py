@@ -183,6 +183,15 @@ def test_copies_count_once_in_the_sample(spark):
     assert len(set(sample_texts(docs)["en"])) == 200
 
 
+def test_languages_of_long_texts_are_learned(spark):
+    long = {i: f"{i} viele lange seiten " * 400 for i in range(5)}
+    docs = spark.createDataFrame([(i, t, "de") for i, t in long.items()] + [(9, "a short text", "en"), (10, "b " * 9000, "en")], DOCS)
+    found = sample_texts(docs)
+    assert set(found) == {"de", "en"}
+    assert len(found["de"]) == 5 and all(len(t) == 4000 and any(t in whole for whole in long.values()) for t in found["de"])
+    assert found["en"][0] == "a short text" and len(found["en"]) == 2
+
+
 # --- decontamination ------------------------------------------------------------------------------
 
 
