@@ -43,12 +43,24 @@ UNIT = 1_000_000
 HEX_CLASS = CharacterClass("entropy_hex", "0-9a-fA-F", 32, 3.0)
 BASE64_CLASS = CharacterClass("entropy_base64", "A-Za-z0-9+/_=-", 24, 4.0)
 CLASSES = (HEX_CLASS, BASE64_CLASS)
-#: Runs that look random and are no secret: UUIDs, paths, and documentation keys.
+#: The allow-list as the SQL of op2 states it. It also hides real secrets, so the scan goes by ``HARMLESS``.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^/?[A-Za-z0-9_=-]{1,23}(/[A-Za-z0-9_=-]{1,23}){2,}/?$",
     r"(EXAMPLE|example|SAMPLE|sample|PLACEHOLDER|placeholder|xxxx|XXXX|0000)",
 )
+_WORD = "(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+|[0-9]{1,8})"
+_PART = f"{_WORD}(?:[_=-]+{_WORD})*"
+#: Whole runs that look random and are no secret: UUIDs, paths whose parts all look like words (no letters of both cases
+#: mixed with digits), runs of nothing but placeholder words, and the key of the AWS documentation.
+HARMLESS = (
+    ALLOWED[0],
+    f"^/?{_PART}(?:/{_PART}){{2,}}/?$",
+    "(?i)^(?:(?:example|sample|placeholder|your|my|api|access|secret|key|token|here|x{4,}+|0{4,}+)[-_=/+]?)+$",
+    "^wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY$",
+)
+#: A longer run is never harmless; the patterns stay cheap.
+HARMLESS_LENGTH = 512
 
 
 def bound(value: Column, use) -> Column:
@@ -153,8 +165,9 @@ def _random(match: Column, wanted: CharacterClass) -> Column:
     most = round((math.log2(wanted.window) - wanted.bits) * wanted.window * UNIT)
     mixed = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
     allowed = F.lit(False)
-    for pattern in ALLOWED:
+    for pattern in HARMLESS:
         allowed = allowed | match.rlike(pattern)
+    allowed = (F.length(match) <= HARMLESS_LENGTH) & allowed
     return F.when(mixed & ~allowed, entropy_units(match, wanted.window) <= most).otherwise(False)
 
 
@@ -162,7 +175,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", to: str = "secrets", class
     """``docs`` with the secrets of each whole text: an array of (start, end, rank, kind), by start, then kind as listed.
 
     Base kinds are ``assign``, ``access`` and ``hex``: the leftmost matches that do not overlap, of which the short ones are
-    dropped afterwards. Each character class adds its runs of high entropy, unless an allow-list pattern names them; the list
+    dropped afterwards. Each character class adds its runs of high entropy, unless a pattern of ``HARMLESS`` names the whole run; the list
     never removes a base span. Places are code points, the end is exclusive. Null and empty texts have none. A column named
     ``to`` is replaced; other columns and repeated rows stay. All of it runs in the JVM, row by row, without a shuffle.
     """

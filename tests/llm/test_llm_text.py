@@ -274,6 +274,15 @@ def test_entropy_spans_and_allow_list(spark):
     assert found == {0: [(4, 44, "entropy_base64")], 1: [], 2: [], 3: [], 4: [], 5: []}
 
 
+def test_allow_list_hides_no_secret(spark):
+    keys = ["aX3kP9/mQ7zLw2Rt5Vb8Nc/1Yd6Fg4Hj0Ks9TuEo", "q7Zm0000Xk2Rt5Vb8NcY1d6Fg4HjKs9TuEoW3pLa", "sampleQ7zLw2Rt5Vb8NcY1d6Fg4HjKs9TuEo"]
+    fine = ["/usr/local/lib/python3/site-packages/kerb_flow/Word", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    fine += ["your-example-api-key-0000-here-xxxx", "123e4567-e89b-12d3-a456-426614174000"]
+    docs = spark.createDataFrame([(i, f"aws_key = {k} .") for i, k in enumerate(keys + fine)], "doc_id int, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.secrets] for r in scan_secrets(docs).collect()}
+    assert found == {i: [(10, 10 + len(k))] if k in keys else [] for i, k in enumerate(keys + fine)}
+
+
 def test_redaction(spark):
     texts = ["token=abcdefgh1", "a token=abcdefgh1 b AKIA" + "A1" * 10, "é😀 secret: 'deadbeefdeadbeefdeadbeefdeadbeef'!", "", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
