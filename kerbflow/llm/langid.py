@@ -14,6 +14,9 @@ from kerbflow.llm.common import SLICE, put, ready
 
 SAMPLE_ROWS, SAMPLE_CHARS, ROW_CHARS = 200, 60_000, 4_000
 BLOCK = 2048
+#: For the bounds on phrases: texts per language and least number of them, quantile, margin, beginnings and length classes.
+CALIBRATION, LEAST, FAR, MARGIN = 1000, 20, 0.98, 1.75
+BEGINNINGS, LENGTHS = [24 << n for n in range(8)], range(5, 13)
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 RESULT = "struct<lang: string, score: double, phrases: double>"
@@ -215,6 +218,51 @@ def fold_of(doc_id: str = "doc_id"):
     return F.crc32(F.col(f"`{doc_id}`").cast("string")) % 5
 
 
+def training_sample(docs: DataFrame) -> dict:
+    return sample_texts(docs.where(fold_of() != 0).select("text", "lang"))
+
+
 def train(docs: DataFrame) -> LanguageModel:
     """A model from the documents that are not held out; a document without an id is not learned from either."""
-    return LanguageModel.fit(sample_texts(docs.where(fold_of() != 0).select("text", "lang")))
+    return LanguageModel.fit(training_sample(docs))
+
+
+def letters_in(text: str):
+    return F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
+
+
+def length_class(letters):
+    """Texts of 32 to 63 letters are class 5, of 64 to 127 class 6, and so on; all from 4,096 on are class 12."""
+    return F.least(F.floor(F.log2(letters)), F.lit(LENGTHS[-1])).cast("int")
+
+
+def phrase_bounds(docs: DataFrame, model: LanguageModel, learned: dict, most: float) -> dict[tuple[str, int], float]:
+    """The most phrases per character that texts of a language and length class should need, at most ``most``.
+
+    Measured on held-out documents with a label, of each language the ``CALIBRATION`` distinct texts of smallest hash that
+    were not learned, and on their beginnings, since a short text needs more phrases a character: ``FAR`` quantile times
+    ``MARGIN``. A longer text is never allowed more than a shorter one. A class with fewer than ``LEAST`` texts takes the bound of
+    the next shorter one, and ``most`` if there is none. Texts under 32 letters have no class: too short to judge. A language without any takes the largest of the others.
+    """
+    spark = docs.sparkSession
+    held = chosen_texts(docs.where(held_out()).select("text", "lang"), CALIBRATION, ROW_CHARS).select("text").distinct()
+    known = spark.createDataFrame([(t,) for texts in learned.values() for t in texts], "text string")
+    held = held.join(F.broadcast(known), "text", "left_anti")
+    parts = F.array(F.col("text"), *[F.when(F.length("text") > n, F.substring("text", 1, n)) for n in BEGINNINGS])
+    parts = held.select(F.explode(parts).alias("part")).where("part is not null")
+    found = identify_language(parts, model, "part", "found").withColumn("class", length_class(letters_in("part")))
+    found = found.where(F.col("class") >= LENGTHS[0]).groupBy("found.lang", "class")
+    far = found.agg(F.percentile_approx("found.phrases", FAR, 10_000).alias("far"), F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    measured = {(r.lang, r["class"]): r.far * MARGIN for r in far.collect()}
+    bounds: dict[tuple[str, int], float] = {}
+    for lang in model.languages:
+        last = most
+        for n in LENGTHS:
+            if (lang, n) in measured:
+                last = min(most, max(measured[k] for k in measured if k[0] == lang and k[1] >= n))
+            bounds[lang, n] = last
+    some = {lang for lang, _ in measured}
+    for lang in model.languages:
+        if some and lang not in some:
+            bounds |= {(lang, n): max(bounds[k, n] for k in some if k in model.languages) for n in LENGTHS}
+    return bounds

@@ -267,3 +267,19 @@ def test_clean_documents_stay(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert corpus_pipeline.language_stage(spark, docs, SF).count() == docs.count()
     assert corpus_pipeline.secrets_stage(spark, docs, SF).count() == docs.count()
+
+
+def test_languages_that_were_not_learned_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    finnish = "Pohjoisen talvi oli tullut aikaisin, ja järven jäällä kulki yksinäinen mies, joka etsi kadonnutta koiraansa. "
+    finnish += "Metsän reunassa paloi pieni valo, mutta kukaan ei vastannut hänen huutoonsa, vaikka yö oli aivan hiljainen."
+    polish = "Wczesnym rankiem chłopiec wyszedł z domu, żeby zobaczyć, czy rzeka już zamarzła. Na moście spotkał starego "
+    polish += "rybaka, który opowiedział mu o dawnych czasach, kiedy w tej okolicy mieszkało jeszcze dużo więcej ludzi."
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    strange = [finnish, polish, " ".join(letters(rng.randint(3, 9)) for _ in range(60)), letters(300)]
+    assert docs.where("lang in ('fi', 'pl')").count() == 0
+    rows = docs.union(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(strange)], "doc_id bigint, text string, lang string"))
+    kept = corpus_pipeline.language_stage(spark, rows, SF)
+    assert kept.where("doc_id < 0").count() == 0
+    assert kept.count() >= 0.995 * docs.count()
