@@ -5,6 +5,7 @@ from kerbflow.operators.coerce import out_of_range, to_table_types
 from kerbflow.operators.enrich import drop_bad_time, with_event_time, with_locations
 from kerbflow.operators.latest import latest_versions
 from kerbflow.operators.normalise import canonical_trips, detect_time_column, normalise_columns, unread_trips
+from kerbflow.operators.numbering import dense_numbers
 from kerbflow.operators.payload import decode_messages, encode_messages
 from kerbflow.operators.rejects import reject_counts, with_reject_reason
 from kerbflow.operators.running import running_totals
@@ -14,6 +15,7 @@ __all__ = [
     "canonical_trips",
     "computed_once",
     "decode_messages",
+    "dense_numbers",
     "detect_time_column",
     "drop_bad_time",
     "drop_null_location",
