@@ -154,10 +154,79 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed LEFT JOIN history USING (conv_id) GROUP BY conv_id
 """
 
+# --- op11 -----------------------------------------------------------------------------------------
+
+# The CRC of each distinct feature is computed from its bytes, bit by bit.
+RESAMPLING = """
+WITH bytes AS (
+    SELECT list_transform(range(0, 256), lambda b: list_reduce(range(0, 8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, b)) AS crc
+),
+texts AS (
+    SELECT row_number() OVER () AS rid, true AS target, NULL AS doc_id, text FROM benchmark
+    UNION ALL SELECT -row_number() OVER (), false, doc_id, text FROM documents
+),
+split AS (
+    SELECT rid, target, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
+    FROM texts
+),
+features AS (
+    SELECT rid, target, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+        || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS feature
+    FROM split
+),
+counted AS (SELECT rid, target, feature, count(*) AS n FROM features GROUP BY ALL),
+hashed AS (
+    SELECT feature, xor(4294967295, list_reduce(list_transform(range(0, strlen(feature)),
+            lambda i: ('0x' || substr(hex(encode(feature)), 2 * i + 1, 2))::BIGINT),
+        lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)]), 4294967295::BIGINT)) % 10000 AS bucket
+    FROM (SELECT DISTINCT feature FROM counted), bytes
+),
+totals AS (SELECT bucket, sum(n) FILTER (NOT target) AS s, sum(n) FILTER (target) AS t FROM counted JOIN hashed USING (feature) GROUP BY bucket),
+gains AS (
+    SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM totals) + 10000)::DOUBLE)
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM totals) + 10000)::DOUBLE))) AS gain
+    FROM totals
+),
+weights AS (SELECT rid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM counted JOIN hashed USING (feature) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+            / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM split LEFT JOIN weights USING (rid) WHERE NOT target
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+        5 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS drawn
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""
+
+# --- op12 -----------------------------------------------------------------------------------------
+
+LINES = """
+WITH split AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT rid, doc_id, ls[i] AS line, i FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split)),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+),
+marked AS (SELECT *, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS gone FROM keyed)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rid
+"""
+
 SQL = {
     "op2_secret_scan": _secrets(),
     "op3_warc": WARC,
     "op4_embedding_dedup": VECTORS,
     "op9_minhash_dedup": MINHASH,
     "op10_chat_format": CHAT,
+    "op11_importance_resampling": RESAMPLING,
+    "op12_line_dedup": LINES,
 }

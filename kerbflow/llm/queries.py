@@ -13,7 +13,10 @@ from kerbflow.llm.chat import digest_conversations, format_conversations
 from kerbflow.llm.decontaminate import find_leaks
 from kerbflow.llm.embeddings import link_vectors
 from kerbflow.llm.langid import held_out, identify_language, train
+from kerbflow.llm.line_dedup import dedup_lines
 from kerbflow.llm.minhash import near_duplicates
+from kerbflow.llm.periodic_runs import periodic_runs
+from kerbflow.llm.resampling import resample
 from kerbflow.llm.secrets import scan_secrets, spans_text
 from kerbflow.llm.sentencepiece_stream import encode_checked
 from kerbflow.llm.token_blocks import read_token_files, write_token_files
@@ -111,6 +114,52 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_conversations(format_conversations(turns.unionByName(spark.createDataFrame(rows, schema))))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document against the benchmark, and the rank of those drawn."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that one of smaller id holds."""
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def repeated_in_part(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) in which about one text in ten repeats a part of its own from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    chosen = (h % 10 == 0) & (F.length(F.btrim("text", F.lit(" \t\n\x0b\f\r"))) > 0)
+    part = docs.where(chosen).select("doc_id", words.alias("words"), g.alias("g"), F.size(words).alias("n"))
+    part = part.select("*", (F.col("g") % F.col("n")).cast("int").alias("a"))
+    part = part.select("*", (F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8))).cast("int").alias("p"))
+    a, p = F.col("a"), F.col("p")
+    word = lambda i: F.get("words", F.when(i < a, i).otherwise(a + (i - a) % p))
+    again = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), word), " ")
+    return part.select("doc_id", again.alias("text")).unionByName(docs.where(F.coalesce(~chosen, F.lit(True))))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, one text in ten made to repeat itself, and the digest of what is left without them."""
+    docs = repeated_in_part(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    runs = F.col("found.runs")
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    more = lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best)
+    found = periodic_runs(docs, to="found").select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        F.aggregate(runs, F.get(runs, F.lit(0)), more).alias("best"),
+        F.sha2(F.array_join(F.transform(runs, line), ""), 256).alias("runs_sha256"),
+        F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+    milli = F.expr("best.length * 1000 div best.period").alias("exponent_milli")
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli, "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -124,6 +173,9 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_minhash_dedup,
         op10_chat_format,
+        op11_importance_resampling,
+        op12_line_dedup,
+        op13_periodic_runs,
     )
 }
 SQL: dict[str, str] = dict(oracle.SQL)
