@@ -15,7 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ BUCKETS = 10_000
 #: Bounds of the broadcast: 32,768 words of at most 48 bytes and 65,536 pairs of them, below 4 MB in all.
 HEAD_WORDS, HEAD_PAIRS, LONGEST = 1 << 15, 1 << 16, 48
 PAIR_SLOTS = 1 << 19
+#: Steps of a doubling of the count, by which the head is cut off.
+LEVELS = 8
 #: Bytes of text that are taken apart at a time.
 PIECE = 1 << 19
 LEAST_WORDS = 20
@@ -146,15 +148,26 @@ class Head:
 def count_head(texts: DataFrame, text: str = "text") -> Head:
     """The frequent words and pairs of all texts.
 
-    Each task sends its most frequent ones, at most ``HEAD_WORDS`` and ``HEAD_PAIRS``; they are added up and as many stay.
+    Each task sends its most frequent ones, at most ``HEAD_WORDS`` and ``HEAD_PAIRS``; they are added up and at most as many stay.
     """
     ready(texts.sparkSession)
     local = texts.select(F.col(f"`{text}`").alias("text")).mapInArrow(_frequent, HEAD)
     counts = written(local.groupBy("pair", "feature").agg(F.sum("n").alias("n")), "resample-head")
-    most = lambda pair, k: counts.where(F.col("pair") == pair).orderBy(F.desc("n"), "feature").limit(k).toArrow()["feature"]
-    words = most(False, HEAD_WORDS).to_pylist()
+    counts = counts.withColumn("level", F.floor(F.log2("n") * LEVELS))
+    sizes = sorted(map(tuple, counts.groupBy("pair", "level").agg(F.count(F.lit(1))).collect()), reverse=True)
+
+    def most(pair: bool, limit: int) -> list[bytes]:
+        """As many of the highest levels as hold ``limit`` features together, so no task has to sort what all others send."""
+        levels = [(level, size) for kind, level, size in sizes if kind == pair]
+        sums = accumulate(size for _, size in levels)
+        whole = [level for (level, _), total in zip(levels, sums) if total <= limit]
+        found = counts.where((F.col("pair") == pair) & (F.col("level") >= (whole[-1] if whole else math.inf))).toArrow()
+        ordered = sorted(zip(found["n"].to_pylist(), found["feature"].to_pylist()), key=lambda f: (-f[0], f[1]))
+        return [feature for _, feature in ordered]
+
+    words = most(False, HEAD_WORDS)
     known = set(words)
-    pairs = (tuple(p.split(b" ")) for p in most(True, HEAD_PAIRS).to_pylist())
+    pairs = (tuple(p.split(b" ")) for p in most(True, HEAD_PAIRS))
     return Head(words, [p for p in pairs if known.issuperset(p)])
 
 
