@@ -16,6 +16,8 @@ from kerbflow.llm.common import connected_classes, ready, written
 
 THRESHOLD, RECALL = 0.95, 0.99
 CODEWORDS, SAMPLE, QUERIES, BLOCK = 32, 16_384, 512, 512
+#: Stored points, and about as many asking ones, that a task compares.
+STORED = 4096
 LEAST_CELLS, BANDS, TWINS = 4, 5, 4
 
 logger = logging.getLogger(__name__)
@@ -128,7 +130,7 @@ class Probe:
         self._add(query, homes[back], places[back, self.homes[query]], near[query, point], seen)
 
     def _add(self, query: np.ndarray, home: np.ndarray, from_point: np.ndarray, cosine: np.ndarray, seen: np.ndarray) -> None:
-        """Two cells are compared if either is visited from the other."""
+        """A link is found if either point visits the other's home."""
         place = np.minimum(self.places[query, home], from_point)
         step = np.searchsorted(self.index.reaches, place)
         band = ((cosine - self.threshold) / max(1 - self.threshold, 1e-9) * BANDS).astype(int).clip(0, BANDS - 1)
@@ -257,9 +259,9 @@ def link_vectors(
     Equal vectors are one point with a count, so they never meet in pairs. Codebooks are fitted on the ``sample``
     points of smallest hash. The links of some of them with all points are found by brute force, and the number of cells
     to visit is raised until ``recall`` of these links is reached, in all and by band of cosine, and of planted twins at the
-    threshold. Every point is in the index. A point visits its nearest cells, and two cells
-    of which one is visited from the other are compared whole, so links are symmetric. Cells are cut into
-    blocks of about ``BLOCK`` points, so a cell with most points is compared block by block. A comparison gives back counts
+    threshold. Every point is stored once, in its nearest cell, and asks in each cell that it visits, so it is copied 1 + visits
+    times. A pair that both ends would find counts once, as stored points carry the cells they visit. A cell of more than
+    ``STORED`` points is cut into blocks, and those that ask there into slices. A comparison gives back counts
     and a spanning forest of its links, never all pairs.
     """
     spark = ready(vectors.sparkSession)
@@ -291,57 +293,49 @@ def link_vectors(
 
     shape = "p string, u array<double>, n bigint, cell int, near array<int>"
     placed = written(points.select("p", "v", "n").mapInArrow(cells, shape), "vector-cells")
-    several = max(1, BLOCK * int(index.reaches[-1]) // max(1, placed.count()))
-    bundle = F.when(F.count("*") * several <= 2 * BLOCK, F.concat(F.lit("b"), F.floor(F.col("cell") / several))).otherwise(F.col("cell").cast("string"))
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), bundle.alias("bundle"))
-    visited = placed.select("cell", F.explode("near").alias("other")).select(
-        F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high")
-    )
-    # At most codewords ** 4 / 2 pairs of cells, whatever the number of points.
-    pairs = visited.distinct()
-    low = blocks.select(F.col("cell").alias("low"), F.col("blocks").alias("low_blocks"))
-    high = blocks.select(F.col("cell").alias("high"), F.col("blocks").alias("high_blocks"), "bundle")
-    sized = pairs.join(low, "low").join(high, "high")
-    each = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
-    tasks = sized.select("*", each("low_blocks").alias("i")).select("*", each("high_blocks").alias("j"))
-    tasks = tasks.where("low <> high or i <= j")
-    # Small cells that one block is compared with share a task; their points do not exceed two blocks.
-    within = F.when(F.col("low") == F.col("high"), F.concat_ws("-", "low", "i", "j")).otherwise(F.concat_ws("-", "low", "i", "bundle", "j"))
-    tasks = tasks.select(F.concat(F.when(F.col("low") == F.col("high"), F.lit("=")).otherwise(F.lit("")), within).alias("task"), "low", "i", "high", "j")
-    ends = tasks.select("task", F.col("low").alias("cell"), F.col("i").alias("block"), F.lit(0).alias("side")).distinct().union(
-        tasks.where("low <> high or i <> j").select("task", F.col("high"), F.col("j"), F.lit(1))
-    )
-    cut = placed.join(F.broadcast(blocks.drop("bundle")), "cell").withColumn("block", F.pmod(F.xxhash64("p"), "blocks").cast("int"))
-    met = cut.select("cell", "block", "p", "u", "n").join(ends, ["cell", "block"])
+    asked = placed.select(F.explode("near").alias("cell"))
+    # At most codewords ** 2 rows, whatever the number of points.
+    per_cell = lambda df, n: df.groupBy("cell").agg(F.ceil(F.count("*") / STORED).cast("int").alias(n))
+    cuts = F.broadcast(written(per_cell(placed, "blocks").join(per_cell(asked, "slices"), "cell"), "vector-cuts"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    part_of = lambda n: F.pmod(F.xxhash64("p"), n).cast("int")
+    none = F.lit(None).cast("array<int>").alias("near")
+    stored = placed.join(cuts, "cell").withColumn("home", F.col("cell"))
+    stored = stored.select("cell", part_of("blocks").alias("block"), each("slices").alias("slice"), "home", "p", "u", "n", "near")
+    asking = placed.select(F.explode("near").alias("cell"), F.col("cell").alias("home"), "p", "u", "n").join(cuts, "cell")
+    asking = asking.select("cell", each("blocks").alias("block"), part_of("slices").alias("slice"), "home", "p", "u", "n", none)
+    met = stored.union(asking)
+    cells_in_all = int(index.reaches[-1])
 
     def compare(group: pa.Table) -> pa.Table:
-        side = group.column("side").to_numpy()
-        unit = np.array(group.column("u").to_pylist())
-        names, counts = group.column("p").to_pylist(), group.column("n").to_numpy()
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        hits = unit[left] @ unit[right].T >= threshold
-        total = np.zeros(len(names), dtype=np.int64)
-        if right is left:
-            np.fill_diagonal(hits, False)
-            total[left] = hits @ counts[left]
-        else:
-            total[left] = hits @ counts[right]
-            total[right] = hits.T @ counts[left]
-        out = {"a": [], "b": [], "n": []}
-        for i in np.flatnonzero(total):
-            out["a"].append(names[i])
-            out["b"].append(None)
-            out["n"].append(int(total[i]))
-        for i, j in _forest(hits, left, right):
-            out["a"].append(names[i])
-            out["b"].append(names[j])
-            out["n"].append(0)
+        kept = group.column("near").is_valid().to_numpy()
+        unit = group.column("u").combine_chunks().flatten().to_numpy().reshape(len(kept), -1)
+        names, counts, homes = (group.column(c).to_pylist() for c in ("p", "n", "home"))
+        counts, homes = np.array(counts, dtype=np.float64), np.array(homes)
+        _, rank = np.unique(names, return_inverse=True)
+        right, left = np.flatnonzero(kept), np.flatnonzero(~kept)
+        visits = np.zeros((len(right), cells_in_all), dtype=bool)
+        near = np.array([v for v in group.column("near").to_pylist() if v is not None]).reshape(len(right), -1)
+        visits[np.arange(len(right))[:, None], near] = True
+        total, forest, edges = np.zeros(len(names)), Forest(rank), []
+        for at in range(0, len(left), BLOCK):
+            some = left[at : at + BLOCK]
+            row, column = np.nonzero(unit[some] @ unit[right].T >= threshold)
+            a, b = some[row], right[column]
+            # A pair may meet in the home of either: it counts where the smaller one asks, or where the other does not ask back.
+            once = (rank[a] < rank[b]) | ~visits[column, homes[a]]
+            a, b = a[once], b[once]
+            total += np.bincount(a, counts[b], len(names)) + np.bincount(b, counts[a], len(names))
+            edges += forest.join(a, b)
+        some = np.flatnonzero(total).tolist()
+        out = {
+            "a": [names[i] for i in some] + [names[i] for i, _ in edges],
+            "b": [None] * len(some) + [names[j] for _, j in edges],
+            "n": [int(total[i]) for i in some] + [0] * len(edges),
+        }
         return pa.table(out, schema=pa.schema([("a", pa.string()), ("b", pa.string()), ("n", pa.int64())]))
 
-    found = written(
-        met.select("task", "side", "p", "u", "n").groupBy("task").applyInArrow(compare, "a string, b string, n bigint"), "vector-links"
-    )
+    found = written(met.groupBy("cell", "block", "slice").applyInArrow(compare, "a string, b string, n bigint"), "vector-links")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links"))
     edges = found.where("b is not null").select("a", "b")
     roots = connected_classes(edges, "vectors")
@@ -370,20 +364,22 @@ def _padded(vectors: list[list[float]], size: int) -> np.ndarray:
     return out
 
 
-def _forest(hits: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Links that join the same points as all hits do, fewer than there are points."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for row in np.flatnonzero(hits.any(axis=1)):
-        i = int(left[row])
-        for j in right[hits[row]].tolist():
-            a, b = root(i), root(j)
-            if a != b:
-                parent[a] = b
-                yield i, j
+class Forest:
+    """Keeps of the links that it is given those that join what was not joined; ``points`` has equal numbers for equal points."""
+
+    def __init__(self, points: np.ndarray):
+        self.points, self.label = points, np.arange(len(points))
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+        """``a`` ascending."""
+        out = []
+        starts = np.flatnonzero(np.diff(a, prepend=-1))
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(a)]):
+            i, others = int(a[start]), b[start:end]
+            own = self.label[self.points[i]]
+            labels, at = np.unique(self.label[self.points[others]], return_index=True)
+            new = labels != own
+            if new.any():
+                out += [(i, j) for j in others[at[new]].tolist()]
+                self.label[np.isin(self.label, labels)] = own
+        return out
