@@ -1,5 +1,8 @@
 """Every named query against its SQL."""
 
+import sys
+from types import SimpleNamespace
+
 import pytest
 from compare import duck_rows, spark_rows
 
@@ -36,3 +39,17 @@ def test_query_matches_sql(spark, name):
     expected_names, expected = duck_rows(contract.oracle_sql()[name], SF)
     assert names == expected_names
     assert rows == expected
+
+
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "kerbflow.llm"])
+def test_base_queries_stay_when_the_corpus_part_cannot_be_imported(monkeypatch, missing):
+    monkeypatch.setitem(sys.modules, missing, None)
+    with pytest.warns(UserWarning, match="left out"):
+        assert contract._corpus() == ({}, {})
+
+
+def test_a_fault_of_the_corpus_part_is_not_hidden(monkeypatch):
+    monkeypatch.setitem(sys.modules, "kerbflow.llm", SimpleNamespace(queries=SimpleNamespace(QUERIES={}, SQL={})))
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", SimpleNamespace())
+    with pytest.raises(AttributeError):
+        contract._corpus()
