@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,10 +31,15 @@ from kerbflow.operators import (
     with_reject_reason,
 )
 from kerbflow.plans import (
+    aggregates_with_events,
+    compact,
     feed_batches,
+    newest_results,
     newest_windows,
     peek_messages,
     raw_events,
+    read_latest,
+    remove_compacted,
     total_rows,
     trip_aggregates,
     trips_to_messages,
@@ -42,8 +47,8 @@ from kerbflow.plans import (
 )
 from kerbflow.schema import AGGREGATE_SCHEMA, AGGREGATE_TABLE_TYPES, MESSAGE_SCHEMA, PICKUP_TIME
 from kerbflow.session import scratch_dir, use_utc
-from kerbflow.sinks import BatchFolderSink, RawEventSink
-from kerbflow.sources import read_changelog, read_message_files, read_trips, stream_message_files, stream_trips
+from kerbflow.sinks import BatchFolderSink, CommittedSink, LateRowsSink, RawEventSink, read_late_rows, read_results
+from kerbflow.sources import read_changelog, read_committed, read_message_files, read_trips, stream_message_files, stream_trips
 from kerbflow.streaming import run_available_now
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -399,6 +404,81 @@ def restart_equals_unbroken(spark, sf_dir):
     return latest_versions(run_parts(spark, sf_dir, "restart", by_time()))
 
 
+def run_committed(spark: SparkSession, sf_dir: str, label: str, part: Column, after=lambda path, number: None) -> str:
+    """The same with batches that appear at once; ``after`` is called when a part is done."""
+    folder = scratch_dir(spark, label)
+    for number in feed(spark, sf_dir, part, folder):
+        result = trip_aggregates(stream_message_files(spark, f"{folder}/topic"), CONFIG)
+        run_available_now(result, CommittedSink(f"{folder}/results"), f"{folder}/{CONFIG.checkpoint_name()}", settings=ONE_BATCH_PER_RUN)
+        after(f"{folder}/results", number)
+    return f"{folder}/results"
+
+
+@query
+def committed_batches(spark, sf_dir):
+    """Every version of each window, from the batches that a commit names."""
+    return read_committed(spark, run_committed(spark, sf_dir, "committed", by_hash()))
+
+
+@query
+def snapshot_latest(spark, sf_dir):
+    """Current values from a snapshot of the first three parts, whose batches are gone, and the last part."""
+
+    def keep(path: str, number: int) -> None:
+        if number in (0, 2):
+            compact(spark, path)
+            remove_compacted(spark, path)
+
+    return read_latest(spark, run_committed(spark, sf_dir, "snapshot", by_hash(), keep))
+
+
+@query
+def report_top20_pruned(spark, sf_dir):
+    """The newest windows from the last days of the snapshot and the part after it."""
+
+    def keep(path: str, number: int) -> None:
+        if number == 2:
+            compact(spark, path)
+
+    return newest_results(spark, run_committed(spark, sf_dir, "pruned", by_time(), keep))
+
+
+def run_with_late_rows(spark: SparkSession, sf_dir: str, label: str) -> str:
+    folder = scratch_dir(spark, label)
+    for _ in feed(spark, sf_dir, by_hash(), folder):
+        both = aggregates_with_events(stream_message_files(spark, f"{folder}/topic"), CONFIG)
+        run_available_now(both, LateRowsSink(f"{folder}/results", CONFIG), f"{folder}/{CONFIG.checkpoint_name()}", settings=ONE_BATCH_PER_RUN)
+    return f"{folder}/results"
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """One row per event and window that was closed to it, with the batch it came in."""
+    return read_late_rows(spark, run_with_late_rows(spark, sf_dir, "late-rows"))
+
+
+@query
+def stream_late_accounted(spark, sf_dir):
+    """Window rows of each batch: those that counted, from the results, and those that were late. No row is lost."""
+    path = run_with_late_rows(spark, sf_dir, "late-accounted")
+    versions = read_results(spark, path)
+    earlier = Window.partitionBy("window_start", "pickup_location").orderBy("batch_id")
+    fresh = F.col("trip_count") - F.coalesce(F.lag("trip_count").over(earlier), F.lit(0))
+    kept = versions.select("batch_id", fresh.alias("kept_rows"), F.lit(0).cast("long").alias("late_rows"))
+    late = read_late_rows(spark, path).filter("pickup_location is not null")
+    late = late.select("batch_id", F.lit(0).cast("long").alias("kept_rows"), F.lit(1).cast("long").alias("late_rows"))
+    return kept.unionByName(late).groupBy("batch_id").agg(F.sum("kept_rows").alias("kept_rows"), F.sum("late_rows").alias("late_rows"))
+
+
+@query
+def stream_append_chained(spark, sf_dir):
+    """Closed windows from closed panes: two stateful steps, the first with one row per pane instead of one per window."""
+    folder = scratch_dir(spark, "chained")
+    result = trip_aggregates(as_messages(event_stream(spark, sf_dir)), CONFIG, panes=True)
+    run_available_now(result, CommittedSink(f"{folder}/results"), f"{folder}/{CONFIG.checkpoint_name()}", output_mode="append")
+    return read_committed(spark, f"{folder}/results").drop("batch_id")
+
+
 def far_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with distances up to 99,000, of which the table takes those below 10,000."""
     events = fixtures.topic_position(fixtures.read_events(spark, sf_dir))

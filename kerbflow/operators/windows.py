@@ -55,15 +55,15 @@ def windowed_aggregate(
     numbers; any other value names the column to group on.
 
     With ``panes`` (the default on tables) each event is first added to its one pane, and only
-    the panes, far fewer than the events, are copied into the windows that hold them. Streams take the
-    direct form, since update mode allows a single stateful step. Both forms combine on the map
+    the panes, far fewer than the events, are copied into the windows that hold them. Both forms combine on the map
     side before each shuffle, so one very frequent location costs no more than another.
+
+    Streams take the direct form unless ``panes=True``, since update mode allows a single stateful step. In append mode the
+    steps can be chained: the state then holds one row per open pane instead of one per window that the pane is in,
+    and a closed pane is added to its windows, which leave as soon as the watermark passes their end.
     """
     if panes is None:
         panes = not events.isStreaming and spec.panes_per_window > 1
-    if panes and events.isStreaming:
-        raise ValueError("a streaming aggregate cannot be chained: use panes=False")
-
     if not events.isStreaming:
         events = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
     size, slide, pane = spec.size_micros, spec.slide_micros, spec.pane_micros
@@ -72,7 +72,13 @@ def windowed_aggregate(
     window_end = F.timestamp_micros(F.unix_micros("window_start") + size)
     if events.isStreaming:
         # The window itself must be the key: it carries the watermark that closes the group.
-        grouped = rows.groupBy(window_of("event_time", size, slide), *names).agg(*_partials())
+        if panes and spec.panes_per_window > 1:
+            small = rows.groupBy(window_of("event_time", pane, pane), *names).agg(*_partials())
+            # Time of a closed pane: its last microsecond, under the watermark of the events.
+            small = small.withColumn("pane_time", F.window_time("window")).drop("window")
+            grouped = small.groupBy(window_of("pane_time", size, slide), *names).agg(*_merged())
+        else:
+            grouped = rows.groupBy(window_of("event_time", size, slide), *names).agg(*_partials())
         grouped = grouped.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
     elif panes:
         small = _by_start(rows, "event_time", pane, pane, names, _partials())

@@ -92,7 +92,8 @@ marks AS (
 kept AS (
   SELECT parted.* FROM parted LEFT JOIN marks USING (part)
   WHERE late_mark IS NULL OR window_end > late_mark
-),{LOG}"""
+),
+missed AS (SELECT parted.* FROM parted JOIN marks USING (part) WHERE window_end <= late_mark),{LOG}"""
 
 SPOILED = f"""WITH {TRIPS},
 spoiled AS (
@@ -212,6 +213,20 @@ SELECT window_start, window_end, pickup_location, trip_count, avg_fare, total_fa
 FROM changelog
 QUALIFY row_number() OVER (PARTITION BY window_start, pickup_location ORDER BY batch_id DESC) = 1""",
     "restart_equals_unbroken": FLAGSHIP,
+    "committed_batches": f"{BY_HASH} SELECT * FROM changelog",
+    "snapshot_latest": f"""{BY_HASH}
+SELECT window_start, window_end, pickup_location, trip_count, avg_fare, total_fare, avg_trip_distance
+FROM changelog
+QUALIFY row_number() OVER (PARTITION BY window_start, pickup_location ORDER BY batch_id DESC) = 1""",
+    "stream_late_rows": f"""{BY_HASH}
+SELECT part AS batch_id, window_start, window_end, pickup_location, ts AS event_time, fare_amount, trip_distance FROM missed""",
+    "stream_late_accounted": f"""{BY_HASH}
+SELECT part AS batch_id, count(*) FILTER (late_mark IS NULL OR window_end > late_mark) AS kept_rows,
+  count(*) FILTER (window_end <= late_mark) AS late_rows
+FROM parted LEFT JOIN marks USING (part) WHERE pickup_location IS NOT NULL GROUP BY part""",
+    "stream_append_chained": f"""{WITH_RESULT}
+SELECT * FROM result WHERE pickup_location IS NOT NULL
+  AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
     "raw_event_sink": f"""{SPOILED}
 SELECT id, ts AS event_time, pickup_location, dropoff_location, passenger_count,
   CAST(trip_distance AS DECIMAL(8, 4)) AS trip_distance, CAST(fare_amount AS DECIMAL(10, 2)) AS fare_amount
@@ -235,6 +250,10 @@ FROM events WHERE event_type = 'click'""",
     "report_top20": f"""{WITH_RESULT}
 SELECT window_start, window_end, pickup_location, trip_count, avg_fare
 FROM result WHERE pickup_location IS NOT NULL
+ORDER BY window_start DESC, pickup_location, window_end LIMIT 20""",
+    "report_top20_pruned": f"""{WITH_RESULT}
+SELECT window_start, window_end, pickup_location, trip_count, avg_fare
+FROM result WHERE pickup_location IS NOT NULL
 ORDER BY window_start DESC, pickup_location, window_end LIMIT 20""",
     "report_top20_all_columns": f"""{WITH_RESULT}
 SELECT * FROM result WHERE pickup_location IS NOT NULL

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kerbflow.config import FlowConfig
 from kerbflow.operators import (
@@ -14,6 +15,7 @@ from kerbflow.operators import (
     with_locations,
 )
 from kerbflow.schema import AGGREGATE_FIELDS, ZONE_FIELDS
+from kerbflow.sinks.late import KIND, LATE, RESULT
 
 
 def _fields(config: FlowConfig) -> list[str]:
@@ -44,10 +46,29 @@ def typed_trip_aggregates(
     return _aggregates(fields, config, panes)
 
 
-def _aggregates(events: DataFrame, config: FlowConfig, panes: bool | None) -> DataFrame:
+def aggregates_with_events(messages: DataFrame, config: FlowConfig = FlowConfig()) -> DataFrame:
+    """``trip_aggregates`` of a stream and, in the same batches, the events they are made of, for ``LateRowsSink``.
+
+    ``kind`` is ``result`` or ``late``; the latter rows are all events of the batch, of which the sink keeps those that a
+    window was closed to. Both sides come from one source, so they hold the same messages in each batch.
+    """
+    timed = _timed(decode_messages(messages, _fields(config)), config)
+    results = _windows(timed, config, None).withColumn(KIND, F.lit(RESULT))
+    events = with_locations(timed, by=config.location_key)
+    events = events.select("pickup_location", "event_time", "fare_amount", "trip_distance", F.lit(LATE).alias(KIND))
+    return results.unionByName(events, allowMissingColumns=True)
+
+
+def _timed(events: DataFrame, config: FlowConfig) -> DataFrame:
     timed = drop_bad_time(with_event_time(events))
-    if timed.isStreaming:
-        timed = timed.withWatermark("event_time", config.watermark_delay)
+    return timed.withWatermark("event_time", config.watermark_delay) if timed.isStreaming else timed
+
+
+def _aggregates(events: DataFrame, config: FlowConfig, panes: bool | None) -> DataFrame:
+    return _windows(_timed(events, config), config, panes)
+
+
+def _windows(timed: DataFrame, config: FlowConfig, panes: bool | None) -> DataFrame:
     if config.location_key == "grid":
         if config.drop_null_location_early:
             timed = only_located(timed)

@@ -1,18 +1,26 @@
 """Batch folders, database tables, topics and table definitions."""
 
 from kerbflow.sinks.changelog import BatchFolderSink, RawEventSink
+from kerbflow.sinks.committed import Commit, CommittedSink, commits
 from kerbflow.sinks.jdbc import JdbcSink, jdbc_options
+from kerbflow.sinks.late import LateRowsSink, read_late_rows, read_results
 from kerbflow.sinks.tables import create_aggregate_table, create_raw_table
 from kerbflow.sinks.topic import kafka_write_options, write_kafka, write_message_files
 
 __all__ = [
     "BatchFolderSink",
+    "Commit",
+    "CommittedSink",
     "JdbcSink",
+    "LateRowsSink",
     "RawEventSink",
+    "commits",
     "create_aggregate_table",
     "create_raw_table",
     "jdbc_options",
     "kafka_write_options",
+    "read_late_rows",
+    "read_results",
     "write_kafka",
     "write_message_files",
 ]

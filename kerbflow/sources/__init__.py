@@ -1,5 +1,6 @@
 """Delimited files, message streams and result tables."""
 
+from kerbflow.sources.committed import read_attempts, read_committed
 from kerbflow.sources.delimited import read_trips, stream_trips
 from kerbflow.sources.messages import (
     kafka_read_options,
@@ -14,7 +15,9 @@ from kerbflow.sources.tables import read_changelog, read_jdbc_table
 __all__ = [
     "kafka_read_options",
     "kafka_stream_options",
+    "read_attempts",
     "read_changelog",
+    "read_committed",
     "read_jdbc_table",
     "read_kafka",
     "read_message_files",
