@@ -15,6 +15,7 @@ from kerbflow.functions import zone_key
 from kerbflow.operators import (
     canonical_trips,
     decode_messages,
+    dense_numbers,
     detect_time_column,
     drop_bad_time,
     drop_null_location,
@@ -44,12 +45,13 @@ from kerbflow.plans import (
     trip_aggregates,
     trips_to_messages,
     typed_trip_aggregates,
+    write_chunks,
 )
-from kerbflow.schema import AGGREGATE_SCHEMA, AGGREGATE_TABLE_TYPES, MESSAGE_SCHEMA, PICKUP_TIME
+from kerbflow.schema import AGGREGATE_SCHEMA, AGGREGATE_TABLE_TYPES, MESSAGE_SCHEMA, PICKUP_TIME, RAW_STORED_SCHEMA
 from kerbflow.session import scratch_dir, use_utc
 from kerbflow.sinks import BatchFolderSink, CommittedSink, LateRowsSink, RawEventSink, read_late_rows, read_results
-from kerbflow.sources import read_changelog, read_committed, read_message_files, read_trips, stream_message_files, stream_trips
-from kerbflow.streaming import run_available_now
+from kerbflow.sources import read_changelog, read_committed, read_message_files, read_mixed_trips, read_trips, stream_message_files, stream_trips
+from kerbflow.streaming import FeedMetrics, open_windows, read_feed_metrics, run_available_now, with_feed_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,6 +206,36 @@ def csv_stream_feed(spark, sf_dir):
     return decode_messages(written)
 
 
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """One folder with files of three headers: coordinates, the same in another order, zone numbers and one column more."""
+    folder = scratch_dir(spark, "csv-mixed")
+    events = fixtures.read_events(spark, sf_dir)
+    gps = untidy_file(spark, sf_dir)
+    zone = fixtures.trip_events(events, keep=("event_id", "user_id")).select(
+        F.col("trip_distance").cast("string").alias("Trip_Distance"),
+        F.concat((F.col("user_id") % 265 + 1).cast("string"), F.lit(".0")).alias("PULocationID"),
+        F.col(PICKUP_TIME),
+        F.lit("2").alias("VendorID"),
+        F.col("fare_amount").cast("string").alias("Fare_Amount"),
+        F.col("event_id").cast("string").alias("Event_ID"),
+    )
+    third = lambda df, column, n: df.filter(F.col(column).cast("long") % 3 == n)
+    kinds = (third(gps, "Event ID", 0), third(gps.select(*reversed(gps.columns)), "Event ID", 1), third(zone, "Event_ID", 2))
+    for kind in kinds:
+        kind.write.mode("append").option("header", True).csv(folder)
+    trips = read_mixed_trips(spark, folder, lambda df: canonical_trips(normalise_columns(df)))
+    located = with_locations(with_event_time(trips), by="grid_or_zone")
+    return located.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        "event_time",
+        "pickup_location",
+        "trip_distance",
+        "fare_amount",
+        F.col("vendorid").alias("vendor"),
+    )
+
+
 @query
 def encode_decode_json(spark, sf_dir):
     return decode_messages(messages(spark, sf_dir), keep=("partition", "offset"))
@@ -479,6 +511,54 @@ def stream_append_chained(spark, sf_dir):
     return read_committed(spark, f"{folder}/results").drop("batch_id")
 
 
+@query
+def stream_open_windows(spark, sf_dir):
+    """The windows that append mode has not closed, from the state of the finished stream."""
+    folder = scratch_dir(spark, "open")
+    checkpoint = f"{folder}/{CONFIG.checkpoint_name()}"
+    result = trip_aggregates(as_messages(event_stream(spark, sf_dir)), CONFIG)
+    run_available_now(result, CommittedSink(f"{folder}/results"), checkpoint, output_mode="append")
+    return drop_null_location(open_windows(spark, checkpoint))
+
+
+#: Rows of a file, and files of a batch, when a table is replayed in bounded batches.
+FILE_ROWS, FILES_A_BATCH = 1000, 3
+
+
+@query
+def stream_bounded_batches(spark, sf_dir):
+    """Versions of each window over one run of several batches: the events in order of time, a bounded number of files a batch."""
+    folder = scratch_dir(spark, "bounded")
+    events = fixtures.topic_position(fixtures.read_events(spark, sf_dir))
+    trips = fixtures.trip_events(events, keep=("ts", "event_id", "partition", "offset"))
+    encoded = encode_messages(trips, keep=("ts", "event_id", "partition", "offset"))
+    write_chunks(encoded, [F.asc("ts"), F.asc("event_id")], FILE_ROWS, f"{folder}/topic")
+    result = trip_aggregates(stream_message_files(spark, f"{folder}/topic", max_files=FILES_A_BATCH), CONFIG)
+    run_available_now(result, CommittedSink(f"{folder}/results"), f"{folder}/{CONFIG.checkpoint_name()}")
+    return read_committed(spark, f"{folder}/results")
+
+
+@query
+def dense_row_ids(spark, sf_dir):
+    """Events numbered in order of time, without a gap."""
+    events = fixtures.read_events(spark, sf_dir).select("event_id", "ts")
+    return dense_numbers(events, [F.asc("ts"), F.asc("event_id")], "id")
+
+
+@query
+def raw_dense_ids(spark, sf_dir):
+    """The raw event table with numbers that go on from batch to batch, as a database counts its rows."""
+    folder = scratch_dir(spark, "raw-ids")
+    events = fixtures.topic_position(fixtures.read_events(spark, sf_dir))
+    trips = fixtures.trip_events(events, keep=("event_id", "partition", "offset")).withColumn("partition", F.lit(0))
+    encoded = encode_messages(trips, keep=("event_id", "partition", "offset"))
+    write_chunks(encoded, [F.asc("event_id")], FILE_ROWS, f"{folder}/topic", position="offset")
+    stream = raw_events(stream_message_files(spark, f"{folder}/topic", max_files=FILES_A_BATCH))
+    sink = CommittedSink(f"{folder}/raw", prepare=lambda df: df.drop("reject_reason", "value"), stamp="ingested_at", number_by=[F.asc("id")])
+    run_available_now(stream, sink, f"{folder}/checkpoint", output_mode="append")
+    return read_committed(spark, f"{folder}/raw", RAW_STORED_SCHEMA).drop("ingested_at", "batch_id")
+
+
 def far_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with distances up to 99,000, of which the table takes those below 10,000."""
     events = fixtures.topic_position(fixtures.read_events(spark, sf_dir))
@@ -565,3 +645,22 @@ def peek_first5(spark, sf_dir):
 def feed_metrics(spark, sf_dir):
     """Events sent per chunk of 1,000 input rows; clicks stand for rows without a usable time."""
     return running_totals(fixtures.read_events(spark, sf_dir), "event_id", CHUNK, keep="event_type <> 'click'")
+
+
+@query
+def feed_throughput(spark, sf_dir):
+    """The feed as a stream of files of ``CHUNK`` rows: events sent and total of each chunk, as the stream measured them."""
+    folder = scratch_dir(spark, "throughput")
+    rows = untidy_file(spark, sf_dir)
+    write_chunks(rows, [F.col("Event ID").cast("bigint")], CHUNK, f"{folder}/files", "csv", header=True)
+    sent = with_feed_metrics(trips_to_messages(stream_trips(spark, f"{folder}/files", max_files=1)))
+    metrics = FeedMetrics(spark, f"{folder}/metrics")
+    spark.streams.addListener(metrics)
+    try:
+        sink = CommittedSink(f"{folder}/topic", prepare=lambda df: df, stamp=None)
+        metrics.wait_for(run_available_now(sent, sink, f"{folder}/checkpoint", output_mode="append"))
+    finally:
+        spark.streams.removeListener(metrics)
+    stored = read_feed_metrics(spark, f"{folder}/metrics")
+    known = F.col("rows_per_second").between(0, float("1e12"))
+    return stored.select(F.col("batch_id").alias("chunk"), "events_in_chunk", "input_rows", "total_sent", known.alias("rate_known"))

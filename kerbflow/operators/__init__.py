@@ -9,7 +9,7 @@ from kerbflow.operators.numbering import dense_numbers
 from kerbflow.operators.payload import decode_messages, encode_messages
 from kerbflow.operators.rejects import reject_counts, with_reject_reason
 from kerbflow.operators.running import running_totals
-from kerbflow.operators.windows import drop_null_location, only_located, windowed_aggregate
+from kerbflow.operators.windows import drop_null_location, only_located, results_of_state, windowed_aggregate
 
 __all__ = [
     "canonical_trips",
@@ -25,6 +25,7 @@ __all__ = [
     "only_located",
     "out_of_range",
     "reject_counts",
+    "results_of_state",
     "running_totals",
     "to_table_types",
     "unread_trips",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbflow.config import WindowSpec
 from kerbflow.functions import ExactMeasure, grid_cells, render_key
@@ -87,6 +88,11 @@ def windowed_aggregate(
     else:
         grouped = _by_start(rows, "event_time", size, slide, names, _partials()).withColumn("window_end", window_end)
 
+    return _finished(grouped, location)
+
+
+def _finished(grouped: DataFrame, location: Column) -> DataFrame:
+    """Result rows from the merged parts of each group."""
     carried = [c for m in MEASURES for c in m.carried()]
     finished = grouped.select("window_start", "window_end", location.alias("pickup_location"), "trip_count", *carried)
     return finished.select(
@@ -100,6 +106,22 @@ def windowed_aggregate(
     )
 
 
+def results_of_state(state: DataFrame) -> DataFrame:
+    """Result rows from stored groups of a stream: ``key`` as it is grouped on, ``value`` with the parts by position."""
+    names = ["trip_count", *[part for m in MEASURES for part in m.parts]]
+    stored = [spec.dataType for spec in state.schema["value"].dataType]
+    if len(stored) != len(names):
+        raise ValueError(f"not the state of a windowed aggregate: {len(stored)} values a group")
+    parts = T.StructType([T.StructField(name, kind) for name, kind in zip(names, stored)])
+    keys = [spec.name for spec in state.schema["key"].dataType if spec.name != "window"]
+    location = render_key(F.col("lat_cell"), F.col("lon_cell")) if keys == ["lat_cell", "lon_cell"] else F.col(keys[0])
+    groups = state.select("key.*", F.col("value").cast(parts).alias("value"))
+    # A part that no value had is stored as NULL until the group is finished.
+    missing = {m.picos: F.coalesce(m.picos, F.lit(0)) for m in MEASURES}
+    times = [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
+    return _finished(groups.select(*times, *keys, "value.*").withColumns(missing), location)
+
+
 def drop_null_location(result: DataFrame) -> DataFrame:
     """Results with a known location.
 

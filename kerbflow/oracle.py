@@ -82,8 +82,7 @@ BY_TIME = f"""WITH {TRIPS},{SPREAD},
 kept AS (SELECT *, CAST((day(ts) - 1) // 8 AS BIGINT) AS part FROM spread),{LOG}"""
 
 # Rows of part b are late for a window that ended by the watermark after part b - 2.
-BY_HASH = f"""WITH {TRIPS},{SPREAD},
-parted AS (SELECT *, CAST((event_id * 7919 % 10007) * 4 // 10007 AS BIGINT) AS part FROM spread),
+MARKS = """
 newest AS (SELECT part, max(ts) AS newest FROM parted GROUP BY part),
 marks AS (
   SELECT a.part, max(b.newest) - INTERVAL 10 MINUTE AS late_mark
@@ -92,7 +91,11 @@ marks AS (
 kept AS (
   SELECT parted.* FROM parted LEFT JOIN marks USING (part)
   WHERE late_mark IS NULL OR window_end > late_mark
-),
+)"""
+
+BY_HASH = f"""WITH {TRIPS},{SPREAD},
+parted AS (SELECT *, CAST((event_id * 7919 % 10007) * 4 // 10007 AS BIGINT) AS part FROM spread),
+{MARKS},
 missed AS (SELECT parted.* FROM parted JOIN marks USING (part) WHERE window_end <= late_mark),{LOG}"""
 
 SPOILED = f"""WITH {TRIPS},
@@ -171,6 +174,12 @@ SQL: dict[str, str] = {
     "csv_feed": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
     "csv_time_formats": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
     "csv_stream_feed": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
+    "csv_mixed_headers": f"""WITH {TRIPS}
+SELECT event_id, ts AS event_time,
+  CASE WHEN event_id % 3 = 2 THEN 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR)
+    ELSE CAST(round(pickup_latitude, 2) AS VARCHAR) || ',' || CAST(round(pickup_longitude, 2) AS VARCHAR) END AS pickup_location,
+  trip_distance, fare_amount, CASE WHEN event_id % 3 = 2 THEN '2' END AS vendor
+FROM trips WHERE event_type <> 'click' OR event_id % 3 = 2""",
     "encode_decode_json": f'WITH {TRIPS} SELECT {FIELDS}, "partition", "offset" FROM trips',
     "enrich_events": f"""WITH {TRIPS}
 SELECT "partition", "offset", ts AS event_time, pickup_location, dropoff_location FROM located""",
@@ -224,6 +233,19 @@ SELECT part AS batch_id, window_start, window_end, pickup_location, ts AS event_
 SELECT part AS batch_id, count(*) FILTER (late_mark IS NULL OR window_end > late_mark) AS kept_rows,
   count(*) FILTER (window_end <= late_mark) AS late_rows
 FROM parted LEFT JOIN marks USING (part) WHERE pickup_location IS NOT NULL GROUP BY part""",
+    "stream_open_windows": f"""{WITH_RESULT}
+SELECT * FROM result WHERE pickup_location IS NOT NULL
+  AND window_end > (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "stream_bounded_batches": f"""WITH {TRIPS},{SPREAD},
+placed AS (SELECT event_id, CAST((row_number() OVER (ORDER BY ts, event_id) - 1) // 1000 // 3 AS BIGINT) AS part FROM events),
+parted AS (SELECT spread.*, part FROM spread JOIN placed USING (event_id)),
+{MARKS},{LOG}
+SELECT * FROM changelog""",
+    "dense_row_ids": "SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS id FROM events",
+    "raw_dense_ids": f"""WITH {TRIPS}
+SELECT row_number() OVER (ORDER BY event_id) AS id, ts AS event_time, pickup_location, dropoff_location, passenger_count,
+  CAST(trip_distance AS DECIMAL(8, 4)) AS trip_distance, CAST(fare_amount AS DECIMAL(10, 2)) AS fare_amount
+FROM located""",
     "stream_append_chained": f"""{WITH_RESULT}
 SELECT * FROM result WHERE pickup_location IS NOT NULL
   AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
@@ -268,4 +290,10 @@ SELECT "partition", "offset", {PAYLOAD} AS value FROM trips ORDER BY "partition"
 )
 SELECT chunk, events_in_chunk,
   CAST(sum(events_in_chunk) OVER (ORDER BY chunk) AS BIGINT) AS total_sent FROM chunks""",
+    "feed_throughput": """WITH chunks AS (
+  SELECT event_id // 1000 AS chunk, count(*) FILTER (event_type <> 'click') AS events_in_chunk, count(*) AS input_rows
+  FROM events GROUP BY ALL
+)
+SELECT chunk, events_in_chunk, input_rows,
+  CAST(sum(events_in_chunk) OVER (ORDER BY chunk) AS BIGINT) AS total_sent, true AS rate_known FROM chunks""",
 }

@@ -1,7 +1,7 @@
 """The steps put together: aggregate job, raw events, feed and reports."""
 
 from kerbflow.plans.aggregate import aggregates_with_events, trip_aggregates, typed_trip_aggregates
-from kerbflow.plans.feed import feed_batches, trips_to_messages
+from kerbflow.plans.feed import feed_batches, trips_to_messages, write_chunks
 from kerbflow.plans.raw import raw_events
 from kerbflow.plans.report import newest_windows, peek_messages, total_rows
 from kerbflow.plans.snapshot import compact, newest_results, read_latest, remove_compacted, snapshot_of
@@ -21,4 +21,5 @@ __all__ = [
     "trip_aggregates",
     "trips_to_messages",
     "typed_trip_aggregates",
+    "write_chunks",
 ]

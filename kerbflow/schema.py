@@ -81,6 +81,19 @@ RAW_TABLE_TYPES = {
     "ingested_at": "timestamp",
 }
 
+RAW_STORED_SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("pickup_location", T.StringType()),
+        T.StructField("dropoff_location", T.StringType()),
+        T.StructField("passenger_count", T.IntegerType()),
+        T.StructField("trip_distance", T.DecimalType(8, 4)),
+        T.StructField("fare_amount", T.DecimalType(10, 2)),
+        T.StructField("ingested_at", T.TimestampType()),
+    ]
+)
+
 
 def changelog_schema(base: T.StructType = AGGREGATE_SCHEMA) -> T.StructType:
     """``base`` plus the micro-batch that wrote the row, taken from the folder name."""

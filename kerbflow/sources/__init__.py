@@ -2,6 +2,7 @@
 
 from kerbflow.sources.committed import read_attempts, read_committed
 from kerbflow.sources.delimited import read_trips, stream_trips
+from kerbflow.sources.headers import files_by_header, read_mixed_trips, read_trip_groups
 from kerbflow.sources.messages import (
     kafka_read_options,
     kafka_stream_options,
@@ -13,6 +14,7 @@ from kerbflow.sources.messages import (
 from kerbflow.sources.tables import read_changelog, read_jdbc_table
 
 __all__ = [
+    "files_by_header",
     "kafka_read_options",
     "kafka_stream_options",
     "read_attempts",
@@ -21,6 +23,8 @@ __all__ = [
     "read_jdbc_table",
     "read_kafka",
     "read_message_files",
+    "read_mixed_trips",
+    "read_trip_groups",
     "read_trips",
     "stream_kafka",
     "stream_message_files",

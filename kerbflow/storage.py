@@ -19,11 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def names_in(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, sorted; none where there is no such folder. Hidden and scratch files are left out."""
+    """Names in a folder, sorted; none where there is no such folder. Files that Spark takes for hidden are left out."""
     place, system = _at(spark, folder)
     if not system.exists(place):
         return []
-    return sorted(n for n in (s.getPath().getName() for s in system.listStatus(place)) if n[0] not in "._")
+    names = [status.getPath().getName() for status in system.listStatus(place)]
+    return sorted(name for name in names if name[0] != "." and (name[0] != "_" or "=" in name))
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -36,6 +37,15 @@ def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     system.setTimes(place, millis, -1)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file, also into another folder, which is made if need be."""
+    place, system = _at(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    system.mkdirs(target.getParent())
+    if not system.rename(place, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file so that a reader sees the old text or the new one, and never a part.
 
