@@ -6,11 +6,13 @@
     python -m kerbflow verify          the 20 newest windows
     python -m kerbflow count           rows of the result table
     python -m kerbflow peek            the first 5 messages
+    python -m kerbflow compact --out DIR   take finished batches into the snapshot that reports read
 
 Settings come from the environment, see ``FlowConfig``. ``--topic-dir`` and ``--out`` name folders to use in place
 of the topic and of the database. Results of each topic and window shape have a folder of their own below ``--out``, so
-``verify`` and ``count`` take the same settings and folders as ``stream`` did. ``feed --out DIR`` keeps the rows whose pickup time
-cannot be read in ``DIR/feed-rejects``.
+``verify``, ``count`` and ``compact`` take the same settings and folders as ``stream`` did. ``feed --out DIR`` keeps the rows whose pickup time
+cannot be read in ``DIR/feed-rejects``. To a folder the feed writes files of ``CHUNK_SIZE`` messages in order of pickup time; ``stream`` and ``raw``
+take as many of them a batch as ``MAX_OFFSETS_PER_TRIGGER`` allows.
 """
 
 from __future__ import annotations
@@ -19,26 +21,34 @@ import argparse
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbflow.config import FlowConfig
-from kerbflow.operators import latest_versions, normalise_columns, unread_trips
-from kerbflow.plans import newest_windows, peek_messages, raw_events, total_rows, trip_aggregates, trips_to_messages
-from kerbflow.session import build_session
-from kerbflow.sinks import BatchFolderSink, JdbcSink, RawEventSink, write_kafka, write_message_files
-from kerbflow.sources import (
-    read_changelog,
-    read_jdbc_table,
-    read_kafka,
-    read_message_files,
-    read_trips,
-    stream_kafka,
-    stream_message_files,
+from kerbflow.operators import canonical_trips, encode_messages, latest_versions, normalise_columns, unread_trips
+from kerbflow.plans import compact as compact_results
+from kerbflow.plans import (
+    newest_results,
+    newest_windows,
+    peek_messages,
+    raw_events,
+    read_latest,
+    remove_compacted,
+    total_rows,
+    trip_aggregates,
+    write_chunks,
 )
+from kerbflow.schema import PICKUP_TIME
+from kerbflow.session import build_session
+from kerbflow.sinks import CommittedSink, JdbcSink, RawEventSink, write_kafka
+from kerbflow.sources import read_jdbc_table, read_kafka, read_message_files, read_mixed_trips, stream_kafka, stream_message_files
 from kerbflow.streaming import BatchLog, checkpoint_path, start
 
 
 def _stream_source(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> DataFrame:
-    return stream_message_files(spark, args.topic_dir) if args.topic_dir else stream_kafka(spark, config)
+    if not args.topic_dir:
+        return stream_kafka(spark, config)
+    most = config.max_offsets_per_trigger
+    return stream_message_files(spark, args.topic_dir, max_files=max(1, most // config.chunk_size) if most else None)
 
 
 def _source_name(config: FlowConfig, args: argparse.Namespace) -> str:
@@ -55,19 +65,21 @@ def _checkpoint(spark: SparkSession, config: FlowConfig, args: argparse.Namespac
 
 
 def feed(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
-    trips = read_trips(spark, config.data_path)
-    messages = trips_to_messages(trips, config.time_patterns)
+    formats = config.time_patterns
+    trips = read_mixed_trips(spark, config.data_path, lambda df: canonical_trips(normalise_columns(df), formats))
     if args.out:
-        unread_trips(normalise_columns(trips), config.time_patterns).write.mode("append").parquet(f"{args.out.rstrip('/')}/feed-rejects")
+        lost = read_mixed_trips(spark, config.data_path, lambda df: unread_trips(normalise_columns(df), formats))
+        lost.write.mode("append").parquet(f"{args.out.rstrip('/')}/feed-rejects")
     if args.topic_dir:
-        write_message_files(messages, args.topic_dir)
+        ordered = encode_messages(trips.withColumn("__order", F.col(PICKUP_TIME)), keep=("__order",))
+        write_chunks(ordered, [F.asc("__order"), F.asc("value")], config.chunk_size, args.topic_dir.rstrip("/"), without=["__order"])
     else:
-        write_kafka(messages, config)
+        write_kafka(encode_messages(trips), config)
 
 
 def stream(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
     result = trip_aggregates(_stream_source(spark, config, args), config)
-    sink = BatchFolderSink(_result_folder(config, args)) if args.out else JdbcSink(config)
+    sink = CommittedSink(_result_folder(config, args)) if args.out else JdbcSink(config)
     _run(spark, result, sink, _checkpoint(spark, config, args, "trip-aggregates"), "update", config, args)
 
 
@@ -84,17 +96,22 @@ def _run(spark, result, sink, checkpoint, mode, config, args) -> None:
     ).awaitTermination()
 
 
-def _results(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> DataFrame:
-    stored = read_changelog(spark, _result_folder(config, args)) if args.out else read_jdbc_table(spark, config)
-    return latest_versions(stored)
-
-
 def verify(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
-    newest_windows(_results(spark, config, args)).show(20, truncate=False)
+    if args.out:
+        newest = newest_results(spark, _result_folder(config, args))
+    else:
+        newest = newest_windows(latest_versions(read_jdbc_table(spark, config)))
+    newest.show(20, truncate=False)
 
 
 def count(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
-    total_rows(_results(spark, config, args)).show()
+    latest = read_latest(spark, _result_folder(config, args)) if args.out else latest_versions(read_jdbc_table(spark, config))
+    total_rows(latest).show()
+
+
+def compact(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
+    compact_results(spark, _result_folder(config, args))
+    remove_compacted(spark, _result_folder(config, args))
 
 
 def peek(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
@@ -102,7 +119,7 @@ def peek(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> N
     peek_messages(messages).show(truncate=False)
 
 
-COMMANDS = {command.__name__: command for command in (feed, stream, raw, verify, count, peek)}
+COMMANDS = {command.__name__: command for command in (feed, stream, raw, verify, count, peek, compact)}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -112,8 +129,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", help="folder of results in place of the database")
     parser.add_argument("--once", action="store_true", help="process what there is, then stop")
     args = parser.parse_args(argv)
-    if args.command == "raw" and not args.out:
-        parser.error("raw needs --out")
+    if args.command in ("raw", "compact") and not args.out:
+        parser.error(f"{args.command} needs --out")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     COMMANDS[args.command](build_session(), FlowConfig.from_env(), args)
 

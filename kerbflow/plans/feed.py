@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +21,9 @@ def trips_to_messages(trips: DataFrame, time_formats: Sequence[str] = (), keep:
 
 def _publish(spark: SparkSession, staged: str, topic: str, name: str) -> list[str]:
     """Move the files of one staged part into a folder that a stream follows; they appear one by one, each as a whole."""
-    moved = []
+    moved, run = [], uuid.uuid4().hex[:12]
     for number, file in enumerate(names_in(spark, staged)):
-        moved.append(f"{topic}/{name}-{number:05d}.{file.split('.', 1)[1]}")
+        moved.append(f"{topic}/{name}-{number:05d}-{run}.{file.split('.', 1)[1]}")
         move(spark, f"{staged}/{file}", moved[-1])
     return moved
 
@@ -45,21 +46,28 @@ CHUNK_STEP = 10
 
 
 def write_chunks(
-    rows: DataFrame, order: Sequence[Column], chunk_size: int, path: str, kind: str = "parquet", position: str | None = None, **options
+    rows: DataFrame,
+    order: Sequence[Column],
+    chunk_size: int,
+    path: str,
+    kind: str = "parquet",
+    position: str | None = None,
+    without: Sequence[str] = (),
+    **options,
 ) -> int:
     """Write rows as files of ``chunk_size`` rows in the given order, and return how many there are.
 
     Files appear in ``path`` in that order, and their times tell it too, so a stream that follows the folder with
     ``maxFilesPerTrigger`` gets the next chunks in each batch. Places in the order come from ``dense_numbers``: no task
-    sorts everything, and a chunk is written by one task. ``position`` names a column for the place, from 0. The
-    file system must let the time of a file be set.
+    sorts everything, and a chunk is written by one task. ``position`` names a column for the place, from 0; the columns
+    in ``without`` are for the order alone. The file system must let the time of a file be set.
     """
     spark, staged = rows.sparkSession, scratch_dir(rows.sparkSession, "chunks")
     placed = dense_numbers(rows, order, "__place").withColumn("__place", F.col("__place") - 1)
     if position:
         placed = placed.withColumn(position, F.col("__place"))
     chunked = placed.withColumn("__chunk", F.expr(f"__place div {int(chunk_size)}"))
-    ready = chunked.repartition("__chunk").sortWithinPartitions("__chunk", "__place").drop("__place")
+    ready = chunked.repartition("__chunk").sortWithinPartitions("__chunk", "__place").drop("__place", *without)
     ready.write.partitionBy("__chunk").format(kind).options(**options).save(staged)
     chunks = sorted(int(name.split("=")[1]) for name in names_in(spark, staged))
     begin = int(time.time() * 1000) - CHUNK_STEP * len(chunks)

@@ -29,9 +29,41 @@ def test_file_to_report(spark, tmp_path, monkeypatch, capsys):
     assert "|2016-02-01 00:00:00|2016-02-01 00:05:00|40.71,-74.0    |3         |1.5     |" in shown
 
 
-def test_raw_needs_a_folder():
+@pytest.mark.parametrize("command", ["raw", "compact"])
+def test_some_commands_need_a_folder(command):
     with pytest.raises(SystemExit):
-        main(["raw"])
+        main([command])
+
+
+def test_chunks_batches_and_snapshot(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(SparkSession, "stop", lambda self: None)
+    (tmp_path / "trips").mkdir()
+    for name, header, place in (
+        ("a", "Pickup DateTime,Fare Amount,Pickup Latitude,Pickup Longitude", "{time},{fare},40.71,-74.0"),
+        ("b", "fare_amount,pickup_longitude,pickup_latitude,tpep_pickup_datetime", "{fare},-74.0,40.71,{time}"),
+    ):
+        rows = [place.format(time=f"2016-02-0{1 + i % 3} 00:0{i}:30", fare=i) for i in range(5)]
+        (tmp_path / "trips" / f"{name}.csv").write_text("\n".join([header, *rows]) + "\n")
+    settings = {"DATA_PATH": tmp_path / "trips", "CHECKPOINT_DIR": tmp_path / "cp", "CHUNK_SIZE": 4, "MAX_OFFSETS_PER_TRIGGER": 4}
+    for name, value in settings.items():
+        monkeypatch.setenv(name, str(value))
+    folders = ["--topic-dir", str(tmp_path / "topic"), "--out", str(tmp_path / "results")]
+    main(["feed", *folders])
+    assert len(list((tmp_path / "topic").glob("chunk-*.parquet"))) == 3
+    main(["stream", "--once", *folders])
+    (results,) = (tmp_path / "results").glob("run-*")
+    assert sum(bool(list(batch.iterdir())) for batch in (results / "data").iterdir()) == 3
+
+    def said(command):
+        capsys.readouterr()
+        main([command, *folders])
+        return capsys.readouterr().out
+
+    before = said("verify"), said("count")
+    main(["compact", *folders])
+    assert not any(list(batch.iterdir()) for batch in (results / "data").iterdir())
+    assert (said("verify"), said("count")) == before
+    assert "2016-02-03 00:02:00" in before[0]
 
 
 def test_two_topics_and_two_shapes_keep_apart(spark, tmp_path, monkeypatch, capsys):
