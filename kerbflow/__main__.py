@@ -6,11 +6,12 @@
     python -m kerbflow verify          the 20 newest windows
     python -m kerbflow count           rows of the result table
     python -m kerbflow peek            the first 5 messages
+    python -m kerbflow metrics --out DIR   messages and rate of the last 20 batches
     python -m kerbflow compact --out DIR   take finished batches into the snapshot that reports read
 
 Settings come from the environment, see ``FlowConfig``. ``--topic-dir`` and ``--out`` name folders to use in place
 of the topic and of the database. Results of each topic and window shape have a folder of their own below ``--out``, so
-``verify``, ``count`` and ``compact`` take the same settings and folders as ``stream`` did. ``feed --out DIR`` keeps the rows whose pickup time
+``verify``, ``count``, ``metrics`` and ``compact`` take the same settings and folders as ``stream`` did. ``feed --out DIR`` keeps the rows whose pickup time
 cannot be read in ``DIR/feed-rejects``. To a folder the feed writes files of ``CHUNK_SIZE`` messages in order of pickup time; ``stream`` and ``raw``
 take as many of them a batch as ``MAX_OFFSETS_PER_TRIGGER`` allows.
 """
@@ -41,7 +42,7 @@ from kerbflow.schema import PICKUP_TIME
 from kerbflow.session import build_session
 from kerbflow.sinks import CommittedSink, JdbcSink, RawEventSink, write_kafka
 from kerbflow.sources import read_jdbc_table, read_kafka, read_message_files, read_mixed_trips, stream_kafka, stream_message_files
-from kerbflow.streaming import BatchLog, checkpoint_path, start
+from kerbflow.streaming import BatchLog, FeedMetrics, checkpoint_path, read_feed_metrics, start, with_feed_metrics
 
 
 def _stream_source(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> DataFrame:
@@ -78,7 +79,11 @@ def feed(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> N
 
 
 def stream(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
-    result = trip_aggregates(_stream_source(spark, config, args), config)
+    messages = _stream_source(spark, config, args)
+    if args.out:
+        messages = with_feed_metrics(messages)
+        spark.streams.addListener(FeedMetrics(spark, f"{_result_folder(config, args)}/metrics"))
+    result = trip_aggregates(messages, config)
     sink = CommittedSink(_result_folder(config, args)) if args.out else JdbcSink(config)
     _run(spark, result, sink, _checkpoint(spark, config, args, "trip-aggregates"), "update", config, args)
 
@@ -109,6 +114,11 @@ def count(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) ->
     total_rows(latest).show()
 
 
+def metrics(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
+    stored = read_feed_metrics(spark, f"{_result_folder(config, args)}/metrics")
+    stored.orderBy(F.desc("batch_id")).limit(20).show(20, truncate=False)
+
+
 def compact(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
     compact_results(spark, _result_folder(config, args))
     remove_compacted(spark, _result_folder(config, args))
@@ -119,7 +129,7 @@ def peek(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> N
     peek_messages(messages).show(truncate=False)
 
 
-COMMANDS = {command.__name__: command for command in (feed, stream, raw, verify, count, peek, compact)}
+COMMANDS = {command.__name__: command for command in (feed, stream, raw, verify, count, peek, metrics, compact)}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -129,7 +139,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", help="folder of results in place of the database")
     parser.add_argument("--once", action="store_true", help="process what there is, then stop")
     args = parser.parse_args(argv)
-    if args.command in ("raw", "compact") and not args.out:
+    if args.command in ("raw", "metrics", "compact") and not args.out:
         parser.error(f"{args.command} needs --out")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     COMMANDS[args.command](build_session(), FlowConfig.from_env(), args)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,9 +51,17 @@ from kerbflow.plans import (
 )
 from kerbflow.schema import AGGREGATE_SCHEMA, AGGREGATE_TABLE_TYPES, MESSAGE_SCHEMA, PICKUP_TIME, RAW_STORED_SCHEMA
 from kerbflow.session import scratch_dir, use_utc
-from kerbflow.sinks import BatchFolderSink, CommittedSink, LateRowsSink, RawEventSink, read_late_rows, read_results
+from kerbflow.sinks import (
+    BatchFolderSink,
+    CommittedSink,
+    LateRowsSink,
+    RawEventSink,
+    create_aggregate_table,
+    read_late_rows,
+    read_results,
+)
 from kerbflow.sources import read_changelog, read_committed, read_message_files, read_mixed_trips, read_trips, stream_message_files, stream_trips
-from kerbflow.streaming import FeedMetrics, open_windows, read_feed_metrics, run_available_now, with_feed_metrics
+from kerbflow.streaming import FeedMetrics, open_windows, read_feed_metrics, run_available_now, start, with_feed_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -371,6 +381,23 @@ def sink_decimal_shape(spark, sf_dir):
     return to_table_types(result, AGGREGATE_TABLE_TYPES)
 
 
+@query
+def aggregate_table(spark, sf_dir):
+    """Results in a table of the catalogue with the columns of the database, each row with the time it was written at."""
+    folder, name = scratch_dir(spark, "table"), f"kerbflow_{uuid.uuid4().hex}"
+    begun = F.lit(datetime.now(UTC))
+    result = typed_trip_aggregates(typed_trips(spark, sf_dir), LOCATED)
+    stamped = result.withColumns({"processed_at": F.current_timestamp(), "batch_id": F.lit(0).cast("bigint")})
+    create_aggregate_table(spark, name, folder)
+    try:
+        to_table_types(stamped, AGGREGATE_TABLE_TYPES).write.insertInto(name)
+        stored = spark.read.schema(spark.table(name).schema).parquet(folder)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    fresh = F.col("processed_at").between(begun, F.lit(datetime.now(UTC))).alias("stamped")
+    return stored.select(*AGGREGATE_SCHEMA.names, "batch_id", fresh)
+
+
 # --- streams -------------------------------------------------------------------------------------------
 
 
@@ -411,6 +438,19 @@ def stream_tumbling(spark, sf_dir):
     return run_single_batch(spark, sf_dir, "tumbling", TUMBLING, "update")
 
 
+@query
+def stream_fixed_interval(spark, sf_dir):
+    """A stream that looks for new messages at a fixed interval, stopped when it has seen them all."""
+    folder = scratch_dir(spark, "interval")
+    result = trip_aggregates(as_messages(event_stream(spark, sf_dir)), CONFIG)
+    running = start(result, CommittedSink(f"{folder}/results"), f"{folder}/{CONFIG.checkpoint_name()}", interval="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return read_committed(spark, f"{folder}/results").drop("batch_id")
+
+
 @query
 def stream_append_closed(spark, sf_dir):
     return run_single_batch(spark, sf_dir, "append", CONFIG, "append")

@@ -210,6 +210,12 @@ SELECT window_start, window_end, pickup_location, trip_count,
   CAST(avg_fare AS DECIMAL(10, 2)) AS avg_fare, CAST(total_fare AS DECIMAL(12, 2)) AS total_fare,
   CAST(avg_trip_distance AS DECIMAL(8, 4)) AS avg_trip_distance
 FROM result WHERE pickup_location IS NOT NULL""",
+    "aggregate_table": f"""{WITH_RESULT}
+SELECT window_start, window_end, pickup_location, trip_count,
+  CAST(avg_fare AS DECIMAL(10, 2)) AS avg_fare, CAST(total_fare AS DECIMAL(12, 2)) AS total_fare,
+  CAST(avg_trip_distance AS DECIMAL(8, 4)) AS avg_trip_distance, CAST(0 AS BIGINT) AS batch_id, true AS stamped
+FROM result WHERE pickup_location IS NOT NULL""",
+    "stream_fixed_interval": FLAGSHIP,
     "stream_update_single_batch": FLAGSHIP,
     "stream_tumbling": TUMBLING,
     "stream_append_closed": f"""{WITH_RESULT}

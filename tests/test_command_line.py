@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 from kerbflow.__main__ import main
+from kerbflow.streaming import read_feed_metrics
 
 
 def test_file_to_report(spark, tmp_path, monkeypatch, capsys):
@@ -29,7 +30,7 @@ def test_file_to_report(spark, tmp_path, monkeypatch, capsys):
     assert "|2016-02-01 00:00:00|2016-02-01 00:05:00|40.71,-74.0    |3         |1.5     |" in shown
 
 
-@pytest.mark.parametrize("command", ["raw", "compact"])
+@pytest.mark.parametrize("command", ["raw", "metrics", "compact"])
 def test_some_commands_need_a_folder(command):
     with pytest.raises(SystemExit):
         main([command])
@@ -59,6 +60,8 @@ def test_chunks_batches_and_snapshot(spark, tmp_path, monkeypatch, capsys):
         main([command, *folders])
         return capsys.readouterr().out
 
+    measured = read_feed_metrics(spark, f"{results}/metrics")
+    assert [r.events_in_chunk for r in measured.orderBy("batch_id").collect()][:2] == [4, 4] and "rows_per_second" in said("metrics")
     before = said("verify"), said("count")
     main(["compact", *folders])
     assert not any(list(batch.iterdir()) for batch in (results / "data").iterdir())
