@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterable
 from pathlib import Path
@@ -98,13 +101,23 @@ class Memo(dict):
 _RESIDENT: dict = {}
 
 
+def give_back() -> None:
+    """Return free memory of this process to the system, as far as its allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # glibc alone has it
+
+
 def resident(key, make: Callable):
     """What a worker keeps between batches: the state of the operator that it ran last, and no other.
 
-    Workers outlive stages, so without this each operator of a pipeline would leave its tables in every worker.
+    Workers outlive stages, so without this each operator of a pipeline would leave its tables in every worker. What
+    the operator before has left free is given back to the system.
     """
     if key not in _RESIDENT:
         _RESIDENT.clear()
+        give_back()
         _RESIDENT[key] = make()
     return _RESIDENT[key]
 

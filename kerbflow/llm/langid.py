@@ -7,13 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbflow.llm.common import SLICE, put, ready
 
 SAMPLE_ROWS, SAMPLE_CHARS, ROW_CHARS = 200, 60_000, 4_000
+#: Characters that are read side by side; no part of any result.
 BLOCK = 2048
+#: Parts of a language that are ranked by themselves.
+PARTS = 64
 #: For the bounds on phrases: texts per language and least number of them, quantile, margin, beginnings and length classes.
 CALIBRATION, LEAST, FAR, MARGIN = 1000, 20, 0.98, 1.75
 BEGINNINGS, LENGTHS = [24 << n for n in range(8)], range(5, 13)
@@ -95,9 +99,8 @@ class LanguageModel:
 
         A text is read from left to right; a phrase goes on while the language's automaton can follow, and a letter on
         which it fails begins the next one. The number of phrases, divided by the length, estimates the cross
-        entropy. Texts are read in blocks of ``BLOCK`` characters, so that a very long text costs no more memory; a block
-        begins a new phrase in every language. The score is one less the ratio of the fewest phrases to the second fewest
-        (1 if only one language was learned).
+        entropy. The score is one less the ratio of the fewest phrases to the second fewest (1 if only one language was
+        learned). How a text is cut into blocks for reading (see ``_parse``) has no part in the result.
         """
         folded = [fold(t) if t else "" for t in texts]
         owner, blocks = [], []
@@ -109,11 +112,29 @@ class LanguageModel:
                 owner.append(i)
         phrases = np.zeros((len(texts), max(1, len(self.languages))), dtype=np.int64)
         if blocks and self.languages:
-            np.add.at(phrases, np.array(owner), self._parse(blocks))
+            np.add.at(phrases, np.array(owner), self._parse(blocks, np.array(owner)))
         return [self._decide(text, line, number) for text, line, number in zip(texts, folded, phrases, strict=True)]
 
-    def _parse(self, blocks: list[np.ndarray]) -> np.ndarray:
-        """Phrases by block and language; all blocks and languages are read side by side."""
+    def _step(self, here: np.ndarray, codes: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one more letter each, and the phrases that ended."""
+        to = self.table[here * self.width + codes]
+        broken = to < 0
+        if not broken.any():
+            return to, broken.astype(np.int64)
+        # A letter that the language never shows is a phrase by itself; the next one starts at the root.
+        again = self.table[roots * self.width + codes]
+        lone = broken & (again < 0)
+        ended = (broken & (here != roots)).astype(np.int64) + lone
+        return np.where(broken, np.where(again < 0, roots, again), to), ended
+
+    def _parse(self, blocks: list[np.ndarray], owner: np.ndarray) -> np.ndarray:
+        """Phrases by block and language, a text's blocks standing in order; all blocks and languages are read side by side.
+
+        Every block is first read as if a phrase began with it. Where a text goes on from the block before, its
+        beginning is read once more from the state that the text is really in, until both readings are in the same state,
+        mostly after some words; the difference in phrases up to there is added. Where they still differ at the end of a block, the
+        next one is read again from the state found.
+        """
         order = np.argsort([-len(b) for b in blocks], kind="stable")
         sizes = np.array([len(blocks[i]) for i in order])
         grid = np.zeros((sizes[0], len(blocks)), dtype=np.int64)
@@ -121,27 +142,51 @@ class LanguageModel:
             grid[: len(blocks[i]), column] = blocks[i]
         roots = self.roots[:, None]
         state = np.repeat(roots, len(blocks), axis=1)
-        count = np.ones(state.shape, dtype=np.int64)
+        ended = np.zeros(state.shape, dtype=np.int64)
         live = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
         for at in range(sizes[0]):
             n = live[at]
-            codes, here = grid[at, :n], state[:, :n]
-            to = self.table[here * self.width + codes]
-            broken = to < 0
-            if broken.any():
-                # A letter that the language never shows is a phrase by itself; the next one starts at the root.
-                again = self.table[roots * self.width + codes]
-                count[:, :n] += broken & (here != roots)
-                lone = broken & (again < 0)
-                count[:, :n] += lone
-                to = np.where(broken, np.where(again < 0, roots, again), to)
-            state[:, :n] = to
-        # A phrase that would begin after the last letter is none.
-        count -= state == roots
+            state[:, :n], now = self._step(state[:, :n], grid[at, :n], roots)
+            ended[:, :n] += now
+
+        column = np.empty(len(blocks), dtype=np.int64)
+        column[order] = np.arange(len(blocks))
+        later = np.flatnonzero(np.concatenate(([False], owner[1:] == owner[:-1])))
+        after = np.full(len(blocks), -1)  # the column of the block that follows
+        after[column[later - 1]] = column[later]
+        added = np.zeros(state.shape, dtype=np.int64)
+        lang, at_column = (x.ravel() for x in np.meshgrid(np.arange(len(self.roots)), column[later], indexing="ij"))
+        entry, end = state[lang, np.tile(column[later - 1], len(self.roots))], state.copy()
+        while len(lang):
+            lang, at_column, entry = self._mend(grid, sizes, state, end, added, lang, at_column, entry, after)
+        # A phrase that has not ended with the text is one more.
         out = np.empty((len(blocks), len(self.languages)), dtype=np.int64)
-        out[order] = count.T
+        out[order] = (ended + added + ((end != roots) & (after < 0))).T
         return out
 
+    def _mend(self, grid, sizes, plain_end, end, added, lang, column, entry, after) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Reads blocks from the states they are entered in; returns the blocks behind those whose last state is another now."""
+        root = self.roots[lang]
+        true, plain, found = entry.copy(), root.copy(), plain_end[lang, column]
+        added[lang, column] = 0
+        differ, at = np.flatnonzero(true != plain), 0
+        while len(differ):
+            over = sizes[column[differ]] <= at
+            found[differ[over]] = true[differ[over]]
+            differ = differ[~over]
+            if not len(differ):
+                break
+            codes, own = grid[at, column[differ]], root[differ]
+            here, more = self._step(true[differ], codes, own)
+            there, less = self._step(plain[differ], codes, own)
+            added[lang[differ], column[differ]] += more - less
+            true[differ], plain[differ] = here, there
+            differ = differ[here != there]
+            at += 1
+        other = (found != end[lang, column]) & (after[column] >= 0)
+        end[lang, column] = found
+        return lang[other], after[column[other]], found[other]
+
     def _decide(self, text: str | None, folded: str, phrases: np.ndarray) -> dict:
         if not self.languages or not text or not any(map(str.isalpha, text)):
             return {"lang": UNKNOWN, "score": 0.0, "phrases": None}
@@ -181,23 +226,28 @@ def chosen_texts(docs: DataFrame, rows: int, row_chars: int) -> DataFrame:
     """
     fit = docs.where("lang is not null and text is not null")
     hashed = fit.select("lang", "text", (F.length("text") > row_chars).alias("long"), F.xxhash64("text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("long", "h")
-    keys = hashed.select("lang", "long", "h").distinct()
-    keys = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+    keys = hashed.select("lang", "long", "h").distinct().withColumn("part", F.pmod("h", F.lit(PARTS)))
+    # One language may hold most rows: parts of it are ranked first, and what they leave is below PARTS * rows.
+    for by in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*by).orderBy("long", "h")
+        keys = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+    keys = keys.drop("part")
     start = F.pmod(F.col("h"), F.length("text") - row_chars + 1).cast("int") + 1
     window = F.when(F.col("long"), F.substring(F.col("text"), start, F.lit(row_chars))).otherwise(F.col("text"))
     return hashed.join(F.broadcast(keys), ["lang", "long", "h"]).select("lang", "place", window.alias("text")).distinct()
 
 
-def identify_language(docs: DataFrame, model: LanguageModel, text: str = "text", to: str = "language") -> DataFrame:
+def identify_language(
+    docs: DataFrame, model: LanguageModel, text: str = "text", to: str = "language", sent: Broadcast | None = None
+) -> DataFrame:
     """``docs`` with a struct of ``lang``, ``score`` and ``phrases`` (per character) from the whole text alone.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every text if nothing was learned. On a tie
     the language that sorts first wins, with score 0. A column named ``to`` is replaced; other columns and repeated rows stay.
-    The model is bounded by the sample it was fitted on, so it may be broadcast.
+    The model is bounded by the sample it was fitted on, so it may be broadcast; ``sent`` is a broadcast of it that is there already.
     """
     spark = ready(docs.sparkSession)
-    sent = spark.sparkContext.broadcast(model)
+    sent = sent or spark.sparkContext.broadcast(model)
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("phrases", pa.float64())])
 
     def run(texts: pa.Array) -> pa.Array:
@@ -236,7 +286,9 @@ def length_class(letters):
     return F.least(F.floor(F.log2(letters)), F.lit(LENGTHS[-1])).cast("int")
 
 
-def phrase_bounds(docs: DataFrame, model: LanguageModel, learned: dict, most: float) -> dict[tuple[str, int], float]:
+def phrase_bounds(
+    docs: DataFrame, model: LanguageModel, learned: dict, most: float, sent: Broadcast | None = None
+) -> dict[tuple[str, int], float]:
     """The most phrases per character that texts of a language and length class should need, at most ``most``.
 
     Measured on held-out documents with a label, of each language the ``CALIBRATION`` distinct texts of smallest hash that
@@ -250,7 +302,7 @@ def phrase_bounds(docs: DataFrame, model: LanguageModel, learned: dict, most: fl
     held = held.join(F.broadcast(known), "text", "left_anti")
     parts = F.array(F.col("text"), *[F.when(F.length("text") > n, F.substring("text", 1, n)) for n in BEGINNINGS])
     parts = held.select(F.explode(parts).alias("part")).where("part is not null")
-    found = identify_language(parts, model, "part", "found").withColumn("class", length_class(letters_in("part")))
+    found = identify_language(parts, model, "part", "found", sent).withColumn("class", length_class(letters_in("part")))
     found = found.where(F.col("class") >= LENGTHS[0]).groupBy("found.lang", "class")
     far = found.agg(F.percentile_approx("found.phrases", FAR, 10_000).alias("far"), F.count("*").alias("n")).where(F.col("n") >= LEAST)
     measured = {(r.lang, r["class"]): r.far * MARGIN for r in far.collect()}

@@ -198,11 +198,18 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each class, with all columns of ``docs``. Of repeated rows one stays, of those without a word as well."""
-    key = "__row_key"
+    """One row of each class, with all columns of ``docs``. Of repeated rows one stays, of those without a word as well.
+
+    Rows equal in id and text that differ in other columns are repeated rows; the one whose other columns have the smallest
+    hash (of their JSON) stays, whatever the order of the rows.
+    """
+    key, row = "__row_key", "__row"
     kept = classes.where("row_key = class_key").select(F.col("row_key").alias(key)).distinct()
-    ids = docs.withColumn(key, _row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
-    return ids.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (doc_id.lower(), text.lower())]
+    order = F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0)
+    ids = docs.select(_row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias(key), whole.alias(row), order.alias("__order"))
+    return ids.join(kept, key, "left_semi").groupBy(key).agg(F.min_by(row, "__order").alias(row)).select(f"{row}.*")
 
 
 def _row_key(doc_id: Column | None = None, text: Column | None = None) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import secrets
-
 # --- op2 ------------------------------------------------------------------------------------------
 
 
@@ -26,22 +24,40 @@ def _matches(kind: str, rank: int, pattern: str, keep: str) -> str:
     ) WHERE {keep}"""
 
 
-def _random(c: secrets.CharacterClass) -> str:
-    shares = "[" + ", ".join(map(str, secrets._share(c.window))) + "]"
-    most = round((secrets.math.log2(c.window) - c.bits) * c.window * secrets.UNIT)
-    allowed = " OR ".join(f"regexp_matches(match, {_quoted(p)})" for p in secrets.ALLOWED)
-    least = f"""list_min(list_transform(range(1, length(match) - {c.window} + 2), lambda i:
-        list_sum(list_transform(list_distinct(string_split(substr(match, i, {c.window}), '')), lambda x:
-            {shares}[1 + len(list_filter(string_split(substr(match, i, {c.window}), ''), lambda y: y = x))]))))"""
-    return f"regexp_matches(match, '[0-9]') AND regexp_matches(match, '[A-Za-z]') AND NOT ({allowed}) AND {least} <= {most}"
+UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+SAME_KEY = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+FILLERS = "^((example|sample|placeholder|your|my|api|access|secret|key|token|here|x{4,}|0{4,})[-_=/+]?)+$"
+PATH_WORD = "([A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+|[0-9]{1,8})"
+PATH = f"^/?{PATH_WORD}([_=-]+{PATH_WORD})*(/{PATH_WORD}([_=-]+{PATH_WORD})*){{2,}}/?$"
+
+
+def _entropy(kind: str, rank: int, letters: str, window: int, bits: float) -> str:
+    """Runs with a letter and a digit, not allowed as a whole, and with a window of so many bits a character.
+
+    A window's entropy is log2(window) less the mean of log2 of each character's count; sums are in whole millionths.
+    """
+    held = f"string_split(substr(match, i, {window}), '')"
+    weight = "CAST(round(n * log2(n) * 1000000) AS BIGINT)"
+    sums = f"""list_transform(range(1, length(match) - {window} + 2), lambda i: list_sum(list_transform(list_distinct({held}),
+        lambda x: list_transform([len(list_filter({held}, lambda y: y = x))], lambda n: {weight})[1])))"""
+    most = f"CAST(round((log2({window}) - {bits}) * {window} * 1000000) AS BIGINT)"
+    allowed = f"""regexp_matches(match, {_quoted(UUID)}) OR match = {_quoted(SAME_KEY)} OR regexp_matches(lower(match), {_quoted(FILLERS)})
+        OR regexp_matches(match, {_quoted(PATH)})"""
+    keep = f"regexp_matches(match, '[0-9]') AND regexp_matches(match, '[A-Za-z]') AND NOT ({allowed}) AND list_min({sums}) <= {most}"
+    return _matches(kind, rank, f"[{letters}]{{{window},}}", keep)
+
+
+# The base patterns of the contract.
+ASSIGN = """(?i)(password|passwd|secret|token|api_?key)["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 
 def _secrets() -> str:
     kinds = [
-        _matches("assign", 0, secrets.ASSIGN, f"length(regexp_extract(match, {_quoted(secrets.ASSIGN)}, 2)) >= 8"),
-        _matches("access", 1, secrets.ACCESS, "length(match) >= 16"),
-        _matches("hex", 2, secrets.HEX, "length(match) >= 32"),
-        *(_matches(c.kind, 3 + n, c.pattern, _random(c)) for n, c in enumerate(secrets.CLASSES)),
+        _matches("assign", 0, ASSIGN, f"length(regexp_extract(match, {_quoted(ASSIGN)}, 2)) >= 8"),
+        _matches("access", 1, "AKIA[A-Z0-9]+", "length(match) >= 16"),
+        _matches("hex", 2, "[0-9a-f]+", "length(match) >= 32"),
+        _entropy("entropy_hex", 3, "0-9a-fA-F", 32, 3.0),
+        _entropy("entropy_base64", 4, "A-Za-z0-9+/_=-", 24, 4.0),
     ]
     return f"""
     WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
@@ -49,8 +65,8 @@ def _secrets() -> str:
     found AS (
         SELECT rid,
             count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
-            string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, "end", rank) FILTER (rank < 3) AS base,
-            string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, "end", rank) AS spans
+            string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+            string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) AS spans
         FROM spans GROUP BY rid
     )
     SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,

@@ -43,24 +43,12 @@ UNIT = 1_000_000
 HEX_CLASS = CharacterClass("entropy_hex", "0-9a-fA-F", 32, 3.0)
 BASE64_CLASS = CharacterClass("entropy_base64", "A-Za-z0-9+/_=-", 24, 4.0)
 CLASSES = (HEX_CLASS, BASE64_CLASS)
-#: The allow-list as the SQL of op2 states it. It also hides real secrets, so the scan goes by ``HARMLESS``.
-ALLOWED = (
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^/?[A-Za-z0-9_=-]{1,23}(/[A-Za-z0-9_=-]{1,23}){2,}/?$",
-    r"(EXAMPLE|example|SAMPLE|sample|PLACEHOLDER|placeholder|xxxx|XXXX|0000)",
-)
-_WORD = "(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+|[0-9]{1,8})"
-_PART = f"{_WORD}(?:[_=-]+{_WORD})*"
-#: Whole runs that look random and are no secret: UUIDs, paths whose parts all look like words (no letters of both cases
-#: mixed with digits), runs of nothing but placeholder words, and the key of the AWS documentation.
-HARMLESS = (
-    ALLOWED[0],
-    f"^/?{_PART}(?:/{_PART}){{2,}}/?$",
-    "(?i)^(?:(?:example|sample|placeholder|your|my|api|access|secret|key|token|here|x{4,}+|0{4,}+)[-_=/+]?)+$",
-    "^wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY$",
-)
-#: A longer run is never harmless; the patterns stay cheap.
-HARMLESS_LENGTH = 512
+#: What looks random and is no secret, as whole runs only: UUIDs, the key of the AWS documentation, runs of nothing but placeholder
+#: words, and paths of three parts or more that all look like words (no letters of both cases mixed with digits).
+UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+DOCUMENTED = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+PLACEHOLDER = "(example|sample|placeholder|your|my|api|access|secret|key|token|here|x{4,}|0{4,})[-_=/+]?"
+WORD = "^([A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+|[0-9]{1,8})$"
 
 
 def bound(value: Column, use) -> Column:
@@ -114,8 +102,8 @@ def _spans(placed: Column, rank: int, kind: str, keep) -> Column:
         F.filter(placed, lambda p: keep(p["match"])),
         lambda p: F.struct(
             p["start"].alias("start"),
-            (p["start"] + F.length(p["match"])).cast("int").alias("end"),
             F.lit(rank).alias("rank"),
+            (p["start"] + F.length(p["match"])).cast("int").alias("end"),
             F.lit(kind).alias("kind"),
         ),
     )
@@ -126,56 +114,87 @@ def _share(window: int) -> list[int]:
     return [0, *(round(c * math.log2(c) * UNIT) for c in range(1, window + 1))]
 
 
+#: Counts of the printable characters are kept in whole numbers of ten counts, six bits each.
+FIRST, HELD, BITS = 33, 10, 6
+
+
 def entropy_units(match: Column, window: int) -> Column:
     """The least sum of c * log2(c) over the windows of a run; the entropy of a window is log2(window) - sum / window.
 
     From one window to the next only two counts change: that of the character that leaves falls by one, that of the
-    character that enters rises by one. The sum follows by the two differences.
+    character that enters rises by one. The counts go along as the state, packed, and the sum follows by the two
+    differences, so a step costs the same whatever the window. Windows of at most 63 characters.
     """
+    if window >= 1 << BITS:
+        raise ValueError(f"a window has at most {(1 << BITS) - 1} characters")
     shares = F.array(*[F.lit(s).cast("long") for s in _share(window)])
     share = lambda c: F.element_at(shares, (c + 1).cast("int"))
+    place = lambda code: F.floor(code / HELD).cast("int")
+    one = lambda code: F.call_function("shiftleft", F.lit(1).cast("long"), (code % HELD * BITS).cast("int"))
 
-    def slide(letters: Column) -> Column:
-        held = lambda first, size, x: F.size(F.filter(F.slice(letters, first, size), lambda y: y == x))
+    def count(counts: Column, code: Column) -> Column:
+        return F.call_function("shiftright", F.get(counts, place(code)), (code % HELD * BITS).cast("int")).bitwiseAND(F.lit((1 << BITS) - 1))
 
+    def changed(counts: Column, code: Column, by: int) -> Column:
+        return F.transform(counts, lambda held, k: F.when(k == place(code), held + by * one(code)).otherwise(held))
+
+    def slide(codes: Column) -> Column:
         def step(state: Column, at: Column) -> Column:
-            # The window before this step holds the characters from ``first`` on; at the start it is still filling.
-            enters = F.element_at(letters, at)
-            first = F.greatest(F.lit(1), at - window)
-            falls = bound(
-                held(first, at - first, F.element_at(letters, first)), lambda c: share(c) - share(c - 1)
-            )
-            after = F.greatest(F.lit(1), at - window + 1)
-            rises = bound(held(after, at - after + 1, enters), lambda c: share(c) - share(c - 1))
-            total = state["total"] + rises - F.when(at > window, falls).otherwise(F.lit(0).cast("long"))
-            return bound(
-                total,
-                lambda t: F.struct(
-                    t.alias("total"), F.when(at >= window, F.least(state["least"], t)).otherwise(state["least"]).alias("least")
-                ),
+            full = at > window
+
+            def without(left: Column) -> Column:
+                rises = bound(count(left["counts"], F.element_at(codes, at)), lambda c: share(c + 1) - share(c))
+                return bound(
+                    left["total"] + rises,
+                    lambda t: F.struct(
+                        changed(left["counts"], F.element_at(codes, at), 1).alias("counts"),
+                        t.alias("total"),
+                        F.when(at >= window, F.least(state["least"], t)).otherwise(state["least"]).alias("least"),
+                    ),
+                )
+
+            leaves = F.element_at(codes, F.greatest(F.lit(1), at - window))
+            falls = bound(count(state["counts"], leaves), lambda c: share(c) - share(c - 1))
+            left = F.struct(
+                F.when(full, changed(state["counts"], leaves, -1)).otherwise(state["counts"]).alias("counts"),
+                F.when(full, state["total"] - falls).otherwise(state["total"]).alias("total"),
             )
+            return bound(left, without)
+
+        start = F.struct(
+            F.array_repeat(F.lit(0).cast("long"), -(-94 // HELD)).alias("counts"),
+            F.lit(0).cast("long").alias("total"),
+            F.lit(2**62).cast("long").alias("least"),
+        )
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step, lambda s: s["least"])
+
+    return bound(F.transform(F.split(match, ""), lambda c: F.ascii(c) - FIRST), slide)
+
+
+def harmless(match: Column) -> Column:
+    """Whether the allow-list names the whole run, however long it is: paths are tested part by part and word by word."""
 
-        start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(2**62).cast("long").alias("least"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(letters)), start, step, lambda s: s["least"])
+    def path(parts: Column) -> Column:
+        # An empty first or last part is the slash that a path may begin or end with.
+        inner = F.filter(parts, lambda p, i: ~((p == "") & ((i == 0) | (i == F.size(parts) - 1))))
+        words = lambda part: F.forall(F.split(part, "[_=-]+", -1), lambda w: w.rlike(WORD))
+        return bound(inner, lambda held: (F.size(held) >= 3) & F.forall(held, words))
 
-    return bound(F.split(match, ""), slide)
+    only_placeholders = F.regexp_replace(F.lower(match), F.lit(PLACEHOLDER), F.lit("")) == ""
+    return match.rlike(UUID) | (match == DOCUMENTED) | only_placeholders | bound(F.split(match, "/", -1), path)
 
 
 def _random(match: Column, wanted: CharacterClass) -> Column:
     most = round((math.log2(wanted.window) - wanted.bits) * wanted.window * UNIT)
     mixed = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
-    allowed = F.lit(False)
-    for pattern in HARMLESS:
-        allowed = allowed | match.rlike(pattern)
-    allowed = (F.length(match) <= HARMLESS_LENGTH) & allowed
-    return F.when(mixed & ~allowed, entropy_units(match, wanted.window) <= most).otherwise(False)
+    return F.when(mixed & ~harmless(match), entropy_units(match, wanted.window) <= most).otherwise(False)
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", to: str = "secrets", classes: tuple = CLASSES) -> DataFrame:
     """``docs`` with the secrets of each whole text: an array of (start, end, rank, kind), by start, then kind as listed.
 
     Base kinds are ``assign``, ``access`` and ``hex``: the leftmost matches that do not overlap, of which the short ones are
-    dropped afterwards. Each character class adds its runs of high entropy, unless a pattern of ``HARMLESS`` names the whole run; the list
+    dropped afterwards. Each character class adds its runs of high entropy, unless the allow-list (``harmless``) names the whole run; the list
     never removes a base span. Places are code points, the end is exclusive. Null and empty texts have none. A column named
     ``to`` is replaced; other columns and repeated rows stay. All of it runs in the JVM, row by row, without a shuffle.
     """
@@ -188,7 +207,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", to: str = "secrets", class
     ]
     added = [_spans(_placed(body, c.pattern), 3 + n, c.kind, lambda m, c=c: _random(m, c)) for n, c in enumerate(classes)]
     # A border: what follows mentions the array often, and it must not be computed for each mention.
-    found = F.sort_array(F.concat(*base, *added))
+    by_kind = F.sort_array(F.concat(*base, *added))
+    found = F.transform(by_kind, lambda s: F.struct(s["start"], s["end"], s["rank"], s["kind"]))
     return put(docs, to, found).select(
         F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in [*(c for c in docs.columns if c.lower() != to.lower()), to]])))
     )
@@ -213,4 +233,4 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]",
 
     end = lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.length(body)))
     clean = F.when(F.size(F.col(f"`{spans}`")) > 0, F.aggregate(F.col(f"`{spans}`"), start, step, end)).otherwise(body)
-    return docs.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(*[clean.alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in docs.columns])

@@ -60,8 +60,9 @@ def encode_checked(
         return pa.StructArray.from_arrays([lists, pa.array(whole, type=pa.bool_())], names=["ids", "whole"])
 
     both = F.arrow_udf(run, "ids array<int>, whole boolean").asNondeterministic()(F.col(f"`{text}`"))
-    made = docs.select("*", both.alias("__pieces"))
-    return put(put(made, to, F.col("__pieces.ids")), check, F.col("__pieces.whole")).drop("__pieces")
+    made = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), both.alias("made"))
+    others = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in (to.lower(), check.lower())]
+    return made.select(*others, F.col("made.ids").alias(to), F.col("made.whole").alias(check))
 
 
 def decode_pieces(docs: DataFrame, model_path: str | None = None, ids: str = "ids", to: str = "decoded") -> DataFrame:

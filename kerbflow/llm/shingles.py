@@ -152,4 +152,4 @@ def nibbles(signatures: np.ndarray) -> np.ndarray:
     small = np.zeros((len(signatures), -(-signatures.shape[1] // 16) * 16), dtype=np.uint64)
     small[:, : signatures.shape[1]] = signatures & np.uint64(15)
     shifts = np.arange(0, 64, 4, dtype=np.uint64)
-    return np.bitwise_or.reduce(small.reshape(len(small), -1, 16) << shifts, axis=2).view(np.int64)
+    return np.bitwise_or.reduce(small.reshape(len(small), small.shape[1] // 16, 16) << shifts, axis=2).view(np.int64)

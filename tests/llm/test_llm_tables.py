@@ -283,3 +283,12 @@ def test_languages_that_were_not_learned_go(spark):
     kept = corpus_pipeline.language_stage(spark, rows, SF)
     assert kept.where("doc_id < 0").count() == 0
     assert kept.count() >= 0.995 * docs.count()
+
+
+def test_which_of_rows_with_one_id_and_text_stays(spark):
+    rows = [(1, "one two three four five six", "a", n) for n in (5, 3, 9)] + [(2, "", "b", 1), (2, "", "c", 1)]
+    kept = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string, source string, n int").repartition(3)
+        kept.append(sorted(keep_first(docs, near_duplicates(docs)).collect()))
+    assert kept[0] == kept[1] and [r.doc_id for r in kept[0]] == [1, 2]

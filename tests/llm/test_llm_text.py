@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -14,11 +16,12 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Tokenizer
 
+from kerbflow.llm import langid
 from kerbflow.llm.decontaminate import Matcher, find_leaks, plain
 from kerbflow.llm.langid import LanguageModel, fold, identify_language, sample_texts, train
 from kerbflow.llm.pieces import Pieces
 from kerbflow.llm.queries import QUERIES
-from kerbflow.llm.secrets import ASSIGN, redact_secrets, scan_secrets
+from kerbflow.llm.secrets import ASSIGN, entropy_units, redact_secrets, scan_secrets, spans_text
 from kerbflow.llm.sentencepiece_stream import decode_pieces, encode_checked, encode_pieces
 from kerbflow.llm.token_blocks import pack_block, read_token_files, unpack_block, write_token_files
 from kerbflow.llm.token_counts import count_tokens
@@ -158,6 +161,41 @@ def test_phrases_against_substring_search(spark):
         assert found["phrases"] == min(counts) / len(fold(text))
 
 
+@pytest.mark.parametrize("block", [1, 7, 100, 2048])
+def test_whole_texts_are_parsed_whatever_the_block(spark, monkeypatch, block):
+    """Borders of blocks change nothing: texts of several blocks against a parse letter by letter."""
+    monkeypatch.setattr(langid, "BLOCK", block)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = LanguageModel.fit({k: v[:4] for k, v in sample_texts(docs).items()})
+    texts = [r.text for r in docs.where("length(text) > 2048").orderBy(F.length("text")).limit(3 if block == 1 else 12).collect()]
+    texts += ["", None, "ab" * 3000, texts[0][:2048], texts[0][:2049]]
+    assert max(len(fold(t)) for t in texts if t) > 2 * 2048
+
+    def plainly(text, root):
+        state, number = root, 0
+        for c in fold(text):
+            code = int(model.letters[ord(c)])
+            to = int(model.table[state * model.width + code])
+            if to < 0:
+                number += state != root
+                to = int(model.table[root * model.width + code])
+                if to < 0:
+                    number, to = number + 1, root
+            state = to
+        return number + (state != root)
+
+    for text, found in zip(texts, model.predict(texts)):
+        if text:
+            counts = [plainly(text, int(root)) for root in model.roots]
+            assert found["phrases"] == min(counts) / len(fold(text)) and found["lang"] == model.languages[int(np.argmin(counts))]
+
+
+def test_ranking_in_parts_chooses_the_smallest_hashes(spark):
+    docs = spark.range(3000).select(F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("xx").alias("lang"))
+    got = {r.text for r in langid.chosen_texts(docs, 40, 4000).collect()}
+    assert got == {r.text for r in docs.orderBy(F.xxhash64("text")).limit(40).collect()}
+
+
 def test_held_out_accuracy(spark):
     rows = QUERIES["op5_language_id"](spark, "/root/testdata/sf0.01").where("held_out")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
@@ -274,6 +312,36 @@ def test_entropy_spans_and_allow_list(spark):
     assert found == {0: [(4, 44, "entropy_base64")], 1: [], 2: [], 3: [], 4: [], 5: []}
 
 
+def test_spans_are_ordered_by_start_and_then_kind(spark):
+    docs = spark.createDataFrame([(1, "token=aB3dE5fG7hJ9kL1mN3pQ5rS7.tail1234")], "doc_id int, text string")
+    assert scan_secrets(docs).select(spans_text(F.col("secrets"))).first()[0] == "assign:0:39,entropy_base64:0:30"
+
+
+def test_the_allow_list_has_no_length(spark):
+    part, key = "some-Word12/usr2/local_Bin", "aB3dE5fG7hJ9kL1mN3pQ5rS7tU9v"
+    texts = ["/".join([part] * n) for n in (1, 4, 30, 3000)] + ["/".join([part, key, part]), "example-" * 500 + "xxxx0000", "example-" * 9 + key]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: len(r.secrets) for r in scan_secrets(docs).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 5: 0, 6: 1}
+
+
+@pytest.mark.parametrize("window", [4, 24, 63])
+def test_entropy_of_windows(spark, window):
+    draw = random.Random(window)
+    runs = ["".join(draw.choices("aA0+/_=-zZ9!~"[: draw.randint(1, 13)], k=draw.randint(window, 4 * window))) for _ in range(60)]
+    weight = lambda part: sum(round(c * math.log2(c) * 1_000_000) for c in Counter(part).values())
+    rows = spark.createDataFrame([(r,) for r in runs], "run string").select("run", entropy_units(F.col("run"), window).alias("units"))
+    for row in rows.collect():
+        assert row.units == min(weight(row.run[i : i + window]) for i in range(len(row.run) - window + 1))
+
+
+def test_names_are_compared_as_spark_does(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefgh1", 5)], "doc_id int, Text string, __pieces int")
+    assert redact_secrets(scan_secrets(docs)).first().Text == "[SECRET]"
+    assert encode_checked(docs).columns == ["doc_id", "Text", "__pieces", "ids", "round_trip"]
+    assert encode_checked(docs).first().round_trip
+
+
 def test_allow_list_hides_no_secret(spark):
     keys = ["aX3kP9/mQ7zLw2Rt5Vb8Nc/1Yd6Fg4Hj0Ks9TuEo", "q7Zm0000Xk2Rt5Vb8NcY1d6Fg4HjKs9TuEoW3pLa", "sampleQ7zLw2Rt5Vb8NcY1d6Fg4HjKs9TuEo"]
     fine = ["/usr/local/lib/python3/site-packages/kerb_flow/Word", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
