@@ -7,6 +7,7 @@
     python -m kerbflow count           rows of the result table
     python -m kerbflow peek            the first 5 messages
     python -m kerbflow metrics --out DIR   messages and rate of the last 20 batches
+    python -m kerbflow late --out DIR      rows of each batch that came too late, after stream --keep-late
     python -m kerbflow compact --out DIR   take finished batches into the snapshot that reports read
 
 Settings come from the environment, see ``FlowConfig``. ``--topic-dir`` and ``--out`` name folders to use in place
@@ -28,6 +29,7 @@ from kerbflow.config import FlowConfig
 from kerbflow.operators import canonical_trips, encode_messages, latest_versions, normalise_columns, unread_trips
 from kerbflow.plans import compact as compact_results
 from kerbflow.plans import (
+    aggregates_with_events,
     newest_results,
     newest_windows,
     peek_messages,
@@ -40,7 +42,7 @@ from kerbflow.plans import (
 )
 from kerbflow.schema import PICKUP_TIME
 from kerbflow.session import build_session
-from kerbflow.sinks import CommittedSink, JdbcSink, RawEventSink, write_kafka
+from kerbflow.sinks import CommittedSink, JdbcSink, LateRowsSink, RawEventSink, read_late_rows, write_kafka
 from kerbflow.sources import read_jdbc_table, read_kafka, read_message_files, read_mixed_trips, stream_kafka, stream_message_files
 from kerbflow.streaming import BatchLog, FeedMetrics, checkpoint_path, read_feed_metrics, start, with_feed_metrics
 
@@ -83,8 +85,11 @@ def stream(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) ->
     if args.out:
         messages = with_feed_metrics(messages)
         spark.streams.addListener(FeedMetrics(spark, f"{_result_folder(config, args)}/metrics"))
-    result = trip_aggregates(messages, config)
-    sink = CommittedSink(_result_folder(config, args)) if args.out else JdbcSink(config)
+    if args.keep_late:
+        result, sink = aggregates_with_events(messages, config), LateRowsSink(_result_folder(config, args), config)
+    else:
+        result = trip_aggregates(messages, config)
+        sink = CommittedSink(_result_folder(config, args)) if args.out else JdbcSink(config)
     _run(spark, result, sink, _checkpoint(spark, config, args, "trip-aggregates"), "update", config, args)
 
 
@@ -119,6 +124,12 @@ def metrics(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -
     stored.orderBy(F.desc("batch_id")).limit(20).show(20, truncate=False)
 
 
+def late(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
+    missed = read_late_rows(spark, _result_folder(config, args))
+    counts = missed.groupBy("batch_id").agg(F.count("*").alias("late_rows"), F.countDistinct("event_time").alias("event_times"))
+    counts.orderBy(F.desc("batch_id")).limit(20).show()
+
+
 def compact(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
     compact_results(spark, _result_folder(config, args))
     remove_compacted(spark, _result_folder(config, args))
@@ -129,7 +140,7 @@ def peek(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> N
     peek_messages(messages).show(truncate=False)
 
 
-COMMANDS = {command.__name__: command for command in (feed, stream, raw, verify, count, peek, metrics, compact)}
+COMMANDS = {command.__name__: command for command in (feed, stream, raw, verify, count, peek, metrics, late, compact)}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -138,8 +149,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic-dir", help="folder of message files in place of the topic")
     parser.add_argument("--out", help="folder of results in place of the database")
     parser.add_argument("--once", action="store_true", help="process what there is, then stop")
+    parser.add_argument("--keep-late", action="store_true", help="stream: keep rows that come too late for a window, beside the results")
     args = parser.parse_args(argv)
-    if args.command in ("raw", "metrics", "compact") and not args.out:
+    if args.keep_late and not args.out:
+        parser.error("--keep-late needs --out")
+    if args.command in ("raw", "metrics", "late", "compact") and not args.out:
         parser.error(f"{args.command} needs --out")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     COMMANDS[args.command](build_session(), FlowConfig.from_env(), args)

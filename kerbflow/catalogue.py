@@ -53,11 +53,14 @@ from kerbflow.schema import AGGREGATE_SCHEMA, AGGREGATE_TABLE_TYPES, MESSAGE_SCH
 from kerbflow.session import scratch_dir, use_utc
 from kerbflow.sinks import (
     BatchFolderSink,
+    CommittedRawSink,
     CommittedSink,
     LateRowsSink,
     RawEventSink,
     create_aggregate_table,
     read_late_rows,
+    read_raw_events,
+    read_rejects,
     read_results,
 )
 from kerbflow.sources import read_changelog, read_committed, read_message_files, read_mixed_trips, read_trips, stream_message_files, stream_trips
@@ -628,6 +631,27 @@ def reject_sink(spark, sf_dir):
     return rejects.select("id", "reject_reason", F.col("value").cast("string").alias("payload"))
 
 
+def run_committed_raw(spark: SparkSession, sf_dir: str, label: str) -> str:
+    folder = scratch_dir(spark, label)
+    spoiled_messages(spark, sf_dir).write.parquet(f"{folder}/topic")
+    stream = raw_events(stream_message_files(spark, f"{folder}/topic"))
+    run_available_now(stream, CommittedRawSink(f"{folder}/raw"), f"{folder}/checkpoint", output_mode="append")
+    return f"{folder}/raw"
+
+
+@query
+def raw_events_committed(spark, sf_dir):
+    """The raw event table from batches that hold events and rejects in one commit."""
+    return read_raw_events(spark, run_committed_raw(spark, sf_dir, "raw-committed")).drop("ingested_at", "batch_id")
+
+
+@query
+def rejects_committed(spark, sf_dir):
+    """The rejects of the same batches."""
+    rejects = read_rejects(spark, run_committed_raw(spark, sf_dir, "rejects-committed"))
+    return rejects.select("id", "reject_reason", F.col("value").cast("string").alias("payload"))
+
+
 @query
 def raw_out_of_range(spark, sf_dir):
     """Events with a number too large for the table: stored without it, and kept among the rejects."""

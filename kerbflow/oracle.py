@@ -167,6 +167,21 @@ ZONE = f"""WITH {TRIPS},{SPREAD}
 SELECT window_start, window_end, 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR) AS pickup_location, {MEASURES}
 FROM spread GROUP BY ALL"""
 
+RAW_EVENTS = f"""{SPOILED}
+SELECT id, ts AS event_time, pickup_location, dropoff_location, passenger_count,
+  CAST(trip_distance AS DECIMAL(8, 4)) AS trip_distance, CAST(fare_amount AS DECIMAL(10, 2)) AS fare_amount
+FROM spoiled WHERE NOT cut AND NOT no_time"""
+
+REJECTS = f"""{SPOILED},
+damaged AS (
+  SELECT * REPLACE (CASE WHEN no_time THEN 'yesterday' ELSE tpep_pickup_datetime END AS tpep_pickup_datetime)
+  FROM spoiled
+)
+SELECT id,
+  CASE WHEN cut THEN 'bad_json' WHEN no_time THEN 'bad_time' ELSE 'no_location' END AS reject_reason,
+  CASE WHEN cut THEN substr({PAYLOAD}, 1, 40) ELSE {PAYLOAD} END AS payload
+FROM damaged WHERE cut OR no_time OR pickup_location IS NULL"""
+
 SQL: dict[str, str] = {
     "normalise_headers": """SELECT event_id, ts AS tpep_pickup_datetime, user_id, event_type,
   value AS fare_amount, props FROM events""",
@@ -255,19 +270,10 @@ FROM located""",
     "stream_append_chained": f"""{WITH_RESULT}
 SELECT * FROM result WHERE pickup_location IS NOT NULL
   AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
-    "raw_event_sink": f"""{SPOILED}
-SELECT id, ts AS event_time, pickup_location, dropoff_location, passenger_count,
-  CAST(trip_distance AS DECIMAL(8, 4)) AS trip_distance, CAST(fare_amount AS DECIMAL(10, 2)) AS fare_amount
-FROM spoiled WHERE NOT cut AND NOT no_time""",
-    "reject_sink": f"""{SPOILED},
-damaged AS (
-  SELECT * REPLACE (CASE WHEN no_time THEN 'yesterday' ELSE tpep_pickup_datetime END AS tpep_pickup_datetime)
-  FROM spoiled
-)
-SELECT id,
-  CASE WHEN cut THEN 'bad_json' WHEN no_time THEN 'bad_time' ELSE 'no_location' END AS reject_reason,
-  CASE WHEN cut THEN substr({PAYLOAD}, 1, 40) ELSE {PAYLOAD} END AS payload
-FROM damaged WHERE cut OR no_time OR pickup_location IS NULL""",
+    "raw_event_sink": RAW_EVENTS,
+    "raw_events_committed": RAW_EVENTS,
+    "reject_sink": REJECTS,
+    "rejects_committed": REJECTS,
     "raw_out_of_range": f"""{SPOILED}
 SELECT id, ts AS event_time, CASE WHEN k < 10 THEN CAST(k * 1000 AS DECIMAL(8, 4)) END AS trip_distance,
   CAST(fare_amount AS DECIMAL(10, 2)) AS fare_amount,

@@ -15,7 +15,7 @@ from kerbflow.operators import (
     with_locations,
 )
 from kerbflow.schema import AGGREGATE_FIELDS, ZONE_FIELDS
-from kerbflow.sinks.late import KIND, LATE, RESULT
+from kerbflow.sinks.committed import KIND, LATE, RESULT
 
 
 def _fields(config: FlowConfig) -> list[str]:

@@ -24,6 +24,10 @@ from kerbflow.storage import delete, get_text, names_in, put_text
 
 log = logging.getLogger(__name__)
 
+# Rows of several kinds may lie side by side in a batch.
+KIND, RESULT, LATE = "kind", "result", "late"
+EVENT, REJECT = "event", "reject"
+
 
 @dataclass(frozen=True)
 class Commit:

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbflow.config import FlowConfig, duration_micros
-from kerbflow.schema import AGGREGATE_SCHEMA, changelog_schema
-from kerbflow.sinks.committed import Commit, CommittedSink, attempt_path, commit_of, commits
-
-KIND, RESULT, LATE = "kind", "result", "late"
+from kerbflow.schema import AGGREGATE_SCHEMA
+from kerbflow.sinks.committed import KIND, LATE, RESULT, Commit, CommittedSink, commit_of
+from kerbflow.sources.committed import read_committed
 
 LATE_SCHEMA = T.StructType(
     [
@@ -68,22 +67,11 @@ class LateRowsSink(CommittedSink):
         return replace(commit, newest=max(known, default=None), late_mark=self.in_force)
 
 
-def _read(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> DataFrame:
-    full = changelog_schema(schema)
-    folders = [c for c in commits(spark, path.rstrip("/")) if c.attempt]
-    if not folders:
-        return spark.createDataFrame([], full)
-    paths = [attempt_path(path.rstrip("/"), c.batch_id, c.attempt) for c in folders]
-    typed = T.StructType([*full.fields, T.StructField(KIND, T.StringType())])
-    stored = spark.read.schema(typed).option("basePath", f"{path.rstrip('/')}/data").parquet(*paths)
-    return stored.filter(F.col(KIND) == kind).select(*full.names)
-
-
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Results of every committed batch, with its ``batch_id``."""
-    return _read(spark, path, RESULT, AGGREGATE_SCHEMA)
+    return read_committed(spark, path)
 
 
 def read_late_rows(spark: SparkSession, path: str) -> DataFrame:
     """One row per event and closed window that it missed, with the batch it came in."""
-    return _read(spark, path, LATE, LATE_SCHEMA)
+    return read_committed(spark, path, LATE_SCHEMA, kind=LATE)

@@ -30,7 +30,7 @@ def test_file_to_report(spark, tmp_path, monkeypatch, capsys):
     assert "|2016-02-01 00:00:00|2016-02-01 00:05:00|40.71,-74.0    |3         |1.5     |" in shown
 
 
-@pytest.mark.parametrize("command", ["raw", "metrics", "compact"])
+@pytest.mark.parametrize("command", ["raw", "metrics", "late", "compact"])
 def test_some_commands_need_a_folder(command):
     with pytest.raises(SystemExit):
         main([command])
@@ -51,7 +51,7 @@ def test_chunks_batches_and_snapshot(spark, tmp_path, monkeypatch, capsys):
     folders = ["--topic-dir", str(tmp_path / "topic"), "--out", str(tmp_path / "results")]
     main(["feed", *folders])
     assert len(list((tmp_path / "topic").glob("chunk-*.parquet"))) == 3
-    main(["stream", "--once", *folders])
+    main(["stream", "--once", "--keep-late", *folders])
     (results,) = (tmp_path / "results").glob("run-*")
     assert sum(bool(list(batch.iterdir())) for batch in (results / "data").iterdir()) == 3
 
@@ -62,6 +62,7 @@ def test_chunks_batches_and_snapshot(spark, tmp_path, monkeypatch, capsys):
 
     measured = read_feed_metrics(spark, f"{results}/metrics")
     assert [r.events_in_chunk for r in measured.orderBy("batch_id").collect()][:2] == [4, 4] and "rows_per_second" in said("metrics")
+    assert "late_rows" in said("late")
     before = said("verify"), said("count")
     main(["compact", *folders])
     assert not any(list(batch.iterdir()) for batch in (results / "data").iterdir())

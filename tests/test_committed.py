@@ -17,6 +17,7 @@ from kerbflow.plans import (
     compact,
     newest_results,
     newest_windows,
+    raw_events,
     read_latest,
     remove_compacted,
     snapshot_of,
@@ -24,7 +25,7 @@ from kerbflow.plans import (
     write_chunks,
 )
 from kerbflow.schema import AGGREGATE_SCHEMA
-from kerbflow.sinks import CommittedSink, LateRowsSink, commits, read_late_rows, read_results
+from kerbflow.sinks import CommittedRawSink, CommittedSink, LateRowsSink, commits, read_late_rows, read_raw_events, read_rejects, read_results
 from kerbflow.sources import files_by_header, read_committed, read_mixed_trips, stream_message_files
 from kerbflow.storage import get_text, names_in, put_text
 from kerbflow.streaming import FeedMetrics, open_windows, read_feed_metrics, run_available_now, state_operators, with_feed_metrics
@@ -320,3 +321,27 @@ def test_a_folder_without_files(spark, tmp_path):
     with pytest.raises(ValueError, match="header"):
         read_mixed_trips(spark, str(tmp_path), canonical_trips)
 
+
+# --- raw events ------------------------------------------------------------------------------------------------
+
+
+def test_events_and_rejects_in_one_commit(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    bad_time = payload("00:30", "A", 1.0).replace("2024-01-01T10", "soon")
+    write_topic(spark, folder, [[payload("00:30", "A", 1.0), bad_time, "{"], [payload("00:40", None, 2.0)]])
+    stream = raw_events(stream_message_files(spark, folder, max_files=1))
+    run_available_now(stream, CommittedRawSink(f"{tmp_path}/raw"), f"{tmp_path}/cp", output_mode="append")
+    events, rejects = read_raw_events(spark, f"{tmp_path}/raw"), read_rejects(spark, f"{tmp_path}/raw")
+    assert {(r.id, r.pickup_location, r.batch_id) for r in events.collect()} == {(0, "40.71,-74.0", 0), (100, None, 1)}
+    assert events.filter("ingested_at is null").isEmpty()
+    assert {(r.id, r.reject_reason) for r in rejects.collect()} == {(1, "bad_time"), (2, "bad_json"), (100, "no_location")}
+    assert [bytes(r.value) for r in rejects.filter("id = 2").collect()] == [b"{"]
+
+
+def test_snapshot_of_batches_with_late_rows(spark, topic, tmp_path):
+    run_late(spark, topic, tmp_path)
+    path = f"{tmp_path}/results"
+    before = sorted(read_latest(spark, path).collect())
+    assert before == sorted(latest_versions(read_results(spark, path)).collect()) and before
+    compact(spark, path)
+    assert sorted(read_latest(spark, path).collect()) == before
