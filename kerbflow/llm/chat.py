@@ -17,6 +17,8 @@ BUDGET, HISTORY = 512, 128
 SYSTEM, TARGET = "system", "assistant"
 #: Turns are summed up in runs of so many turn numbers first, so that a very long conversation is not one task's.
 RUN = 256
+#: Windows begin anew after so many times the room of one.
+SEGMENT = 32
 # Fixed values of the template, in the order in which they are escaped; they are put back in the opposite order.
 TEXT_ESCAPES = (("\\", "\\b"), ("#", "\\h"), ("<", "\\l"))
 ROLE_ESCAPES = (*TEXT_ESCAPES, (":", "\\c"), ("\n", "\\n"))
@@ -41,6 +43,27 @@ def turn_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]")) + 3
 
 
+def window_starts(turns: Column, room: Column, budget: int) -> Column:
+    """Where windows begin in the turns of one segment: an array of ``p`` and ``nth``, in order.
+
+    ``turns`` is an array of ``p`` (prefix sum), ``nth`` and ``tokens``, in order. A window takes turns as long as the prefix
+    sum at their end keeps within its room, the whole budget where it begins the conversation, and one turn at least.
+    """
+    none = F.expr("cast(array() as array<struct<p: bigint, nth: bigint>>)")
+    begin = F.struct(F.lit(None).cast("long").alias("full"), none.alias("starts"))
+
+    def step(state: Column, t: Column) -> Column:
+        opens = F.coalesce(t["p"] + t["tokens"] > state["full"], F.lit(True))
+        full = t["p"] + F.when(t["nth"] == 1, F.lit(budget).cast("long")).otherwise(room)
+        start = F.array(F.struct(t["p"].alias("p"), t["nth"].alias("nth")))
+        return F.struct(
+            F.when(opens, full).otherwise(state["full"]).alias("full"),
+            F.when(opens, F.concat(state["starts"], start)).otherwise(state["starts"]).alias("starts"),
+        )
+
+    return F.aggregate(turns, begin, step, lambda s: s["starts"])
+
+
 def plan_windows(
     turns: DataFrame,
     budget: int = BUDGET,
@@ -49,83 +72,92 @@ def plan_windows(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
+    tokens: str | None = None,
 ) -> DataFrame:
     """Turns as they are written: ``conv_id, window, place`` (0 system, 1 history, 2 new), ``nth`` in the conversation, ``role, text``.
 
-    Turns are ordered by number (nulls first), then role and text; null roles and texts are empty. With P the tokens
-    of all turns before a turn, its window is P divided by the stride, so windows follow from prefix sums alone and begin and
-    end with whole turns. The stride is half of what system turn and history leave of the budget, so a window keeps to
-    its budget unless one turn alone is longer than the stride; such a turn is kept whole. A first turn of the role ``system``
-    is repeated in every later window. So are the last turns before a window whose tokens together fit into ``history``.
+    Turns are ordered by number (nulls first), then role, text and tokens; null roles and texts are empty. ``tokens`` names a column with
+    the tokens of each turn as it is written (of ``count_tokens``, say); without it ``turn_tokens`` counts them. Null or less
+    than one counts as one.
+
+    With P the tokens of all turns before a turn, a window takes new turns from its start on while P at their end is within
+    what system turn and history leave of the budget (within the whole budget in the first window, which repeats nothing). So it keeps
+    to the budget unless one turn alone is longer than that; such a turn is kept whole. Windows begin anew where P
+    reaches a multiple of ``SEGMENT`` times that room, so at most one window in a segment is not full. ``window`` is the number of
+    turns before its first new one. A first turn of the role ``system`` is repeated in every later window. So are the last turns
+    before a window whose tokens together fit into ``history``.
 
-    Prefix sums are taken over runs of turn numbers and then over the runs, system turns and window starts are joined
-    back by key, and a turn is copied to the few windows its tokens can reach, so no conversation is collected.
+    Prefix sums are taken over runs of turn numbers and then over the runs, so no conversation is collected: what is, is the
+    sizes of the turns of a segment, which holds a bounded number of tokens. Turns meet the windows of their segment, and of the few
+    that history can reach, by key; a system turn meets those of all segments, each by itself.
     """
+    size = turn_tokens(F.col(f"`{text}`")) if tokens is None else F.col(f"`{tokens}`")
     rows = turns.select(
         F.col(f"`{conv_id}`").alias("conv_id"),
         F.col(f"`{turn}`").cast("long").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+        (F.coalesce(size, F.lit(3)) if tokens is None else F.greatest(F.lit(1), size)).cast("long").alias("tokens"),
     )
     # Null ids are one conversation; joins need a key that is never null.
     rows = rows.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("-")))
     rows = rows.withColumn("run", F.coalesce(F.floor(F.col("turn") / RUN), F.lit(-(2**62))))
-    rows = rows.withColumn("tokens", turn_tokens(F.col("text")).cast("long"))
-    ordered = ("turn", "role", "text")
+    ordered = ("turn", "role", "text", "tokens")
     inside = Window.partitionBy("key", "run").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.select(
         "*",
         F.coalesce(F.sum("tokens").over(inside), F.lit(0)).alias("in_run"),
         F.row_number().over(Window.partitionBy("key", "run").orderBy(*ordered)).alias("nth_in_run"),
     )
+    placed = written(placed, "chat-turns")
     runs = placed.groupBy("key", "run").agg(
         F.sum("tokens").alias("run_tokens"),
         F.count("*").alias("run_turns"),
-        F.min(F.when(F.col("nth_in_run") == 1, F.struct("role", "text", "tokens"))).alias("first"),
+        F.max(F.when((F.col("nth_in_run") == 1) & (F.col("role") == SYSTEM), F.col("tokens"))).alias("opens"),
     )
     before = Window.partitionBy("key").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    opens = F.first("first").over(Window.partitionBy("key").orderBy("run").rowsBetween(Window.unboundedPreceding, 0))
+    first = Window.partitionBy("key").orderBy("run").rowsBetween(Window.unboundedPreceding, 0)
     runs = runs.select(
         "key",
         "run",
         F.coalesce(F.sum("run_tokens").over(before), F.lit(0)).alias("tokens_before"),
         F.coalesce(F.sum("run_turns").over(before), F.lit(0)).alias("turns_before"),
-        F.when(opens["role"] == SYSTEM, opens).alias("system"),
+        F.sum("run_tokens").over(Window.partitionBy("key")).alias("all_tokens"),
+        F.first("opens").over(first).alias("system_tokens"),
     )
-    system_tokens = F.coalesce(F.col("system.tokens"), F.lit(0))
-    stride = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - system_tokens) / 2))
+    left = F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0))
     known = placed.join(runs, ["key", "run"]).select(
         "key",
         "conv_id",
         "role",
         "text",
         "tokens",
-        "system",
         (F.col("tokens_before") + F.col("in_run")).alias("p"),
         (F.col("turns_before") + F.col("nth_in_run")).alias("nth"),
-        stride.alias("stride"),
+        F.greatest(F.lit(1).cast("long"), left).alias("room"),
+        "all_tokens",
+        F.col("system_tokens").isNotNull().alias("has_system"),
     )
-    known = known.withColumn("window", F.floor(F.col("p") / F.col("stride")))
-    # A window starts where its first new turn does; a turn is history of the windows that start within its reach.
-    reach = F.floor((F.col("p") + F.lit(history)) / F.col("stride"))
-    is_system = (F.col("nth") == 1) & F.col("system").isNotNull()
-    copies = F.when(is_system, F.array("window")).otherwise(F.sequence("window", F.greatest("window", reach)))
-    spread = known.withColumn("to", F.explode(copies))
-    starts = known.groupBy("key", "window").agg(F.min("p").alias("start"), F.min("nth").alias("start_nth"))
-    starts = starts.withColumnRenamed("window", "to")
-    # Turns of one conversation may be very many: the join can split them, its other side has one row per window.
-    met = spread.join(starts, ["key", "to"])
-    own = F.col("to") == F.col("window")
-    met = met.where(own | (F.col("start") - F.col("p") <= history))
-    shown = met.select(
-        "conv_id", F.col("to").alias("window"), F.when(own, 2).otherwise(1).alias("place"), "nth", "role", "text"
+    segment = lambda p: F.floor(p / (F.col("room") * SEGMENT))
+    known = known.withColumn("segment", segment(F.col("p")))
+    known = written(known, "chat-known")
+    sizes = known.groupBy("key", "segment").agg(F.sort_array(F.collect_list(F.struct("p", "nth", "tokens"))).alias("turns"), F.max("room").alias("room"))
+    starts = sizes.select("key", F.col("segment").alias("to"), window_starts(F.col("turns"), F.col("room"), budget).alias("starts"))
+    is_system = (F.col("nth") == 1) & F.col("has_system")
+    reach = F.when(is_system, segment(F.col("all_tokens"))).otherwise(segment(F.col("p") + history))
+    spread = known.withColumn("system", is_system).withColumn("to", F.explode(F.sequence("segment", reach)))
+    # Turns of one conversation may be very many: a segment is a key of its own, and the other side has one row for it.
+    met = spread.drop("tokens", "room", "all_tokens", "has_system").join(starts, ["key", "to"])
+    own = F.filter("starts", lambda s: (F.col("to") == F.col("segment")) & (s["nth"] <= F.col("nth")))
+    later = F.filter("starts", lambda s: (s["nth"] > F.col("nth")) & (F.col("system") | (s["p"] - F.col("p") <= history)))
+    shown = lambda place: lambda s: F.struct((s["nth"] - 1).alias("window"), place.alias("place"))
+    copies = F.concat(
+        F.transform(F.slice(own, -1, 1), shown(F.lit(2))),
+        F.transform(later, shown(F.when(F.col("system"), 0).otherwise(1))),
     )
-    first = known.where(is_system).select("key", "conv_id", F.col("system.role").alias("role"), F.col("system.text").alias("text"))
-    again = starts.where("start_nth > 1").join(first, "key")
-    repeated = again.select(
-        "conv_id", F.col("to").alias("window"), F.lit(0).alias("place"), F.lit(1).cast("long").alias("nth"), "role", "text"
+    return met.select("conv_id", F.explode(copies).alias("in"), "nth", "role", "text").select(
+        "conv_id", "in.window", "in.place", "nth", "role", "text"
     )
-    return shown.union(repeated)
 
 
 def format_windows(planned: DataFrame) -> DataFrame:
@@ -160,7 +192,7 @@ def format_windows(planned: DataFrame) -> DataFrame:
     )
 
 
-def format_conversations(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, **columns: str) -> DataFrame:
+def format_conversations(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, **columns: str | None) -> DataFrame:
     """Conversations as windows of formatted text with a loss mask, as a written table. No turns give no windows.
 
     Extra columns are not read. Repeated rows are turns of their own.

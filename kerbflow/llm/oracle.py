@@ -136,7 +136,7 @@ SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, do
 # --- op10 -----------------------------------------------------------------------------------------
 
 CHAT = """
-WITH turns AS (
+WITH RECURSIVE turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')
 ),
@@ -152,14 +152,23 @@ summed AS (
         CASE WHEN first_role = 'system' THEN first_value(chars) OVER (PARTITION BY conv_id ORDER BY nth) ELSE 0 END AS system_chars
     FROM sized
 ),
-placed AS (SELECT *, p // greatest(1, (384 - system_tokens) // 2) AS win FROM summed),
-starts AS (SELECT conv_id, win, min(p) AS start, min(nth) AS start_nth, any_value(system_chars) AS system_chars FROM placed GROUP BY ALL),
+roomy AS (SELECT *, greatest(1, 384 - system_tokens) AS room, p // (32 * greatest(1, 384 - system_tokens)) AS segment FROM summed),
+placed AS (SELECT *, max(nth) OVER (PARTITION BY conv_id, segment) AS last_nth FROM roomy),
+hops AS (
+    SELECT s.conv_id, s.nth, s.p, s.system_chars, least(s.last_nth + 1, greatest(s.nth + 1, coalesce(t.nth, s.last_nth + 1))) AS next_nth
+    FROM placed s ASOF LEFT JOIN placed t
+        ON s.conv_id = t.conv_id AND s.p + CASE WHEN s.nth = 1 THEN 512 ELSE s.room END < t.p + t.tokens
+),
+starts AS (
+    SELECT * FROM hops WHERE nth = 1
+    UNION ALL SELECT h.* FROM starts w JOIN hops h ON h.conv_id = w.conv_id AND h.nth = w.next_nth
+),
 history AS (
     SELECT conv_id, sum(chars) AS chars
     FROM (
-        SELECT s.conv_id, t.chars FROM starts s JOIN placed t ON s.conv_id = t.conv_id AND t.win < s.win
-            AND s.start - t.p <= 128 AND NOT (t.nth = 1 AND t.first_role = 'system')
-        UNION ALL SELECT conv_id, system_chars FROM starts WHERE start_nth > 1
+        SELECT s.conv_id, t.chars FROM starts s JOIN placed t ON s.conv_id = t.conv_id AND t.nth < s.nth
+            AND s.p - t.p <= 128 AND NOT (t.nth = 1 AND t.first_role = 'system')
+        UNION ALL SELECT conv_id, system_chars FROM starts WHERE nth > 1
     ) GROUP BY conv_id
 )
 SELECT conv_id, count(*) AS n_turns,

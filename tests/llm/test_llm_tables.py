@@ -6,6 +6,7 @@ import gzip
 import random
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -238,6 +239,54 @@ def test_windows_keep_to_budget_and_turns(spark):
     assert digest_conversations(format_conversations(turns.limit(0))).count() == 0
 
 
+def greedy_windows(sizes, system, budget, history):
+    """(window, place, nth) of one conversation, turn after turn."""
+    at = [sum(sizes[:i]) for i in range(len(sizes))]
+    room = max(1, budget - history - (sizes[0] if system else 0))
+    starts, full = [], None
+    for i, size in enumerate(sizes):
+        border = i and at[i] // (32 * room) != at[i - 1] // (32 * room)
+        if full is None or border or at[i] + size > full:
+            starts.append(i)
+            full = at[i] + (room if i else budget)
+    rows = set()
+    for k, s in enumerate(starts):
+        end = starts[k + 1] if k + 1 < len(starts) else len(sizes)
+        rows |= {(s, 2, i + 1) for i in range(s, end)}
+        rows |= {(s, 1, i + 1) for i in range(bool(system), s) if at[s] - at[i] <= history}
+        rows |= {(s, 0, 1)} if system and s else set()
+    return rows
+
+
+@pytest.mark.parametrize(("budget", "history"), [(300, 60), (100, 20), (40, 39)])
+def test_windows_fill_their_budget_by_given_counts(spark, budget, history):
+    """Token counts of a column, among them null, none and some above the budget, against a walk turn by turn."""
+    rng = random.Random(budget)
+    counts = {c: [rng.choice([None, 0, 1, 5, 30, rng.randrange(1, 80), rng.choice([9, 900])]) for _ in range(n)] for c, n in enumerate((1, 2, 700, 1500))}
+    rows = [(c, i, "system" if i == 0 and c % 2 else "user", f"t{i}", n) for c, sizes in counts.items() for i, n in enumerate(sizes)]
+    turns = spark.createDataFrame(rows, TURNS + ", n int").repartition(5)
+    found = {}
+    for r in plan_windows(turns, budget, history, tokens="n").collect():
+        assert r.text == f"t{r.nth - 1}"
+        assert (r.window, r.place, r.nth) not in found.setdefault(r.conv_id, set())
+        found[r.conv_id].add((r.window, r.place, r.nth))
+    for c, sizes in counts.items():
+        assert found[c] == greedy_windows([max(1, n or 0) for n in sizes], bool(c % 2), budget, history)
+
+
+def test_long_conversations_against_sql(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [
+        (c, i, "system" if i == 0 and c % 2 else ("user", "assistant")[i % 2], "word, # <b\\\\ " * rng.randrange(0, 40) + rng.choice(["", "x " * 600 * (c % 3)]))
+        for c, n in ((1, 900), (2, 300), (5, 40), (6, 1))
+        for i in range(n)
+    ]
+    spark.createDataFrame(rows, TURNS).repartition(3).write.parquet(str(tmp_path / "turns"))
+    duckdb.execute(f"COPY (SELECT * FROM read_parquet('{tmp_path}/turns/*.parquet')) TO '{tmp_path}/conversations.parquet'")
+    found = spark_rows(QUERIES["op10_chat_format"](spark, str(tmp_path)))
+    assert len(found[1]) == 5 and found == duck_rows(SQL["op10_chat_format"], str(tmp_path))
+
+
 # --- pipeline -------------------------------------------------------------------------------------
 
 
