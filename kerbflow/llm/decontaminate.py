@@ -9,13 +9,16 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import put, ready, resident, text_column
+from kerbflow.llm.common import put, ready, resident, text_column, written
+from kerbflow.session import scratch_dir
 
 ERROR_RATE = 0.1
 BLOCK_CHARS = 4_000_000
+#: Blocks that a task cuts, on average.
+GROUP_BLOCKS = 8
 WORD = re.compile(r"\w+")
 LEAKS = "array<struct<item_id bigint, start int, end int, distance int>>"
 LEAK_KIND = pa.list_(
@@ -116,7 +119,7 @@ class Matcher:
             if best:
                 end, distance = best
                 found.append((item_id, max(0, end - length - distance), end, distance))
-        return sorted(found)
+        return sorted(found, key=lambda f: (f[0] is not None, f[0] or 0, *f[1:]))
 
     @staticmethod
     def _distances(text: str, low: int, high: int, length: int, masks: dict[str, int]) -> Iterator[tuple[int, int]]:
@@ -140,17 +143,28 @@ class Matcher:
             yield at + 1, distance
 
 
-def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of a bounded number of characters (or one longer item)."""
-    block, held = [], 0
-    for row in items.toLocalIterator():
-        text = plain(row[1])
-        if block and held + len(text) > block_chars:
-            yield block
-            block, held = [], 0
-        block.append((row[0], text))
-        held += len(text)
-    yield block
+def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, list[str]]:
+    """Items (``item_id``, ``text``) as a written table ``item_id, body, block``, and the names of its blocks.
+
+    ``body`` is the plain form; items without a word are left out, and rows equal in id and body count once. A block has at most
+    ``block_chars`` characters before its last item. Items are dealt out by a hash into groups of some blocks each, and a
+    group is cut by its running sum of characters, so neither the driver nor one task goes through them all.
+    """
+    spark = ready(items.sparkSession)
+    bodies = text_column(lambda texts: [plain(t) for t in texts], "string", pa.string())(F.col("text"))
+    cleaned = written(items.select(F.col("item_id").cast("long").alias("item_id"), bodies.alias("body")), "leak-items")
+    once = cleaned.where("body <> ''").distinct().withColumn("chars", F.length("body").cast("long"))
+    total = once.agg(F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first().chars
+    groups = total // (GROUP_BLOCKS * block_chars) + 1
+    mixed = F.xxhash64("item_id", "body")
+    dealt = once.withColumn("group", F.pmod(mixed, F.lit(groups))).withColumn("mixed", mixed)
+    before = Window.partitionBy("group").orderBy("mixed", "item_id", "body").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.floor(F.coalesce(F.sum("chars").over(before), F.lit(0)) / block_chars)
+    named = dealt.select("item_id", "body", F.concat_ws("-", F.lit("block"), "group", part).alias("block"))
+    path = scratch_dir(spark, "leak-blocks")
+    named.write.partitionBy("block").parquet(path)
+    stored = spark.read.schema(named.schema).parquet(path)
+    return stored, sorted(r.block for r in stored.select("block").distinct().collect())
 
 
 def find_leaks(
@@ -166,20 +180,39 @@ def find_leaks(
     """``docs`` with ``leaks``: the items that each whole text holds within the error budget, by item_id.
 
     Both sides are compared as lower-case words with single spaces. Places are code points of that form; ``start`` is a lower
-    bound of where the match begins. Null and empty texts hold nothing, items without a word match nothing, items with a
-    null id are given with it, repeated items once each. No items, or no documents, is no leak. A column named ``to`` is
-    replaced, others stay.
-
-    Items travel to the tasks in blocks of at most ``block_chars`` characters, which bounds what is broadcast and
-    what the driver holds; more items mean more blocks, each of which is matched against all texts.
+    bound of where the match begins. Of equally good matches of an item the one that ends first is given. Null and empty texts
+    hold nothing, items without a word match nothing, items with a null id are given with it, before all others; items
+    equal in id and words count once, items of one id and other words by themselves. No items, or no documents, is no leak. A
+    column named ``to`` is replaced, others stay.
+
+    Items travel to the tasks in blocks of at most ``block_chars`` characters and one item. One block is
+    a column of the result. More are matched one after another: each pass reads the texts, writes what it
+    found and gives its block back before the next, so an executor holds one block at any time; what the
+    passes found is put together by document at the end.
     """
     spark = ready(docs.sparkSession)
-    chosen = items.select(F.col(f"`{item_id}`"), F.col(f"`{item_text}`"))
-    columns = []
-    for block in _blocks(chosen, block_chars):
-        columns.append(_column(spark.sparkContext.broadcast(block), error_rate)(F.col(f"`{text}`")))
-    leaks = columns[0] if len(columns) == 1 else F.sort_array(F.concat(*columns))
-    return put(docs, to, leaks)
+    stored, names = item_blocks(items.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{item_text}`").alias("text")), block_chars)
+
+    def sent(name: str):
+        return spark.sparkContext.broadcast([tuple(r) for r in stored.where(F.col("block") == name).select("item_id", "body").collect()])
+
+    if not names:
+        return put(docs, to, F.expr(f"cast(array() as {LEAKS})"))
+    if len(names) == 1:
+        return put(docs, to, _column(sent(names[0]), error_rate)(F.col(f"`{text}`")))
+    # Numbers are fixed by being written; other columns are kept aside, whatever their names.
+    numbered = written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "leak-docs")
+    path = scratch_dir(spark, "leaks")
+    for name in names:
+        block = sent(name)
+        found = numbered.select("row", _column(block, error_rate)(F.col(f"doc.`{text}`")).alias("leaks"))
+        found.where(F.size("leaks") > 0).write.parquet(f"{path}/{name}")
+        block.destroy()
+    found = spark.read.schema(found.schema).parquet(*[f"{path}/{name}" for name in names])
+    leaks = found.groupBy("row").agg(F.sort_array(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    joined = numbered.join(leaks, "row", "left")
+    value = F.coalesce("leaks", F.expr(f"cast(array() as {LEAKS})")).alias(to)
+    return joined.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != to.lower()], value)
 
 
 def _column(block, error_rate: float):

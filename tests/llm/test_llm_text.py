@@ -17,7 +17,7 @@ from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Tokenizer
 
 from kerbflow.llm import langid
-from kerbflow.llm.decontaminate import Matcher, find_leaks, plain
+from kerbflow.llm.decontaminate import Matcher, find_leaks, item_blocks, plain
 from kerbflow.llm.langid import LanguageModel, fold, identify_language, sample_texts, train
 from kerbflow.llm.pieces import Pieces
 from kerbflow.llm.queries import QUERIES
@@ -273,10 +273,32 @@ def test_leaks_of_odd_rows_and_blocks(spark):
     for block_chars in (10, 10**6):
         found = {r.doc_id: [leak.item_id for leak in r.leaks] for r in find_leaks(docs, items, block_chars=block_chars).collect()}
         assert {k: v for k, v in found.items() if v} == {50: [1], 51: [None]}
+    both = docs.select(F.lit("One two three four five six; alpha beta gamma delta epsilon").alias("text")).limit(1)
+    twice = items.union(items)  # repeated items count once, null ids come first
+    for block_chars in (10, 10**6):
+        assert [leak.item_id for leak in find_leaks(both, twice, block_chars=block_chars).first().leaks] == [None, 1]
     assert find_leaks(docs, items.limit(0)).where(F.size("leaks") > 0).count() == 0
     assert find_leaks(docs.limit(0), items).count() == 0
 
 
+def test_leaks_by_many_blocks_equal_one_block(spark):
+    """All columns and rows, repeated ones too, whatever the number of blocks; blocks keep to their bound."""
+    rng = random.Random(4)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(n))
+    texts = [words(rng.randint(6, 14)) for _ in range(120)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string").repartition(4)
+    rows = [(i % 70, " ".join([words(8), *rng.sample(texts, i % 4), words(5)]).replace("a", "a" if i % 3 else "A"), i) for i in range(90)]
+    rows += [(None, None, 1), (3, "", 2), (3, "", 2), (5, texts[0] + " " + texts[0], 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `row` int").withColumn("Leaks", F.lit(0)).withColumn("doc", F.lit("x"))
+    stored, names = item_blocks(items, 400)
+    assert stored.count() == 120 and len(names) > 10
+    assert all(r.n <= 400 + 14 * 8 for r in stored.groupBy("block").agg(F.sum(F.length("body")).alias("n")).collect())
+    one, many = find_leaks(docs, items), find_leaks(docs, items, block_chars=400)
+    assert one.columns == many.columns == ["doc_id", "text", "row", "doc", "leaks"]
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+    assert one.where(F.size("leaks") > 1).count() > 30 and one.count() == len(rows)
+
+
 # --- secrets --------------------------------------------------------------------------------------
 
 
