@@ -133,6 +133,31 @@ classes AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a)
 SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, doc_id = class_id AS kept FROM classes
 """
 
+# The same over counts of runs: the smaller counts of a pair against the larger ones.
+MINHASH_OF_COUNTS = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents
+),
+runs AS (
+    SELECT doc_id, unnest(
+        CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS run
+    FROM words
+),
+counted AS (SELECT doc_id, hash(run) AS run, count(*) AS times FROM runs GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(times) AS n FROM counted GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.times, b.times)) AS n
+    FROM counted a JOIN counted b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id WHERE shared.n >= 0.8 * (s.n + t.n - shared.n)
+),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+classes AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a)
+SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, doc_id = class_id AS kept FROM classes
+"""
+
 # --- op10 -----------------------------------------------------------------------------------------
 
 CHAT = """
@@ -251,6 +276,7 @@ SQL = {
     "op3_warc": WARC,
     "op4_embedding_dedup": VECTORS,
     "op9_minhash_dedup": MINHASH,
+    "minhash_dedup_by_counts": MINHASH_OF_COUNTS,
     "op10_chat_format": CHAT,
     "op11_importance_resampling": RESAMPLING,
     "op12_line_dedup": LINES,

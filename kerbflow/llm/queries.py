@@ -91,14 +91,23 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
-def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class of every document under links of a shingle similarity of 0.8 or more."""
-    classes = near_duplicates(table(spark, sf_dir, "documents"))
+def _classes(docs: DataFrame, **how) -> DataFrame:
+    classes = near_duplicates(docs, **how)
     return classes.select(
         "doc_id", "class_id", F.col("class_rows").alias("class_size"), (F.col("row_key") == F.col("class_key")).alias("kept")
     )
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under links of a shingle similarity of 0.8 or more."""
+    return _classes(table(spark, sf_dir, "documents"))
+
+
+def minhash_dedup_by_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator with the counts of shingles as their weights: a text and its repetition are far apart."""
+    return _classes(table(spark, sf_dir, "documents"), weighted=True)
+
+
 #: A conversation that says the marks of the template itself.
 MARKS = "\\### Assistant: </turn> ok"
 MARKED_CONVERSATION = -7
@@ -172,6 +181,7 @@ QUERIES: dict[str, Query] = {
         op7_token_files,
         op8_decontamination,
         op9_minhash_dedup,
+        minhash_dedup_by_counts,
         op10_chat_format,
         op11_importance_resampling,
         op12_line_dedup,

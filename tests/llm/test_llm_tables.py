@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import random
+import string
 from itertools import combinations
 
 import duckdb
@@ -207,6 +208,28 @@ def test_signatures_agree_as_weighted_jaccard():
     assert abs(np.mean(shares) - wanted) < 0.05
 
 
+def test_classes_by_counts_against_sql(spark, tmp_path):
+    """Texts that repeat parts of themselves a different number of times: one class as sets, several by counts."""
+    rng = random.Random(21)
+    words = lambda n: [rng.choice(string.ascii_lowercase) + str(rng.randrange(400)) for _ in range(n)]
+    texts = [None, "", "one two", "one two", "!!"]
+    for _ in range(30):
+        whole = words(rng.randrange(20, 60))
+        for times in (1, 1, 2, 2, 3, 8, 9, 30):
+            repeated = whole * times
+            for _ in range(rng.randrange(0, 1 + len(repeated) // 80)):
+                repeated[rng.randrange(len(repeated))] = "x" + str(rng.randrange(50))
+            texts.append(" ".join(repeated))
+    rng.shuffle(texts)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").toPandas().to_parquet(tmp_path / "documents.parquet")
+    found = {}
+    for name in ("op9_minhash_dedup", "minhash_dedup_by_counts"):
+        found[name] = spark_rows(QUERIES[name](spark, str(tmp_path)))
+        assert found[name] == duck_rows(SQL[name], str(tmp_path))
+    classes = [len({row[found[name][0].index("class_id")] for row in found[name][1]}) for name in found]
+    assert classes[0] + 20 < classes[1] < len(texts) - 50
+
+
 # --- chat -----------------------------------------------------------------------------------------
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
