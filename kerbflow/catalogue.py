@@ -49,7 +49,15 @@ from kerbflow.plans import (
     typed_trip_aggregates,
     write_chunks,
 )
-from kerbflow.schema import AGGREGATE_SCHEMA, AGGREGATE_TABLE_TYPES, MESSAGE_SCHEMA, PICKUP_TIME, RAW_STORED_SCHEMA
+from kerbflow.schema import (
+    AGGREGATE_SCHEMA,
+    AGGREGATE_TABLE_TYPES,
+    EVENT_SCHEMA,
+    MESSAGE_SCHEMA,
+    PICKUP_TIME,
+    RAW_STORED_SCHEMA,
+    ZONE_SCHEMA,
+)
 from kerbflow.session import scratch_dir, use_utc
 from kerbflow.sinks import (
     BatchFolderSink,
@@ -63,7 +71,17 @@ from kerbflow.sinks import (
     read_rejects,
     read_results,
 )
-from kerbflow.sources import read_changelog, read_committed, read_message_files, read_mixed_trips, read_trips, stream_message_files, stream_trips
+from kerbflow.sources import (
+    MixedTripsSink,
+    read_changelog,
+    read_committed,
+    read_message_files,
+    read_mixed_trips,
+    read_trips,
+    stream_file_names,
+    stream_message_files,
+    stream_trips,
+)
 from kerbflow.streaming import FeedMetrics, open_windows, read_feed_metrics, run_available_now, start, with_feed_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,10 +237,8 @@ def csv_stream_feed(spark, sf_dir):
     return decode_messages(written)
 
 
-@query
-def csv_mixed_headers(spark, sf_dir):
-    """One folder with files of three headers: coordinates, the same in another order, zone numbers and one column more."""
-    folder = scratch_dir(spark, "csv-mixed")
+def mixed_files(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Rows for files of three headers: coordinates, the same in another order, zone numbers and one column more."""
     events = fixtures.read_events(spark, sf_dir)
     gps = untidy_file(spark, sf_dir)
     zone = fixtures.trip_events(events, keep=("event_id", "user_id")).select(
@@ -234,10 +250,25 @@ def csv_mixed_headers(spark, sf_dir):
         F.col("event_id").cast("string").alias("Event_ID"),
     )
     third = lambda df, column, n: df.filter(F.col(column).cast("long") % 3 == n)
-    kinds = (third(gps, "Event ID", 0), third(gps.select(*reversed(gps.columns)), "Event ID", 1), third(zone, "Event_ID", 2))
-    for kind in kinds:
-        kind.write.mode("append").option("header", True).csv(folder)
-    trips = read_mixed_trips(spark, folder, lambda df: canonical_trips(normalise_columns(df)))
+    return [third(gps, "Event ID", 0), third(gps.select(*reversed(gps.columns)), "Event ID", 1), third(zone, "Event_ID", 2)]
+
+
+MIXED_SCHEMA = T.StructType(
+    [*EVENT_SCHEMA.fields, *ZONE_SCHEMA.fields, T.StructField("event_id", T.StringType()), T.StructField("vendorid", T.StringType())]
+)
+
+
+def in_shape(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, NULL where there is none, so that every batch of files gives the same."""
+    known = lambda name: F.col(name) if name in df.columns else F.lit(None)
+    return df.select(*[known(spec.name).cast(spec.dataType).alias(spec.name) for spec in schema])
+
+
+def mixed_trips(trips: DataFrame) -> DataFrame:
+    return canonical_trips(normalise_columns(trips))
+
+
+def located_rows(trips: DataFrame) -> DataFrame:
     located = with_locations(with_event_time(trips), by="grid_or_zone")
     return located.select(
         F.col("event_id").cast("bigint").alias("event_id"),
@@ -249,6 +280,27 @@ def csv_mixed_headers(spark, sf_dir):
     )
 
 
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """One folder with files of three headers."""
+    folder = scratch_dir(spark, "csv-mixed")
+    for kind in mixed_files(spark, sf_dir):
+        kind.write.mode("append").option("header", True).csv(folder)
+    return located_rows(read_mixed_trips(spark, folder, mixed_trips))
+
+
+@query
+def csv_stream_mixed_headers(spark, sf_dir):
+    """The same folder followed as a stream that was begun before the second and third header were there."""
+    folder = scratch_dir(spark, "csv-stream-mixed")
+    sink = CommittedSink(f"{folder}/trips", prepare=lambda df: df, stamp=None)
+    sink = MixedTripsSink(sink, lambda df: in_shape(mixed_trips(df), MIXED_SCHEMA))
+    for kind in mixed_files(spark, sf_dir):
+        kind.write.mode("append").option("header", True).csv(f"{folder}/files")
+        run_available_now(stream_file_names(spark, f"{folder}/files"), sink, f"{folder}/checkpoint", output_mode="append")
+    return located_rows(read_committed(spark, f"{folder}/trips", MIXED_SCHEMA))
+
+
 @query
 def encode_decode_json(spark, sf_dir):
     return decode_messages(messages(spark, sf_dir), keep=("partition", "offset"))

@@ -182,6 +182,13 @@ SELECT id,
   CASE WHEN cut THEN substr({PAYLOAD}, 1, 40) ELSE {PAYLOAD} END AS payload
 FROM damaged WHERE cut OR no_time OR pickup_location IS NULL"""
 
+MIXED = f"""WITH {TRIPS}
+SELECT event_id, ts AS event_time,
+  CASE WHEN event_id % 3 = 2 THEN 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR)
+    ELSE CAST(round(pickup_latitude, 2) AS VARCHAR) || ',' || CAST(round(pickup_longitude, 2) AS VARCHAR) END AS pickup_location,
+  trip_distance, fare_amount, CASE WHEN event_id % 3 = 2 THEN '2' END AS vendor
+FROM trips WHERE event_type <> 'click' OR event_id % 3 = 2"""
+
 SQL: dict[str, str] = {
     "normalise_headers": """SELECT event_id, ts AS tpep_pickup_datetime, user_id, event_type,
   value AS fare_amount, props FROM events""",
@@ -189,12 +196,8 @@ SQL: dict[str, str] = {
     "csv_feed": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
     "csv_time_formats": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
     "csv_stream_feed": f"WITH {TRIPS} {UNTIDY} FROM trips WHERE event_type <> 'click'",
-    "csv_mixed_headers": f"""WITH {TRIPS}
-SELECT event_id, ts AS event_time,
-  CASE WHEN event_id % 3 = 2 THEN 'zone:' || CAST(user_id % 265 + 1 AS VARCHAR)
-    ELSE CAST(round(pickup_latitude, 2) AS VARCHAR) || ',' || CAST(round(pickup_longitude, 2) AS VARCHAR) END AS pickup_location,
-  trip_distance, fare_amount, CASE WHEN event_id % 3 = 2 THEN '2' END AS vendor
-FROM trips WHERE event_type <> 'click' OR event_id % 3 = 2""",
+    "csv_mixed_headers": MIXED,
+    "csv_stream_mixed_headers": MIXED,
     "encode_decode_json": f'WITH {TRIPS} SELECT {FIELDS}, "partition", "offset" FROM trips',
     "enrich_events": f"""WITH {TRIPS}
 SELECT "partition", "offset", ts AS event_time, pickup_location, dropoff_location FROM located""",

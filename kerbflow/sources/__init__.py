@@ -2,7 +2,7 @@
 
 from kerbflow.sources.committed import read_attempts, read_committed
 from kerbflow.sources.delimited import read_trips, stream_trips
-from kerbflow.sources.headers import files_by_header, read_mixed_trips, read_trip_groups
+from kerbflow.sources.headers import MixedTripsSink, files_by_header, read_mixed_trips, read_trip_groups, stream_file_names
 from kerbflow.sources.messages import (
     kafka_read_options,
     kafka_stream_options,
@@ -14,6 +14,7 @@ from kerbflow.sources.messages import (
 from kerbflow.sources.tables import read_changelog, read_jdbc_table
 
 __all__ = [
+    "MixedTripsSink",
     "files_by_header",
     "kafka_read_options",
     "kafka_stream_options",
@@ -26,6 +27,7 @@ __all__ = [
     "read_mixed_trips",
     "read_trip_groups",
     "read_trips",
+    "stream_file_names",
     "stream_kafka",
     "stream_message_files",
     "stream_trips",

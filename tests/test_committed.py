@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbflow.config import FlowConfig
 from kerbflow.operators import canonical_trips, drop_null_location, latest_versions, normalise_columns
@@ -26,7 +27,7 @@ from kerbflow.plans import (
 )
 from kerbflow.schema import AGGREGATE_SCHEMA
 from kerbflow.sinks import CommittedRawSink, CommittedSink, LateRowsSink, commits, read_late_rows, read_raw_events, read_rejects, read_results
-from kerbflow.sources import files_by_header, read_committed, read_mixed_trips, stream_message_files
+from kerbflow.sources import MixedTripsSink, files_by_header, read_committed, read_mixed_trips, stream_file_names, stream_message_files
 from kerbflow.storage import get_text, names_in, put_text
 from kerbflow.streaming import FeedMetrics, open_windows, read_feed_metrics, run_available_now, state_operators, with_feed_metrics
 from test_streams import LATE, payload, write_topic
@@ -322,6 +323,36 @@ def test_a_folder_without_files(spark, tmp_path):
         read_mixed_trips(spark, str(tmp_path), canonical_trips)
 
 
+def test_files_of_new_headers_join_a_stream(spark, tmp_path):
+    """Headers that nobody knew at the start, names with odd signs, empty files; a second run reads nothing twice."""
+    folder, names = tmp_path / "files", ["pickup_longitude", "pulocationid", "trip_distance"]
+    folder.mkdir()
+    prepare = lambda df: canonical_trips(normalise_columns(df))
+    fixed = lambda df: df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in names])
+    counts = []
+    sink = CommittedSink(f"{tmp_path}/trips", prepare=lambda df: df, stamp=None)
+    follow = lambda: run_available_now(
+        stream_file_names(spark, str(folder), max_files=2), MixedTripsSink(sink, lambda df: fixed(prepare(df))), f"{tmp_path}/cp", output_mode="append"
+    )
+    arrivals = [
+        {"a b%20 [1].csv": "tpep_pickup_datetime,pickup_longitude\n2024-01-01 10:00:00,1\n", "c.csv": "Trip_Distance,Pickup Time\n7,2024-01-01 11:00:00\n"},
+        {"d{x}.csv": "PULocationID,tpep_pickup_datetime\n5,2024-01-01 12:00:00\n6,never\n", "e.csv": ""},
+        {"f.csv": ""},
+        {},
+        {"g?.csv": "tpep_pickup_datetime,pulocationid\n2024-01-01 12:00:00,8\n"},
+    ]
+    for files in arrivals:
+        for name, text in files.items():
+            (folder / name).write_text(text)
+        follow()
+        counts.append([c.rows for c in commits(spark, f"{tmp_path}/trips")])
+    assert counts == [[2], [2, 1], [2, 1, 0], [2, 1, 0], [2, 1, 0, 1]]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    found = {tuple(r) for r in read_committed(spark, f"{tmp_path}/trips", schema).select(*names).collect()}
+    assert found == {("1.0", None, None), (None, None, "7.0"), (None, "5", None), (None, "8", None)}
+    assert read_mixed_trips(spark, str(folder), prepare).count() == 4
+
+
 # --- raw events ------------------------------------------------------------------------------------------------
 
 
