@@ -19,6 +19,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -142,28 +143,55 @@ class Pieces:
     # --- ids ------------------------------------------------------------------------------------
 
     def ids_of_span(self, span: str) -> bytes:
-        """The ids of a span as 32-bit numbers. A short one ends before the first commit of ``stream`` would come."""
-        if len(span) > SHORT or not self.singles.issuperset(span):
-            return array("i", self.stream(span)).tobytes()
-        best, came = [0.0] + [NEVER] * len(span), [(0, 0)] * (len(span) + 1)
-        for last, (length, i, score) in self.automaton.iter(span):
-            score += best[last + 1 - length]
-            if score > best[last + 1]:
-                best[last + 1], came[last + 1] = score, (length, i)
-        ids, end = [], len(span)
-        while end:
-            length, i = came[end]
-            ids.append(i)
-            end -= length
-        return array("i", ids[::-1]).tobytes()
+        """The ids of a span as 32-bit numbers."""
+        return array("i", chain.from_iterable(self.commits(span))).tobytes()
 
     def stream(self, span: str) -> Iterator[int]:
-        """Ids of the best path, given out as soon as they are certain.
+        """Ids of the best path, given out as soon as they are certain."""
+        return chain.from_iterable(self.commits(span))
+
+    def commits(self, span: str) -> Iterator[list[int]]:
+        """The ids of the best path in runs, each given out when it is certain.
 
         Held are the positions since the last commit. When more than four times ``longest`` have come together,
         the paths of all positions where a piece may still start are followed back to the boundary on which they meet;
-        up to there the ids are final. What is held grows past that only while they do not meet.
+        up to there the ids are final. What is held grows past that only while they do not meet. The rest comes at the
+        end, and so does a span that is shorter than that.
         """
+        return self._commits_known(span) if self.singles.issuperset(span) else self._commits(span)
+
+    def _commits_known(self, span: str) -> Iterator[list[int]]:
+        """For spans in which every character is a piece, so that each position is the end of some match."""
+        base, best, came = 0, [0.0], [(0, -1, 0.0)]
+        limit = 4 * self.longest
+        for last, match in self.automaton.iter(span):
+            end = last + 1 - base
+            score = match[2] + best[end - match[0]]
+            if end < len(best):
+                if score > best[end]:
+                    best[end], came[end] = score, match
+                continue
+            if end > limit:
+                cut = self._meeting(came)
+                if cut:
+                    yield self._ids_known(came, cut)
+                    base, score = base + cut, score - best[cut]
+                    best, came = [b - best[cut] for b in best[cut:]], came[cut:]
+                limit = len(best) + 4 * self.longest
+            best.append(score)
+            came.append(match)
+        yield self._ids_known(came, len(came) - 1)
+
+    @staticmethod
+    def _ids_known(came: list[tuple[int, int, float]], end: int) -> list[int]:
+        ids = []
+        while end:
+            length, i, _ = came[end]
+            ids.append(i)
+            end -= length
+        return ids[::-1]
+
+    def _commits(self, span: str) -> Iterator[list[int]]:
         hits = self.automaton.iter(span)
         hit = next(hits, None)
         base, best, came = 0, [0.0], [(0, -1, "")]
@@ -187,14 +215,15 @@ class Pieces:
             if len(best) > limit:
                 cut = self._meeting(came)
                 if cut:
-                    before_unknown = yield from self._path(came, cut, before_unknown)
+                    yield self._ids(came, cut, before_unknown)
+                    before_unknown = bool(came[cut][2])
                     base += cut
                     best = [b - best[cut] for b in best[cut:]]
                     came = came[cut:]
                 limit = len(best) + 4 * self.longest
-        yield from self._path(came, len(came) - 1, before_unknown)
+        yield self._ids(came, len(came) - 1, before_unknown)
 
-    def _meeting(self, came: list[tuple[int, int, str]]) -> int:
+    def _meeting(self, came: list[tuple]) -> int:
         """The last boundary that the paths of all live positions share."""
         last = len(came) - 1
         live = set(range(max(0, last - self.longest + 1), last + 1))
@@ -204,18 +233,22 @@ class Pieces:
             live.add(far - came[far][0])
         return live.pop()
 
-    def _path(self, came: list[tuple[int, int, str]], end: int, before_unknown: bool) -> Iterator[int]:
+    def _ids(self, came: list[tuple[int, int, str]], end: int, before_unknown: bool = False) -> list[int]:
+        """Ids of the path to ``end``; an unknown character is its bytes, or one id for a run of them."""
         steps = []
         while end > 0:
             steps.append(came[end])
             end -= came[end][0]
+        ids = []
         for _, i, letter in reversed(steps):
-            if letter and self.byte_fallback:
-                yield from (self.bytes[b] for b in letter.encode())
-            elif not (letter and before_unknown):
-                yield i
+            if not letter:
+                ids.append(i)
+            elif self.byte_fallback:
+                ids.extend(self.bytes[b] for b in letter.encode())
+            elif not before_unknown:
+                ids.append(i)
             before_unknown = bool(letter)
-        return before_unknown
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_bytes(text), dtype="i4")

@@ -36,20 +36,25 @@ def texts(spark):
     return [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
 
 
-@pytest.fixture(scope="module")
-def unigram(tmp_path_factory):
-    """The public pieces as a unigram model whose scores single precision can add up exactly, for the library to follow."""
+def unigram_model(folder, score):
+    """The public pieces as a unigram model of other scores."""
     model = sentencepiece_model_pb2.ModelProto()
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
         model.ParseFromString(file.read())
     model.trainer_spec.model_type = 1
     for piece in model.pieces:
-        piece.score = max(piece.score, -40000.0)
-    path = tmp_path_factory.mktemp("model") / "unigram.model"
+        piece.score = score(piece.score)
+    path = folder / "unigram.model"
     path.write_bytes(model.SerializeToString())
     return str(path)
 
 
+@pytest.fixture(scope="module")
+def unigram(tmp_path_factory):
+    """Scores that single precision can add up exactly over some hundred pieces, for the library to follow."""
+    return unigram_model(tmp_path_factory.mktemp("model"), lambda score: max(score, -40000.0))
+
+
 def odd_docs(spark):
     rows = [(i, t, "en") for i, t in enumerate(ODD)] + [(None, "no id", None), (3, "a", "en"), (3, "a", "en")]
     return spark.createDataFrame(rows, DOCS)
@@ -66,6 +71,29 @@ def test_pieces_follow_the_library(unigram, texts):
         assert pieces.count(text) == len(ids)
 
 
+def test_whole_texts_follow_the_library(tmp_path, texts):
+    """Scores in steps of 1/64 down to -16, whose sums are exact over whole texts and often tie."""
+    model = unigram_model(tmp_path, lambda score: max(-16.0, round(score / 40) / 64))
+    pieces, library = Pieces(model), sentencepiece.SentencePieceProcessor(model_file=model)
+    rng = random.Random(8)
+    dense = ["".join(rng.choice("aeinsthlor") for _ in range(8000)), "ab" * 4000, "\U0001f600x" * 900]
+    whole = [t for t in [*texts, *(t for t in ODD if t), *dense] if len(t) < 15000]
+    assert sum(len(t) > 2000 for t in whole) > 10
+    for text in whole:
+        ids = library.encode(text)
+        assert pieces.encode(text).tolist() == ids
+        assert list(pieces.stream(pieces.normalise(text))) == ids
+        assert pieces.count(text) == len(ids)
+
+
+def test_stream_holds_a_bounded_window(texts):
+    pieces = Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(9)
+    for letters in ("aeinsthlor", "aeinst\U0001f600\n"):
+        runs = list(pieces.commits("".join(rng.choice(letters) for _ in range(50_000))))
+        assert len(runs) > 400 and max(map(len, runs)) < 8 * pieces.longest
+
+
 def best_score(pieces, text):
     best = [0.0] + [float("-inf")] * len(text)
     scores = {text[e - n + 1 : e + 1]: s for e, (n, _, s) in pieces.automaton.iter(text)}
@@ -79,7 +107,7 @@ def best_score(pieces, text):
 
 def test_stream_commits_the_best_path(texts):
     pieces = Pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    for text in [t[:400] for t in texts[:20]] + ["ab" * 300, "\n" * 200]:
+    for text in [*texts[:20], "ab" * 300, "\n" * 200]:
         normal = pieces.normalise(text)
         ids = list(pieces.stream(normal))
         assert ids == pieces.encode(text).tolist()
