@@ -37,8 +37,9 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'page {page_id}')}>"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """One for each page, address and payload, so that a revisit knows the id of the record it refers to."""
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, repr((page_id, url, digest)))}>"
 
 
 def one_line(value: str) -> str:
@@ -46,15 +47,18 @@ def one_line(value: str) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, revisit: bool, refers_to: int | None, date: str = DATE) -> bytes:
+def record(
+    page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, refers_url: str | None = None, date: str = DATE
+) -> bytes:
     """One record as one gzip member. A revisit keeps the HTTP header of its payload but not the payload."""
+    revisit = refers_to is not None
     digest = base32_sha1(payload)
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
     head = [
         WARC_VERSION,
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {record_id(page_id)}",
+        f"WARC-Record-ID: {record_id(page_id, url, digest)}",
         f"WARC-Date: {date}",
         f"Content-Type: {HTTP_TYPE}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -66,7 +70,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, revisit: bool,
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {refers_to}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to, refers_url, digest)}", f"X-Refers-To-Page-ID: {refers_to}"]
     packer = zlib.compressobj(6, zlib.DEFLATED, 16 + zlib.MAX_WBITS)
     return packer.compress("\r\n".join(head).encode() + CRLF + CRLF + block + CRLF + CRLF) + packer.flush()
 
@@ -159,12 +163,13 @@ def parsed(header: dict[str, str], block: bytes) -> dict:
 
 
 def plan_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> DataFrame:
-    """Pages as ``page_id, url, html, refers_to``: of equal payloads of at least ``least_bytes`` bytes all but the one
-    with the largest page_id refer to it.
+    """Pages as ``page_id, url, html, refers_to, refers_url``: of equal payloads of at least ``least_bytes`` bytes all but
+    the one with the largest page_id refer to it.
 
-    Equal payloads are told by SHA-256. Only digests that occur more than once are joined back, and a digest
-    with very many pages is split by the adaptive join, since its other side has one row. Rows that share the largest
-    page_id are responses all; so are rows of a group without any id.
+    A null html is an empty payload. Payloads of any length are compared whole, by SHA-256. Only digests that occur more than once are
+    joined back, and a digest with very many pages is split by the adaptive join, since its other side has one row. Rows
+    that share the largest page_id are responses all, and what refers to it means the one with the largest url; so are rows of a group
+    without any id. Extra columns are not read.
     """
     rows = pages.select(
         F.col(f"`{page_id}`").cast("long").alias("page_id"),
@@ -173,17 +178,19 @@ def plan_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     )
     rows = rows.withColumn("sha", F.sha2("html", 256))
     groups = rows.where(F.octet_length("html") >= least_bytes).groupBy("sha")
-    groups = groups.agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1 and newest is not null")
+    groups = groups.agg(F.max(F.struct("page_id", "url")).alias("newest"), F.count("*").alias("n")).where("n > 1 and newest.page_id is not null")
     found = rows.join(groups.select("sha", "newest"), "sha", "left")
-    older = F.col("newest").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("newest")))
-    return found.select("page_id", "url", "html", F.when(older, F.col("newest")).alias("refers_to"))
+    older = F.col("newest").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("newest.page_id")))
+    target = F.when(older, F.col("newest"))
+    return found.select("page_id", "url", "html", target["page_id"].alias("refers_to"), target["url"].alias("refers_url"))
 
 
 def write_warc(planned: DataFrame, folder: str, date: str = DATE) -> DataFrame:
     """Writes one file per task and returns their manifest (``path``, ``records``, ``bytes``).
 
     A file has the name of its attempt and enters the manifest, a table of its own, when its task has ended, so files of
-    lost executors are never read. Records are written one by one; no row more than one batch is held.
+    lost executors are never read. Records are written one by one, with their whole payloads; no row more than one batch is held.
+    Record ids are unique but for rows equal in id, url and payload, which are one record written again. Extra columns are not read.
     """
     ready(planned.sparkSession)
 
@@ -197,14 +204,14 @@ def write_warc(planned: DataFrame, folder: str, date: str = DATE) -> DataFrame:
                         system.create_dir(base, recursive=True)
                         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.warc.gz"
                         file = system.open_output_stream(f"{base}/{name}", compression=None)
-                    data = record(row["page_id"], row["url"], row["html"].encode(), row["refers_to"] is not None, row["refers_to"], date)
+                    data = record(row["page_id"], row["url"], row["html"].encode(), row["refers_to"], row["refers_url"], date)
                     file.write(data)
                     records, size = records + 1, size + len(data)
         if file is not None:
             file.close()
             yield pa.RecordBatch.from_pylist([{"path": f"{folder}/{name}", "records": records, "bytes": size}], schema=MANIFEST_KIND)
 
-    return written(planned.select("page_id", "url", "html", "refers_to").mapInArrow(write, MANIFEST), "warc-manifest")
+    return written(planned.select("page_id", "url", "html", "refers_to", "refers_url").mapInArrow(write, MANIFEST), "warc-manifest")
 
 
 def read_warc(manifest: DataFrame, payloads: bool = True) -> DataFrame:

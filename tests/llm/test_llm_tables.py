@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import random
+import re
 import string
 from itertools import combinations
 
@@ -77,6 +78,19 @@ def test_warc_round_trip(spark, tmp_path):
     assert read_warc(write_warc(plan_revisits(pages(spark).limit(0)), str(tmp_path / "none"))).count() == 0
 
 
+def test_record_ids_tell_records_apart(spark, tmp_path):
+    """Only rows equal in id, url and payload share one; a revisit names the one record that it refers to."""
+    planned = plan_revisits(pages(spark).withColumn("refers_url", F.lit("clash")))
+    path = write_warc(planned.coalesce(1), str(tmp_path / "w")).first().path
+    with gzip.open(path) as file:
+        text = file.read().decode()
+    ids = re.findall(r"WARC-Record-ID: (\S+)", text)
+    assert len(ids) == 11 and len(set(ids)) == 10
+    records = {r.record_id: r for r in read_warc(spark.createDataFrame([(path,)], "path string")).collect()}
+    meant = re.findall(r"WARC-Refers-To: (\S+)", text)
+    assert sorted((records[i].page_id, records[i].url) for i in meant) == [(3, "u3")] * 3 + [(5, "u5")]
+
+
 def test_warc_members_and_damage(spark, tmp_path):
     manifest = write_warc(plan_revisits(pages(spark)).coalesce(1), str(tmp_path / "w"))
     path = manifest.first().path
