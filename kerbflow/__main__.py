@@ -44,6 +44,7 @@ from kerbflow.schema import PICKUP_TIME
 from kerbflow.session import build_session
 from kerbflow.sinks import CommittedSink, JdbcSink, LateRowsSink, RawEventSink, read_late_rows, write_kafka
 from kerbflow.sources import read_jdbc_table, read_kafka, read_message_files, read_mixed_trips, stream_kafka, stream_message_files
+from kerbflow.storage import claim
 from kerbflow.streaming import BatchLog, FeedMetrics, checkpoint_path, read_feed_metrics, start, with_feed_metrics
 
 
@@ -95,7 +96,9 @@ def stream(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) ->
 
 def raw(spark: SparkSession, config: FlowConfig, args: argparse.Namespace) -> None:
     events = raw_events(_stream_source(spark, config, args), config.on_overflow, config.location_key)
-    _run(spark, events, RawEventSink(args.out), _checkpoint(spark, config, args, "raw-events"), "append", config, args)
+    checkpoint = _checkpoint(spark, config, args, "raw-events")
+    claim(spark, args.out, checkpoint)
+    _run(spark, events, RawEventSink(args.out), checkpoint, "append", config, args)
 
 
 def _run(spark, result, sink, checkpoint, mode, config, args) -> None:

@@ -75,3 +75,16 @@ def get_text(spark: SparkSession, path: str) -> str | None:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def claim(spark: SparkSession, folder: str, owner: str) -> None:
+    """Let a folder belong to ``owner``, and refuse it if it belongs to another.
+
+    Batches are numbered by their checkpoint, so those of a second one would replace the first one's.
+    """
+    mark = f"{folder.rstrip('/')}/_owner"
+    known = get_text(spark, mark)
+    if known is None:
+        put_text(spark, mark, owner)
+    elif known != owner:
+        raise ValueError(f"{folder} holds the batches of {known}; name another folder for those of {owner}")

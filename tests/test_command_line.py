@@ -119,3 +119,22 @@ def test_zone_file_to_report(spark, tmp_path, monkeypatch, capsys):
     capsys.readouterr()
     main(["verify", *folders])
     assert "|2016-02-01 00:00:00|2016-02-01 00:05:00|zone:132       |3         |1.5     |" in capsys.readouterr().out
+
+
+def test_raw_events_of_two_topics_do_not_replace_each_other(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SparkSession, "stop", lambda self: None)
+    monkeypatch.setenv("CHECKPOINT_DIR", str(tmp_path / "checkpoints"))
+    for number, topic in enumerate(("first", "second")):
+        path = tmp_path / f"{topic}.csv"
+        path.write_text(f"Pickup Time,Fare Amount,Pickup Latitude,Pickup Longitude\n2016-02-01 00:0{number}:30,1.5,40.71,-74.0\n")
+        monkeypatch.setenv("DATA_PATH", str(path))
+        main(["feed", "--topic-dir", str(tmp_path / topic)])
+    raw = lambda topic, out: main(["raw", "--once", "--topic-dir", str(tmp_path / topic), "--out", str(tmp_path / out)])
+    raw("first", "raw")
+    with pytest.raises(ValueError, match="name another folder"):
+        raw("second", "raw")
+    raw("second", "other")
+    raw("first", "raw")
+    for out, minute in (("raw", 0), ("other", 1)):
+        (event,) = spark.read.parquet(f"{tmp_path}/{out}/events").collect()
+        assert event.event_time.minute == minute
