@@ -9,7 +9,14 @@ from kerbflow.operators.numbering import dense_numbers
 from kerbflow.operators.payload import decode_messages, encode_messages
 from kerbflow.operators.rejects import reject_counts, with_reject_reason
 from kerbflow.operators.running import running_totals
-from kerbflow.operators.windows import drop_null_location, only_located, results_of_state, windowed_aggregate
+from kerbflow.operators.windows import (
+    drop_null_location,
+    only_located,
+    results_of_state,
+    running_versions,
+    windowed_aggregate,
+    windowed_partials,
+)
 
 __all__ = [
     "canonical_trips",
@@ -27,9 +34,11 @@ __all__ = [
     "reject_counts",
     "results_of_state",
     "running_totals",
+    "running_versions",
     "to_table_types",
     "unread_trips",
     "windowed_aggregate",
+    "windowed_partials",
     "with_event_time",
     "with_locations",
     "with_reject_reason",

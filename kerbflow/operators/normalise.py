@@ -42,11 +42,11 @@ def unread_trips(df: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
     return lost.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"), F.lit(BAD_TIME).alias("reject_reason"))
 
 
-def canonical_trips(df: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
+def canonical_trips(df: DataFrame, time_formats: Sequence[str] = (), unread: bool = False) -> DataFrame:
     """Event fields under their fixed names and types, other columns kept behind them.
 
     Takes normalised headers. A pickup time column of another name is renamed; rows whose
-    pickup time cannot be read are dropped; event fields the file lacks are NULL.
+    pickup time cannot be read are dropped, or with ``unread`` stay without a time; event fields the file lacks are NULL.
     """
     if PICKUP_TIME not in df.columns:
         df = df.withColumnRenamed(detect_time_column(df.columns), PICKUP_TIME)
@@ -72,4 +72,5 @@ def canonical_trips(df: DataFrame, time_formats: Sequence[str] = ()) -> DataFram
         *[event_field(spec).alias(spec.name) for spec in EVENT_SCHEMA],
         *[cleaned(name).alias(name) for name in extra],
     )
-    return read.dropna(subset=[PICKUP_TIME]).withColumn(PICKUP_TIME, iso_text(F.col(PICKUP_TIME)))
+    kept = read if unread else read.dropna(subset=[PICKUP_TIME])
+    return kept.withColumn(PICKUP_TIME, iso_text(F.col(PICKUP_TIME)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,11 +13,13 @@ from kerbflow.operators.barrier import computed_once
 FARE = ExactMeasure("fare_amount")
 DISTANCE = ExactMeasure("trip_distance")
 MEASURES = (FARE, DISTANCE)
+#: What a group is made of until it is finished.
+PARTIALS = ["trip_count", *[part for m in MEASURES for part in m.parts]]
 
 GRID = "grid"
 
 
-def _prepared(events: DataFrame, by: str) -> tuple[DataFrame, list[str], Column]:
+def _prepared(events: DataFrame, by: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, list[str], Column]:
     """Columns the aggregate needs, the names to group on, and the location they stand for."""
     if by == GRID:
         lat, lon = grid_cells(F.col("pickup_latitude"), F.col("pickup_longitude"))
@@ -25,7 +27,7 @@ def _prepared(events: DataFrame, by: str) -> tuple[DataFrame, list[str], Column]
         names = ["lat_cell", "lon_cell"]
     else:
         keys, location, names = [F.col(by)], F.col(by), [by]
-    return events.select("event_time", *keys, *[c for m in MEASURES for c in m.inputs()]), names, location
+    return events.select("event_time", *keys, *keep, *[c for m in MEASURES for c in m.inputs()]), names, location
 
 
 def _partials() -> list[Column]:
@@ -47,6 +49,27 @@ def _by_start(rows: DataFrame, time: str, size: int, slide: int, names: list[str
     return started.groupBy("window_start", *names).agg(*aggregates)
 
 
+def windowed_partials(events: DataFrame, spec: WindowSpec, part: str, *, by: str = GRID) -> DataFrame:
+    """The merged parts of each window, location and ``part`` of a stream, for ``running_versions``.
+
+    In update mode a micro-batch may hold any number of whole parts: each part's share of a window is a group of its own.
+    """
+    rows, names, location = _prepared(events.withColumn("__part", F.col(part)), by, ("__part",))
+    grouped = rows.groupBy(window_of("event_time", spec.size_micros, spec.slide_micros), *names, "__part").agg(*_partials())
+    times = [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
+    return grouped.select(*times, location.alias("pickup_location"), F.col("__part").alias(part), *PARTIALS)
+
+
+def running_versions(partials: DataFrame, part: str) -> DataFrame:
+    """One row per window, location and part that it has rows in: the values over this part and those before it."""
+    so_far = Window.partitionBy("window_start", "window_end", "pickup_location").orderBy(part)
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = partials.select(
+        "window_start", "window_end", "pickup_location", part, *[F.sum(name).over(so_far).alias(name) for name in PARTIALS]
+    )
+    return _finished(totals, F.col("pickup_location"), (part,))
+
+
 def windowed_aggregate(
     events: DataFrame, spec: WindowSpec = WindowSpec(), *, by: str = GRID, panes: bool | None = None
 ) -> DataFrame:
@@ -91,10 +114,10 @@ def windowed_aggregate(
     return _finished(grouped, location)
 
 
-def _finished(grouped: DataFrame, location: Column) -> DataFrame:
+def _finished(grouped: DataFrame, location: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Result rows from the merged parts of each group."""
     carried = [c for m in MEASURES for c in m.carried()]
-    finished = grouped.select("window_start", "window_end", location.alias("pickup_location"), "trip_count", *carried)
+    finished = grouped.select("window_start", "window_end", location.alias("pickup_location"), "trip_count", *carried, *keep)
     return finished.select(
         "window_start",
         "window_end",
@@ -103,12 +126,13 @@ def _finished(grouped: DataFrame, location: Column) -> DataFrame:
         FARE.mean(2).alias("avg_fare"),
         FARE.total(2).alias("total_fare"),
         DISTANCE.mean(4).alias("avg_trip_distance"),
+        *keep,
     )
 
 
 def results_of_state(state: DataFrame) -> DataFrame:
     """Result rows from stored groups of a stream: ``key`` as it is grouped on, ``value`` with the parts by position."""
-    names = ["trip_count", *[part for m in MEASURES for part in m.parts]]
+    names = PARTIALS
     stored = [spec.dataType for spec in state.schema["value"].dataType]
     if len(stored) != len(names):
         raise ValueError(f"not the state of a windowed aggregate: {len(stored)} values a group")

@@ -11,6 +11,7 @@ from kerbflow.operators import (
     drop_bad_time,
     only_located,
     windowed_aggregate,
+    windowed_partials,
     with_event_time,
     with_locations,
 )
@@ -46,6 +47,17 @@ def typed_trip_aggregates(
     return _aggregates(fields, config, panes)
 
 
+def trip_partials(messages: DataFrame, part: str, config: FlowConfig = FlowConfig()) -> DataFrame:
+    """The share of each ``part`` of a message stream in each window and location, for ``running_versions``.
+
+    The column ``part`` numbers the parts in the order they come in, as batches of the stream would; a micro-batch holds whole ones.
+    """
+    timed = _timed(decode_messages(messages, _fields(config), keep=(part,)), config)
+    if config.location_key == "grid":
+        return windowed_partials(timed, config.window, part)
+    return windowed_partials(with_locations(timed, by=config.location_key), config.window, part, by="pickup_location")
+
+
 def aggregates_with_events(messages: DataFrame, config: FlowConfig = FlowConfig()) -> DataFrame:
     """``trip_aggregates`` of a stream and, in the same batches, the events they are made of, for ``LateRowsSink``.
 

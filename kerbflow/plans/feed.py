@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbflow.operators import canonical_trips, dense_numbers, encode_messages, normalise_columns
+from kerbflow.schema import PICKUP_TIME
 from kerbflow.session import scratch_dir
 from kerbflow.storage import move, names_in, set_modified
 
@@ -19,6 +20,13 @@ def trips_to_messages(trips: DataFrame, time_formats: Sequence[str] = (), keep:
     return encode_messages(canonical_trips(normalise_columns(trips), time_formats), keep)
 
 
+def trips_to_counted_messages(trips: DataFrame, time_formats: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """The same with the rows whose pickup time cannot be read, as rows without a ``value``, so that both can be counted."""
+    read = canonical_trips(normalise_columns(trips), time_formats, unread=True)
+    messages = encode_messages(read.withColumn("__sent", F.col(PICKUP_TIME).isNotNull()), [*keep, "__sent"])
+    return messages.withColumn("value", F.when(F.col("__sent"), F.col("value"))).drop("__sent")
+
+
 def _publish(spark: SparkSession, staged: str, topic: str, name: str) -> list[str]:
     """Move the files of one staged part into a folder that a stream follows; they appear one by one, each as a whole."""
     moved, run = [], uuid.uuid4().hex[:12]
@@ -45,6 +53,11 @@ def feed_batches(messages: DataFrame, part: Column, parts: int, path: str) -> It
 CHUNK_STEP = 10
 
 
+def chunk_of(file_name: str) -> Column:
+    """The number of the chunk that a file of ``write_chunks`` holds, from 0."""
+    return F.regexp_extract(file_name, r"^chunk-(\d+)-", 1).cast("bigint")
+
+
 def write_chunks(
     rows: DataFrame,
     order: Sequence[Column],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbflow.config import FlowConfig
 from kerbflow.schema import MESSAGE_SCHEMA
@@ -42,9 +43,12 @@ def read_message_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).parquet(path)
 
 
-def stream_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Message files as a stream, oldest first; ``max_files`` bounds a micro-batch."""
+def stream_message_files(
+    spark: SparkSession, path: str, max_files: int | None = None, file_name: str | None = None
+) -> DataFrame:
+    """Message files as a stream, oldest first; ``max_files`` bounds a micro-batch, ``file_name`` names a column for each row's file."""
     reader = spark.readStream.schema(MESSAGE_SCHEMA).option("ignoreMissingFiles", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    stream = reader.parquet(path)
+    return stream.select("*", F.col("_metadata.file_name").alias(file_name)) if file_name else stream
