@@ -39,6 +39,26 @@ class CommittedRawSink(CommittedSink):
         rows.write.partitionBy(KIND).parquet(folder)
 
 
+class CommittedFeedSink(CommittedSink):
+    """Callback for batches of ``trips_to_counted_messages``: messages to ``kind=event``, rows that are none to ``kind=reject``."""
+
+    def __init__(self, path: str):
+        super().__init__(path, prepare=lambda df: df, stamp=None)
+
+    def rows_of(self, batch: DataFrame, batch_id: int, before: Commit | None) -> DataFrame:
+        return batch.withColumn(KIND, F.when(F.col("value").isNotNull(), EVENT).otherwise(REJECT))
+
+    def write(self, rows: DataFrame, folder: str) -> None:
+        rows.write.partitionBy(KIND).parquet(folder)
+
+
+def read_chunk_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``events_in_chunk`` and ``input_rows`` of each ``chunk`` that a ``CommittedFeedSink`` took, with its batch."""
+    schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField(KIND, T.StringType())])
+    counts = [F.count_if(F.col(KIND) == EVENT).alias("events_in_chunk"), F.count(F.lit(1)).alias("input_rows")]
+    return read_committed(spark, path, schema).groupBy("batch_id", "chunk").agg(*counts)
+
+
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
     return read_committed(spark, path, RAW_STORED_SCHEMA, kind=EVENT)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -15,11 +16,14 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 
-def stream_trips(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The files of a folder as a stream, oldest first; ``max_files`` bounds a micro-batch."""
+def stream_trips(
+    spark: SparkSession, path: str, max_files: int | None = None, file_name: str | None = None
+) -> DataFrame:
+    """The files of a folder as a stream, oldest first; ``max_files`` bounds a micro-batch, ``file_name`` names a column for each row's file."""
     header = read_trips(spark, path).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    stream = reader.csv(path)
+    return stream.select("*", F.col("_metadata.file_name").alias(file_name)) if file_name else stream

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import threading
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -16,9 +16,9 @@ METRICS_SCHEMA = """batch_id bigint, events_in_chunk bigint, input_rows bigint,
 NAME = "feed"
 
 
-def with_feed_metrics(events: DataFrame) -> DataFrame:
-    """``events`` of a stream, counted as they pass; ``FeedMetrics`` picks the count up."""
-    return events.observe(NAME, F.count(F.lit(1)).alias("events"))
+def with_feed_metrics(events: DataFrame, sent: Column | None = None) -> DataFrame:
+    """``events`` of a stream, counted as they pass, or those for which ``sent`` is not null; ``FeedMetrics`` picks the count up."""
+    return events.observe(NAME, F.count(F.lit(1) if sent is None else sent).alias("events"))
 
 
 class FeedMetrics(StreamingQueryListener):
@@ -72,6 +72,18 @@ def read_feed_metrics(spark: SparkSession, path: str) -> DataFrame:
     names = names_in(spark, path)
     if not names:
         return spark.createDataFrame([], METRICS_SCHEMA + ", total_sent bigint")
-    stored = spark.read.schema(METRICS_SCHEMA).json(path)
-    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return stored.withColumn("total_sent", F.sum("events_in_chunk").over(so_far))
+    return _with_total(spark.read.schema(METRICS_SCHEMA).json(path), "batch_id")
+
+
+def chunk_metrics(counts: DataFrame, batches: DataFrame) -> DataFrame:
+    """One row per chunk from the ``counts`` of each (``batch_id``, ``chunk``), with the total sent so far and the rate of its batch.
+
+    For a stream whose batches carry several chunks; ``batches`` is what ``read_feed_metrics`` gives.
+    """
+    rates = batches.select("batch_id", "seconds", "rows_per_second", "finished_at")
+    return _with_total(counts.join(F.broadcast(rates), "batch_id", "left"), "chunk")
+
+
+def _with_total(counts: DataFrame, by: str) -> DataFrame:
+    so_far = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumn("total_sent", F.sum("events_in_chunk").over(so_far))
