@@ -258,6 +258,27 @@ def test_languages_of_long_texts_are_learned(spark):
     assert found["en"][0] == "a short text" and len(found["en"]) == 2
 
 
+def test_every_labelled_text_is_learned_from(spark):
+    rows = [(i, f"common word{'abcdefghij'[i % 10]} {'xyz'[i % 3] * 3} 12", "en") for i in range(900)] + [(900, "langeswort " * 9000, "de")]
+    docs = spark.createDataFrame([*rows, (901, None, "en"), (902, "lost", None), (903, "字" * 70, "zh")], DOCS)
+    counts = {(r.lang, r.word): r.n for r in langid.word_counts(docs.repartition(7)).collect()}
+    assert counts["en", "common"] == 900 and counts["en", "worda"] == 90 and counts["en", "zzz"] == 300
+    assert counts["de", "langeswort"] == 9000 and counts["zh", "字" * 32] == 2 and counts["zh", "字" * 6] == 1 and len(counts) == 17
+    words = langid.frequent_words(langid.word_counts(docs), 21)
+    assert words == {"de": ["langeswort"], "en": ["common", "xxx", "yyy", "zzz"]}
+
+
+def test_bounds_are_measured_on_every_held_out_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the cat and the hat {i} " * (400 if i % 2 else 40), "en") for i in range(3000)], DOCS)
+    model, asked = train(docs), []
+    plain = langid.identify_language
+    monkeypatch.setattr(langid, "identify_language", lambda parts, *a: asked.append(parts.where("place = 0").agg(F.count("*"), F.max(F.length("part"))).first()) or plain(parts, *a))
+    bounds = langid.phrase_bounds(docs, model, 0.7)
+    held = docs.where(langid.held_out())
+    assert [tuple(a) for a in asked] == [(held.count(), held.agg(F.max(F.length("text"))).first()[0])]
+    assert set(bounds) == {("en", n) for n in langid.LENGTHS} and all(0 < b < 0.7 for b in bounds.values())
+
+
 # --- decontamination ------------------------------------------------------------------------------
 
 
