@@ -119,6 +119,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     weighted: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Classes of documents whose sets of word shingles are linked by a similarity of ``threshold`` or more.
 
@@ -126,7 +127,8 @@ def near_duplicates(
     ``class_key`` (key of the row that stays), ``class_rows``. Similarity is Jaccard over distinct shingles, or with
     ``weighted`` over their counts. Every link is verified on whole texts. A document without a word (null, empty, signs
     only) is a class of its own row. Null ids are allowed; a class without any id has a null class_id. Repeated rows share a
-    class. Other columns are not read, so they may have any name.
+    class. Other columns are not read, so they may have any name. ``tasks`` deals the texts to so many tasks for their sketches,
+    for a table in few files or row groups, at the cost of one more shuffle of them.
 
     Texts with the same set of shingles are one vertex, so groups of exact copies cost one row each beyond the first
     aggregate. Vertices meet in buckets of equal band keys; with the defaults two texts at 0.8 share one with
@@ -142,7 +144,8 @@ def near_duplicates(
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     source = source.withColumn("row_key", _row_key())
     sketch = _sketch(words, bands, rows, weighted)(F.col("text"))
-    rows_of = source.select("doc_id", "row_key", sketch.alias("s"))
+    dealt = source if tasks is None else source.repartition(tasks, "row_key")
+    rows_of = dealt.select("doc_id", "row_key", sketch.alias("s"))
     rows_of = written(rows_of.select("doc_id", "row_key", "s.print", "s.bands", "s.sketch"), "minhash-sketch")
     # A null id sorts last, so that a class with any id is named by one.
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")

@@ -378,3 +378,21 @@ def test_which_of_rows_with_one_id_and_text_stays(spark):
         docs = spark.createDataFrame(order, "doc_id bigint, text string, source string, n int").repartition(3)
         kept.append(sorted(keep_first(docs, near_duplicates(docs)).collect()))
     assert kept[0] == kept[1] and [r.doc_id for r in kept[0]] == [1, 2]
+
+
+def test_sketches_of_a_table_in_one_file_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    from kerbflow.llm import minhash, queries
+
+    texts = [(n, " ".join(f"w{n // 2}x{k}" for k in range(30))) for n in range(60)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    files, written = {}, minhash.written
+
+    def watched(df, label):
+        done = written(df, label)
+        files.setdefault(label, len(done.inputFiles()))
+        return done
+
+    monkeypatch.setattr(minhash, "written", watched)
+    rows = queries.minhash_dedup_by_counts(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.class_id) for r in rows} == {(n, n - n % 2) for n in range(60)}
+    assert files["minhash-sketch"] > 1
