@@ -19,6 +19,8 @@ BANDS, ROWS = 25, 5
 
 #: Members of a bucket that one block holds, in the comparison of what the rounds left.
 BLOCK = 2000
+#: A round that adds no more than this part of all links is the last one.
+FEW = 100
 
 
 def _sketch(words: int, bands: int, rows: int, weighted: bool):
@@ -135,7 +137,8 @@ def near_duplicates(
     probability 1 - 5e-5. Pairs whose sketches of four bits a coordinate agree less than chance allows at the threshold (four
     standard deviations below) are not read. In a bucket every member is compared with one centre, never with all others: first with the
     member that shares most buckets (the original of a group of edited copies), then, in rounds, with members of the smallest
-    class, for the buckets that still hold several classes. Rounds end when one finds no new link. What is left then are
+    class, for the buckets that still hold several classes. Rounds end when one adds at most one link in ``FEW``, a share, so that
+    their number, and with it what the driver plans, does not follow the size of the table. What is left then are
     members of different classes in one bucket that no centre connected: each member outside its bucket's largest class
     is held against the other classes of that bucket, in blocks and by sketch alone: the four bits, then parities of the
     sets, which rule out a pair only where it is certainly below the threshold. What passes is stored and read. So no link between two texts that share a bucket is lost.
@@ -160,11 +163,11 @@ def near_duplicates(
     compared: DataFrame | None = None
     links: DataFrame | None = None
     roots: DataFrame | None = None
-    turn = 0
+    turn = known = 0
     sketches = bodies.select("print", "sketch")
     agree = _agree(F.col("a_sketch"), F.col("b_sketch"), numbers) >= least
-    rest = False
-    while not rest:
+    few = False
+    while not few:
         pairs = _star_pairs(buckets, roots, turn)
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
@@ -173,14 +176,18 @@ def near_duplicates(
         left, right = sketches.toDF("a", "a_sketch"), sketches.toDF("b", "b_sketch")
         likely = pairs.join(left, "a").join(right, "b").where(agree).select("a", "b")
         found = _linked(likely, bodies, words, threshold, weighted)
-        rest = found.isEmpty()
-        if rest:
-            likely = _rest_pairs(buckets, roots, bodies, _marks(words, weighted), agree & _may_link(threshold)).join(compared, ["a", "b"], "left_anti")
-            found = _linked(likely, bodies, words, threshold, weighted)
-        if not found.isEmpty():
+        new = found.count()
+        if new:
             links = found if links is None else links.union(found)
             roots = connected_classes(links, "minhash")
+        known += new
+        few = new * FEW <= known
         turn += 1
+    likely = _rest_pairs(buckets, roots, bodies, _marks(words, weighted), agree & _may_link(threshold)).join(compared, ["a", "b"], "left_anti")
+    found = _linked(likely, bodies, words, threshold, weighted)
+    if not found.isEmpty():
+        links = found if links is None else links.union(found)
+        roots = connected_classes(links, "minhash")
 
     classes = texts.select("print", "first", "n")
     if roots is None:

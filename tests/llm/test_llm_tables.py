@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import duck_rows, spark_rows
+from kerbflow.llm import minhash
 from kerbflow.llm.chat import digest_conversations, format_conversations, plan_windows, read_turns
 from kerbflow.llm.common import connected_classes
 from kerbflow.llm.embeddings import link_vectors
@@ -199,6 +200,24 @@ def test_links_that_no_centre_shows_are_kept(spark):
     assert {r.doc_id: r.class_id for r in found} == wanted
 
 
+def test_rounds_that_add_few_links_end(spark, monkeypatch):
+    """Copies are linked at once; a chain, of which a round finds some links, is left to the comparison after the rounds."""
+    texts = [" ".join([*(f"w{i}" for i in range(40)), f"copy{n}"]) for n in range(500)]
+    chain = [f"c{i}" for i in range(800)]
+    texts += [" ".join([*(f"p{i}" for i in range(60)), *chain[i * 6 : i * 6 + 44]]) for i in range(120)]
+    random.Random(12).shuffle(texts)
+    sets = [shingles(t)[0] for t in texts]
+    links = [(a, b) for a, b in combinations(range(len(texts)), 2) if texts[a][0] == texts[b][0] and jaccard(sets[a], sets[b]) >= 0.8]
+    wanted = classes_of(range(len(texts)), links)
+    assert len(set(wanted.values())) == 2
+    written, labels = minhash.written, []
+    monkeypatch.setattr(minhash, "written", lambda df, label: labels.append(label) or written(df, label))
+    monkeypatch.setattr(minhash, "FEW", 10, raising=False)
+    found = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), bands=8, rows=1).collect()
+    assert {r.doc_id: r.class_id for r in found} == wanted
+    assert labels.count("minhash-pairs") <= 3
+
+
 def test_parities_never_exceed_the_symmetric_difference():
     rng = np.random.default_rng(3)
     for size, changed in ((1, 1), (40, 5), (300, 60), (5000, 900), (20000, 20000)):
